@@ -1 +1,8 @@
 """Rolling ratio metrics and feature analysis as plain PySpark DataFrame functions."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

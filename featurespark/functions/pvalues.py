@@ -6,7 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType
 
 
 def normal_two_sided(z: float) -> float:
@@ -68,3 +68,9 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     values = [student_t_two_sided(a, b) for a, b in zip(t.astype(float), df.astype(float))]
     return pd.Series(values, dtype="float64").where(lambda p: p.notna(), None)
+
+
+@F.pandas_udf(StringType())
+def scientific_text(x: pd.Series) -> pd.Series:
+    """``%.6e`` text of the exact binary value, which may round ties unlike the JVM's formatter."""
+    return x.map(lambda v: None if pd.isna(v) else f"{v:.6e}").astype(object)

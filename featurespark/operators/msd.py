@@ -149,14 +149,28 @@ def _cells(
     pairs = [(a, b) for a, b in pairs if a in left and b in right]
     if not pairs:
         return empty_scores(df, CELL_SCHEMA)
+    first = {c: f"_l{i}" for i, c in enumerate(left)}
+    second = {c: f"_r{i}" for i, c in enumerate(right)} if right is not left else first
+    keyed = df.select(
+        _number(response).alias("y"),
+        *{
+            name: keys[c].alias(name)
+            for keys, names in ((left, first), (right, second))
+            for c, name in names.items()
+        }.values(),
+    )
     parts = []
     for chunk in batches(pairs):
         structs = [
-            F.struct(F.lit(i + 1).alias("pair"), left[a].alias("bin1"), right[b].alias("bin2"))
+            F.struct(
+                F.lit(i + 1).alias("pair"),
+                F.col(first[a]).alias("bin1"),
+                F.col(second[b]).alias("bin2"),
+            )
             for i, (a, b) in enumerate(chunk)
         ]
         cells = (
-            df.select(_number(response).alias("y"), F.inline(F.array(*structs)))
+            keyed.select("y", F.inline(F.array(*structs)))
             .where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
             .groupBy("pair", "bin1", "bin2")
             .agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("bin_mean"))

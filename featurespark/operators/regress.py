@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurespark.functions.pvalues import normal_two_sided, t_pvalue
+from featurespark.functions.pvalues import normal_two_sided, scientific_text, t_pvalue
 from featurespark.operators.assoc import batches, union_all
 
 LOGIT_SCHEMA = (
@@ -62,7 +62,7 @@ def formatted_stats(fits: DataFrame) -> DataFrame:
     return fits.select(
         "feature",
         F.round(stat, 4).alias(stat),
-        F.when(F.col("p_value").isNotNull(), F.format_string("%.6e", "p_value")).alias("p_value"),
+        scientific_text("p_value").alias("p_value"),
     )
 
 

@@ -218,8 +218,8 @@ def _msd_1d(response: str | None) -> str:
   lo + step * (bin + 1) AS upper, COALESCE(median, 0) AS median, COALESCE(n, 0) AS count,
   COALESCE(bm, 0) AS bin_mean, pm AS pop_mean, COALESCE(POWER(bm - pm, 2), 0) AS msd,
   COALESCE(n / total, 0) AS pop_proportion, COALESCE(POWER(bm - pm, 2) * (n / total), 0) AS weighted_msd
-FROM (SELECT CAST(UNNEST(RANGE(0, 10)) AS INT) AS bin), {_edges(x)},
-  (SELECT AVG({measure}) AS pm, CAST(COUNT(*) AS DOUBLE) AS total FROM features)
+FROM ((SELECT CAST(UNNEST(RANGE(0, 10)) AS INT) AS bin) CROSS JOIN {_edges(x)} CROSS JOIN
+  (SELECT AVG({measure}) AS pm, CAST(COUNT(*) AS DOUBLE) AS total FROM features))
 LEFT JOIN (SELECT {_bin(x, "lo", "step", ">=")} AS bin, COUNT(*) AS n, AVG({measure}) AS bm,
     MEDIAN({x}) AS median FROM features, {_edges(x)} GROUP BY 1) USING (bin)""")
     return f"WITH {FEATURES}, msd AS ({union(parts)})"
@@ -282,15 +282,15 @@ def _rank() -> str:
 # Nearest neighbours
 
 _UNITS = """units AS (
-  SELECT vec_id, label, CASE WHEN norm = 0 THEN v ELSE list_transform(v, x -> x / norm) END AS u
-  FROM (SELECT vec_id, label, v, SQRT(list_sum(list_transform(v, x -> x * x))) AS norm
+  SELECT vec_id, label, CASE WHEN norm = 0 THEN v ELSE [x / norm FOR x IN v] END AS u
+  FROM (SELECT vec_id, label, v, SQRT(list_inner_product(v, v)) AS norm
     FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)))"""
 
 
 def _near(condition: str) -> str:
     return f"""WITH {_UNITS}, pairs AS (
   SELECT a.vec_id AS id, a.label, b.vec_id AS other, b.label AS other_label,
-    ROUND(SQRT(list_sum(list_transform(list_zip(a.u, b.u), p -> (p[1] - p[2]) * (p[1] - p[2])))), 9) AS d
+    ROUND(list_distance(a.u, b.u), 9) AS d
   FROM units a JOIN units b ON {condition}),
 near AS (SELECT * FROM pairs
   QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY d, other) <= 5),

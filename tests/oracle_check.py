@@ -64,7 +64,7 @@ def main() -> None:
             else:
                 note = f"no SQL, {df.count()} rows"
         except Exception as error:  # report and go on with the other queries
-            note = f"{type(error).__name__}: {str(error)[:700]}"
+            note = f"{type(error).__name__}: {str(error)[-1500:] if "Python" in type(error).__name__ else str(error)[:700]}"
         print(f"{name:28s} {time.time() - start:6.2f}s  {note}", flush=True)
 
 
