@@ -12,6 +12,8 @@ from itertools import combinations_with_replacement, product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurespark.session import unpivot_tuples
+
 # Output rows one pass makes out of an input row; more pairs are spread over several passes.
 PAIRS_PER_PASS = 64
 
@@ -37,6 +39,10 @@ def empty_scores(df: DataFrame, columns: str = "score double") -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
 
+def category(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("0"))
+
+
 def pearson(x: Column, y: Column) -> Column:
     """Pearson r; NULL if a side is constant."""
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
@@ -110,19 +116,15 @@ def correlation_ratio(
         return empty_scores(df)
     parts = []
     for chunk in batches(list(categorical)):
-        rows = df.select(
+        data = df.select(
             *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(continuous)),
-            F.inline(
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(c).alias("predictor2"),
-                            F.coalesce(F.col(c).cast("string"), F.lit("0")).alias("category"),
-                        )
-                        for c in chunk
-                    )
-                )
-            ),
+            *(category(c).alias(f"g{i}") for i, c in enumerate(chunk)),
+        )
+        rows = data.unpivot(
+            [f"x{i}" for i in range(len(continuous))],
+            [f"g{i}" for i in range(len(chunk))],
+            "predictor2",
+            "category",
         )
         groups = rows.groupBy("predictor2", "category").agg(
             *(
@@ -136,7 +138,10 @@ def correlation_ratio(
         )
         parts.append(
             groups.select(
-                "predictor2",
+                F.element_at(
+                    F.array(*(F.lit(c) for c in chunk)),
+                    F.substring("predictor2", 2, 9).cast("int") + 1,
+                ).alias("predictor2"),
                 F.inline(
                     F.array(
                         *(
@@ -175,18 +180,15 @@ def contingency_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
         return empty_scores(df, "n bigint, r bigint, c bigint, chi2 double, chi2_yates double")
     parts = []
     for chunk in batches(list(pairs)):
-        structs = [
-            F.struct(
-                F.lit(i + 1).alias("pair"),
-                F.coalesce(F.col(a).cast("string"), F.lit("0")).alias("v1"),
-                F.coalesce(F.col(b).cast("string"), F.lit("0")).alias("v2"),
-            )
-            for i, (a, b) in enumerate(chunk)
-        ]
+        sides = dict.fromkeys(c for pair in chunk for c in pair)
+        names = {c: f"g{i}" for i, c in enumerate(sides)}
+        data = df.select(*(category(c).alias(name) for c, name in names.items()))
+        groups = {str(i + 1): (names[a], names[b]) for i, (a, b) in enumerate(chunk)}
         cells = (
-            df.select(F.inline(F.array(*structs)))
+            unpivot_tuples(data, [], groups, ["v1", "v2"], "pair")
             .groupBy("pair", "v1", "v2")
             .agg(F.count(F.lit(1)).alias("o"))
+            .withColumn("pair", F.col("pair").cast("int"))
         )
         rows = cells.groupBy("pair", "v1").agg(F.sum("o").alias("row_n"))
         cols = cells.groupBy("pair", "v2").agg(F.sum("o").alias("col_n"))

@@ -12,6 +12,7 @@ from featurespark.functions.bins import bin_left_closed, bin_right_closed, edges
 from featurespark.operators.assoc import batches, empty_scores, pair_name, union_all
 from featurespark.operators.profile import nonzero_mean
 from featurespark.operators.quantiles import exact_quantiles
+from featurespark.session import unpivot_tuples
 
 REFERENCE, STANDARD = "reference", "standard"
 CELL_SCHEMA = "bin1 string, bin2 string, n bigint, bin_mean double, msd double, weighted_msd double"
@@ -72,30 +73,27 @@ def msd_1d(
         raise ValueError("standard mode needs a response")
     measured = [response] if mode == STANDARD else []
     n_rows, ranges = column_ranges(df, [*features, *measured])
-    frame, rows = [], []
-    for c in features:
+    frame, groups, columns = [], {}, {}
+    for number, c in enumerate(features):
         for cuts in _edges(ranges[c], n_bins):
             pop_mean = ranges[response if mode == STANDARD else c]["mean"]
             frame += [(c, i, cuts[i], cuts[i + 1], pop_mean) for i in range(n_bins)]
-            x = _number(c)
-            rows.append(
-                F.struct(
-                    F.lit(c).alias("feature"),
-                    bin_left_closed(x, cuts).alias("bin"),
-                    x.alias("value"),
-                    (_number(response) if mode == STANDARD else x).alias("measure"),
-                )
-            )
+            names = (f"_b{number}", f"_x{number}", "_y" if mode == STANDARD else f"_x{number}")
+            groups[c] = names
+            columns[names[0]] = bin_left_closed(_number(c), cuts)
+            columns[names[1]] = _number(c)
+    if mode == STANDARD:
+        columns["_y"] = _number(response)
     schema = "feature string, bin int, lower double, upper double, pop_mean double"
     bins = df.sparkSession.createDataFrame(frame, schema)
-    if not rows:
+    if not groups:
         long = df.sparkSession.createDataFrame(
             [], "feature string, bin int, value double, measure double"
         )
     else:
-        long = union_all(
-            [df.select(F.inline(F.array(*chunk))) for chunk in batches(rows)]
-        ).where(F.col("bin").isNotNull())
+        data = df.select(*(c.alias(name) for name, c in columns.items()))
+        long = unpivot_tuples(data, [], groups, ["bin", "value", "measure"], "feature")
+        long = long.where(F.col("bin").isNotNull())
     keys = ["feature", "bin"]
     stats = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"), F.avg("measure").alias("bin_mean")
@@ -161,24 +159,18 @@ def _cells(
     )
     parts = []
     for chunk in batches(pairs):
-        structs = [
-            F.struct(
-                F.lit(i + 1).alias("pair"),
-                F.col(first[a]).alias("bin1"),
-                F.col(second[b]).alias("bin2"),
-            )
-            for i, (a, b) in enumerate(chunk)
-        ]
+        groups = {str(i + 1): (first[a], second[b]) for i, (a, b) in enumerate(chunk)}
         cells = (
-            keyed.select("y", F.inline(F.array(*structs)))
+            unpivot_tuples(keyed, ["y"], groups, ["bin1", "bin2"], "pair")
             .where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
             .groupBy("pair", "bin1", "bin2")
             .agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("bin_mean"))
         )
+        number = F.col("pair").cast("int")
         parts.append(
             cells.select(
-                pair_name(F.col("pair"), chunk, 0).alias("predictor1"),
-                pair_name(F.col("pair"), chunk, 1).alias("predictor2"),
+                pair_name(number, chunk, 0).alias("predictor1"),
+                pair_name(number, chunk, 1).alias("predictor2"),
                 F.col("bin1").cast("string").alias("bin1"),
                 F.col("bin2").cast("string").alias("bin2"),
                 "n",

@@ -4,78 +4,133 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurespark.session import bounded_side
 
+# Buckets one pass splits a value range into, and the rows that are simply sorted.
+BUCKETS = 1024
+SORT_ROWS = 1_000_000
+
+
+def _bucket() -> Column:
+    """Bucket of ``_v`` in [_lo, _hi]; the two ends always get buckets of their own."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    # Halves keep the range finite; infinite ends are split off by their own buckets.
+    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    inner = F.floor(F.when(F.isnan(share), 0.0).otherwise(share) * (BUCKETS - 2))
+    return (
+        F.when(v <= lo, 0)
+        .when(v >= hi, BUCKETS - 1)
+        .otherwise(F.least(inner, F.lit(BUCKETS - 3)) + 1)
+        .cast("bigint")
+    )
+
 
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: Sequence[float],
     by: Sequence[str],
-    accuracy: int = 10_000,
+    buckets_fit: int = SORT_ROWS,
 ) -> DataFrame:
     """Long table ``by..., prob, quantile``; nulls and NaN are left out.
 
-    A quantile sketch cuts each group's value range just below and above every asked quantile.
-    Rows per interval are then counted exactly, and only the intervals that hold an asked rank
-    are sorted, as distinct values with counts. The sketch decides how small those intervals
-    are, never the result.
+    A pass counts rows per bucket of each group's value range, which tells the bucket every
+    asked rank lies in. Buckets with more than ``buckets_fit`` rows are split in a further pass;
+    the others are sorted, as distinct values with counts. No task ever holds a whole group.
     """
     by = list(by)
     v = F.col("_v")
     base = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         v.isNotNull() & ~F.isnan(v)
     )
-    eps = 2.0 / accuracy
-    cuts = sorted({min(max(p + e, 0.0), 1.0) for p in probs for e in (-eps, eps)})
-    sketch = base.groupBy(*by).agg(F.percentile_approx(v, cuts, accuracy).alias("cuts"))
-    sketch = bounded_side(
-        sketch.select(*by, *(F.col("cuts")[i].alias(f"_c{i}") for i in range(len(cuts))))
-    )
-    bucket = sum((F.when(v > F.col(f"_c{i}"), 1).otherwise(0) for i in range(len(cuts))), F.lit(0))
-    tagged = _null_safe_join(base, sketch, by).select(*by, "_v", bucket.alias("_b"))
-
-    ordered = Window.partitionBy(*by).orderBy("_b")
-    counts = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n")).select(
-        *by,
-        "_b",
-        "_n",
-        (F.sum("_n").over(ordered) - F.col("_n")).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
-    )
-    wanted = []
+    limits = (F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    groups = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *limits)
+    ranks = []
     for p in probs:
-        pos = F.lit(float(p)) * (F.col("_total") - 1)
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
         for upper, rank in ((False, F.floor(pos)), (True, F.ceil(pos))):
-            wanted.append(
+            ranks.append(
                 F.struct(
                     F.lit(float(p)).alias("prob"),
                     F.lit(upper).alias("upper"),
-                    (rank - F.col("_off")).alias("rank"),
+                    rank.alias("rank"),
                     (pos - F.floor(pos)).alias("frac"),
                 )
             )
-    targets = (
-        counts.select(*by, "_b", "_n", F.inline(F.array(*wanted)))
-        .where((F.col("rank") >= 0) & (F.col("rank") < F.col("_n")))
-        .drop("_n")
-    )
-    targets = bounded_side(targets)
-
-    keys = [*by, "_b"]
-    near = _null_safe_join(tagged, targets.select(*keys).distinct(), keys)
-    ranked = near.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_upto", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_v"))
+    targets = bounded_side(
+        groups.select(
+            *by,
+            F.lit(0).cast("bigint").alias("_node"),
+            "_n",
+            "_lo",
+            "_hi",
+            F.inline(F.array(*ranks)),
+        )
     )
-    hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n"))
-    picked = _null_safe_join(ranked, targets, keys).where(hit)
+    rows = base.withColumn("_node", F.lit(0).cast("bigint"))
+    node = [*by, "_node"]
+    # Nodes of a group still in play, numbered from 0: never more than asked ranks.
+    slot = (F.dense_rank().over(Window.partitionBy(*by).orderBy("_node")) - 1).cast("bigint")
+    answers = []
+    while True:
+        done = F.col("_lo") == F.col("_hi")
+        answers.append(
+            targets.where(done).select(*by, "prob", "upper", "frac", F.col("_lo").alias("_v"))
+        )
+        targets = targets.where(~done)
+        largest = targets.agg(F.max("_n")).first()[0]
+        if largest is None:
+            break
+        if largest <= buckets_fit:
+            answers.append(_by_sorting(rows, targets, by))
+            break
+        targets = targets.withColumn("_slot", slot)
+        nodes = targets.select(*node, "_slot", "_lo", "_hi").distinct()
+        rows = join_null_safe(rows, nodes, node).select(
+            *by, (F.col("_slot") * BUCKETS + _bucket()).alias("_node"), "_v"
+        )
+        counts = rows.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"), *limits)
+        targets = bounded_side(_descend(targets, counts, by))
+    found = answers[0]
+    for part in answers[1:]:
+        found = found.unionByName(part)
     low = F.max(F.when(~F.col("upper"), v))
     high = F.max(F.when(F.col("upper"), v))
-    return picked.groupBy(*by, "prob").agg(
-        (low + (high - low) * F.max("frac")).alias("quantile")
+    return found.groupBy(*by, "prob").agg(
+        F.when(low == high, low).otherwise(low + (high - low) * F.max("frac")).alias("quantile")
+    )
+
+
+def _descend(targets: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """The child bucket of every target, with the rank inside it."""
+    siblings = Window.partitionBy(*by, "_slot").orderBy("_node")
+    children = counts.withColumn("_slot", F.floor(F.col("_node") / BUCKETS)).withColumn(
+        "_off", F.sum("_n").over(siblings) - F.col("_n")
+    )
+    asked = targets.select(*by, "_slot", "prob", "upper", "rank", "frac")
+    inside = (F.col("rank") >= F.col("_off")) & (F.col("rank") < F.col("_off") + F.col("_n"))
+    return (
+        join_null_safe(children, asked, [*by, "_slot"])
+        .where(inside)
+        .withColumn("rank", F.col("rank") - F.col("_off"))
+        .drop("_slot", "_off")
+    )
+
+
+def _by_sorting(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    node = [*by, "_node"]
+    near = join_null_safe(rows, targets.select(*node).distinct(), node)
+    ranked = near.groupBy(*node, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn(
+        "_upto", F.sum("_c").over(Window.partitionBy(*node).orderBy("_v"))
+    )
+    hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_c"))
+    return (
+        join_null_safe(ranked, targets.select(*node, "prob", "upper", "rank", "frac"), node)
+        .where(hit)
+        .select(*by, "prob", "upper", "frac", "_v")
     )
 
 
@@ -92,10 +147,8 @@ def wide_quantiles(
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join in which null keys match, keeping the left side's key columns."""
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, condition).drop(*(f"_r_{k}" for k in keys))

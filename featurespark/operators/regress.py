@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from featurespark.functions.pvalues import normal_two_sided, scientific_text, t_pvalue
 from featurespark.operators.assoc import batches, union_all
+from featurespark.session import spread
 
 LOGIT_SCHEMA = (
     "feature string, n bigint, intercept double, slope double, "
@@ -24,31 +25,41 @@ def _number(c: str) -> Column:
 
 def ols_per_feature(df: DataFrame, response: str, predictors: Sequence[str]) -> DataFrame:
     """``feature, n, slope, intercept, r2, t_value``; rows missing x or y are left out."""
-    y = _number(response)
     parts = []
     for chunk in batches(list(predictors)):
+        names = {c: f"_x{i}" for i, c in enumerate(chunk)}
+        data = df.select(
+            _number(response).alias("_y"), *(_number(c).alias(x) for c, x in names.items())
+        )
         fits = []
-        for c in chunk:
-            x = _number(c)
+        for c, name in names.items():
+            x, y = F.col(name), F.when(F.col(name).isNotNull(), F.col("_y"))
+            x = F.when(F.col("_y").isNotNull(), x)
             fits.append(
                 F.struct(
                     F.lit(c).alias("feature"),
-                    F.regr_count(y, x).alias("n"),
-                    F.regr_slope(y, x).alias("slope"),
-                    F.regr_intercept(y, x).alias("intercept"),
-                    F.regr_r2(y, x).alias("r2"),
-                    F.regr_sxx(y, x).alias("sxx"),
-                    F.regr_syy(y, x).alias("syy"),
-                    F.regr_sxy(y, x).alias("sxy"),
+                    F.count(x).alias("n"),
+                    F.avg(x).alias("mean_x"),
+                    F.avg(y).alias("mean_y"),
+                    F.var_pop(x).alias("sxx"),
+                    F.var_pop(y).alias("syy"),
+                    F.covar_pop(x, y).alias("sxy"),
                 )
             )
-        parts.append(df.agg(F.array(*fits).alias("fits")).select(F.inline("fits")))
+        parts.append(data.agg(F.array(*fits).alias("fits")).select(F.inline("fits")))
     fit = union_all(parts)
-    residual = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
-    variance = F.try_divide(F.greatest(residual, F.lit(0.0)), F.col("n") - 2)
+    slope = F.try_divide("sxy", "sxx")
+    explained = slope * F.col("sxy")
+    variance = F.try_divide(F.greatest(F.col("syy") - explained, F.lit(0.0)), F.col("n") - 2)
     error = F.sqrt(F.try_divide(variance, F.col("sxx")))
-    t = F.when(F.col("n") > 2, F.try_divide("slope", error))
-    return fit.select("feature", "n", "slope", "intercept", "r2", t.alias("t_value"))
+    return fit.select(
+        "feature",
+        "n",
+        slope.alias("slope"),
+        (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
+        F.try_divide(explained, "syy").alias("r2"),
+        F.when(F.col("n") > 2, F.try_divide(slope, error)).alias("t_value"),
+    )
 
 
 def with_ols_pvalues(fits: DataFrame) -> DataFrame:
@@ -88,7 +99,8 @@ def logit_per_feature(
     names = {c: f"_x{i}" for i, c in enumerate(predictors)}
     data = df.select(
         _number(response).alias("_y"), *(_number(c).alias(x) for c, x in names.items())
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         present = {c: F.when(y.isNotNull(), F.col(x)) for c, x in names.items()}
         row = data.agg(

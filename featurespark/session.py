@@ -6,22 +6,21 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Rows a side may have to be shipped to every executor; checked before each broadcast.
-BROADCAST_ROWS = 20_000
+# Rows a table may have to be copied into the plan, from where Spark broadcasts it by its size.
+LOCAL_ROWS = 20_000
 
 
-def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast copy of ``df`` if it has at most ``max_rows`` rows, else ``df`` itself.
+def bounded_side(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
+    """``df`` computed once: as a local table if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the caller's join
-    stays an ordinary shuffle join, which AQE may still split on skew.
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the result is written to
+    the shared folder, and joins with it are ordinary shuffle joins.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+        return materialize(df, "side")
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,3 +42,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for fits that read it often."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def unpivot_tuples(
+    df: DataFrame, keep: list[str], groups: dict[str, tuple[str, ...]], names: list[str], key: str
+) -> DataFrame:
+    """Long form ``keep..., key, names...``: one row per group of columns, in one expansion."""
+
+    def quoted(columns) -> str:
+        return ", ".join(f"`{c}`" for c in columns)
+
+    entries = ", ".join(f"({quoted(columns)}) AS `{name}`" for name, columns in groups.items())
+    used = dict.fromkeys([*keep, *(c for columns in groups.values() for c in columns)])
+    return df.sparkSession.sql(
+        f"SELECT {quoted([*keep, key, *names])} FROM {{df}}"
+        f" UNPIVOT INCLUDE NULLS (({quoted(names)}) FOR `{key}` IN ({entries}))",
+        df=df.select(*used),
+    )
