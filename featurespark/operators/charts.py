@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurespark.functions.bins import bin_left_closed, edges
@@ -33,21 +33,24 @@ def _grid(df: DataFrame, column: str, n_bins: int) -> tuple[Column, list[float]]
     return bin_left_closed(F.col(column).cast("double"), cuts), cuts
 
 
-def violin(df: DataFrame, by: str, value: str, n_bins: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Per group: five numbers, and a histogram ``bin, n, density`` on one grid for all groups."""
+def violin_quartiles(df: DataFrame, by: str, value: str) -> DataFrame:
+    """Five numbers per group."""
+    return wide_quantiles(df, value, QUARTILES, [by])
+
+
+def violin_shape(df: DataFrame, by: str, value: str, n_bins: int = 20) -> DataFrame:
+    """Per group, a histogram ``bin, n, density`` on one grid for all groups."""
     index, cuts = _grid(df, value, n_bins)
-    five = wide_quantiles(df, value, QUARTILES, [by])
     counts = (
         df.select(by, index.alias("bin"))
         .where(F.col("bin").isNotNull())
         .groupBy(by, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = counts.groupBy(by).agg(F.sum("n").alias("total"))
+    # At most n_bins rows per group are left here.
+    total = F.sum("n").over(Window.partitionBy(by))
     width = (cuts[-1] - cuts[0]) / n_bins if cuts else 0.0
-    density = F.try_divide(F.col("n") / F.col("total"), F.lit(width))
-    shape = counts.join(totals, by).select(by, "bin", "n", density.alias("density"))
-    return five, shape
+    return counts.withColumn("density", F.try_divide(F.col("n") / total, F.lit(width)))
 
 
 def box(df: DataFrame, by: str, value: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from featurespark.session import bounded_side
 
-# Buckets one pass splits a value range into, and the rows that are simply sorted.
+# Buckets one pass splits a value range into, and the rows that are simply sorted instead.
 BUCKETS = 1024
 SORT_ROWS = 1_000_000
 
@@ -33,67 +33,50 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str],
-    buckets_fit: int = SORT_ROWS,
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """Long table ``by..., prob, quantile``; nulls and NaN are left out.
 
     A pass counts rows per bucket of each group's value range, which tells the bucket every
-    asked rank lies in. Buckets with more than ``buckets_fit`` rows are split in a further pass;
-    the others are sorted, as distinct values with counts. No task ever holds a whole group.
+    asked rank lies in. Buckets with more than ``sort_rows`` rows are split in a further pass;
+    the others are sorted, as distinct values with counts. No task ever holds a larger group.
     """
     by = list(by)
     v = F.col("_v")
     base = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         v.isNotNull() & ~F.isnan(v)
     )
-    limits = (F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    groups = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *limits)
-    ranks = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        for upper, rank in ((False, F.floor(pos)), (True, F.ceil(pos))):
-            ranks.append(
-                F.struct(
-                    F.lit(float(p)).alias("prob"),
-                    F.lit(upper).alias("upper"),
-                    rank.alias("rank"),
-                    (pos - F.floor(pos)).alias("frac"),
-                )
-            )
-    targets = bounded_side(
-        groups.select(
-            *by,
-            F.lit(0).cast("bigint").alias("_node"),
-            "_n",
-            "_lo",
-            "_hi",
-            F.inline(F.array(*ranks)),
-        )
+    sizes = (F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    root = F.lit(0).cast("bigint").alias("_node")
+    nodes = bounded_side(
+        base.groupBy(*by).agg(*sizes).select(*by, root, "_n", "_lo", "_hi", _asked(probs))
     )
-    rows = base.withColumn("_node", F.lit(0).cast("bigint"))
-    node = [*by, "_node"]
-    # Nodes of a group still in play, numbered from 0: never more than asked ranks.
-    slot = (F.dense_rank().over(Window.partitionBy(*by).orderBy("_node")) - 1).cast("bigint")
+    rows = base.select(*by, root, "_v")
     answers = []
+    first_pass = True
     while True:
-        done = F.col("_lo") == F.col("_hi")
+        # One row per node, that is per bucket with an asked rank.
+        single = F.col("_lo") == F.col("_hi")
         answers.append(
-            targets.where(done).select(*by, "prob", "upper", "frac", F.col("_lo").alias("_v"))
+            nodes.where(single).select(*by, F.col("_lo").alias("_v"), F.inline("asked"))
         )
-        targets = targets.where(~done)
-        largest = targets.agg(F.max("_n")).first()[0]
+        nodes = nodes.where(~single)
+        largest, total = nodes.agg(F.max("_n"), F.sum("_n")).first()
         if largest is None:
             break
-        if largest <= buckets_fit:
-            answers.append(_by_sorting(rows, targets, by))
+        if largest <= sort_rows and not (first_pass and total > sort_rows):
+            answers.append(_by_sorting(rows, nodes, by))
             break
-        targets = targets.withColumn("_slot", slot)
-        nodes = targets.select(*node, "_slot", "_lo", "_hi").distinct()
-        rows = join_null_safe(rows, nodes, node).select(
+        first_pass = False
+        # Numbered within the group: never more than asked ranks.
+        number = F.row_number().over(Window.partitionBy(*by).orderBy("_node")).cast("bigint")
+        nodes = nodes.withColumn("_slot", number)
+        limits = nodes.select(*by, "_node", "_slot", "_lo", "_hi")
+        rows = join_null_safe(rows, limits, [*by, "_node"]).select(
             *by, (F.col("_slot") * BUCKETS + _bucket()).alias("_node"), "_v"
         )
-        counts = rows.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"), *limits)
-        targets = bounded_side(_descend(targets, counts, by))
+        counts = rows.groupBy(*by, "_node").agg(*sizes)
+        nodes = bounded_side(_descend(nodes, counts, by))
     found = answers[0]
     for part in answers[1:]:
         found = found.unionByName(part)
@@ -104,33 +87,52 @@ def exact_quantiles(
     )
 
 
-def _descend(targets: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
-    """The child bucket of every target, with the rank inside it."""
+def _asked(probs: Sequence[float]) -> Column:
+    """The two neighbouring ranks of every probability among ``_n`` rows."""
+    ranks = []
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for upper, rank in ((False, F.floor(pos)), (True, F.ceil(pos))):
+            ranks.append(
+                F.struct(
+                    F.lit(float(p)).alias("prob"),
+                    F.lit(upper).alias("upper"),
+                    rank.alias("rank"),
+                    (pos - F.floor(pos)).alias("frac"),
+                )
+            )
+    return F.array(*ranks).alias("asked")
+
+
+def _descend(nodes: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """The buckets with asked ranks, and those ranks counted inside the bucket."""
     siblings = Window.partitionBy(*by, "_slot").orderBy("_node")
     children = counts.withColumn("_slot", F.floor(F.col("_node") / BUCKETS)).withColumn(
         "_off", F.sum("_n").over(siblings) - F.col("_n")
     )
-    asked = targets.select(*by, "_slot", "prob", "upper", "rank", "frac")
-    inside = (F.col("rank") >= F.col("_off")) & (F.col("rank") < F.col("_off") + F.col("_n"))
-    return (
-        join_null_safe(children, asked, [*by, "_slot"])
-        .where(inside)
-        .withColumn("rank", F.col("rank") - F.col("_off"))
-        .drop("_slot", "_off")
+    joined = join_null_safe(children, nodes.select(*by, "_slot", "asked"), [*by, "_slot"])
+    off, end = F.col("_off"), F.col("_off") + F.col("_n")
+    inside = F.filter("asked", lambda a: (a["rank"] >= off) & (a["rank"] < end))
+    moved = F.transform(inside, lambda a: a.withField("rank", a["rank"] - off))
+    return joined.select(*by, "_node", "_n", "_lo", "_hi", moved.alias("asked")).where(
+        F.size("asked") > 0
     )
 
 
-def _by_sorting(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+def _by_sorting(rows: DataFrame, nodes: DataFrame, by: list[str]) -> DataFrame:
     node = [*by, "_node"]
-    near = join_null_safe(rows, targets.select(*node).distinct(), node)
-    ranked = near.groupBy(*node, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn(
-        "_upto", F.sum("_c").over(Window.partitionBy(*node).orderBy("_v"))
+    ranked = (
+        join_null_safe(rows, nodes.select(*node), node)
+        .groupBy(*node, "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_upto", F.sum("_c").over(Window.partitionBy(*node).orderBy("_v")))
     )
     hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_c"))
     return (
-        join_null_safe(ranked, targets.select(*node, "prob", "upper", "rank", "frac"), node)
+        join_null_safe(ranked, nodes.select(*node, "asked"), node)
+        .select(*by, "_v", "_c", "_upto", F.inline("asked"))
         .where(hit)
-        .select(*by, "prob", "upper", "frac", "_v")
+        .drop("_c", "_upto")
     )
 
 

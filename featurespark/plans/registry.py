@@ -18,7 +18,7 @@ from featurespark.functions.ratio import ratio_3
 from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows
 from featurespark.plans import views
 from featurespark.plans.views import CATEGORICAL, CONTINUOUS
-from featurespark.session import scratch_path
+from featurespark.session import over_cached, scratch_path
 from featurespark.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -257,7 +257,8 @@ def summary_stats(spark, sf_dir):
 
 @query
 def quartiles(spark, sf_dir):
-    return rounded(profile.quartiles(views.features(spark, sf_dir), CONTINUOUS), 4)
+    data = views.features(spark, sf_dir).select(*CONTINUOUS)
+    return rounded(over_cached(data, lambda d: profile.quartiles(d, CONTINUOUS)), 4)
 
 
 @query
@@ -272,7 +273,7 @@ def column_kinds(spark, sf_dir):
 
 @query
 def boolean_columns(spark, sf_dir):
-    out = profile.boolean_columns(views.features(spark, sf_dir))
+    out = over_cached(views.features(spark, sf_dir), profile.boolean_columns)
     return out.withColumn("is_boolean", F.col("is_boolean").cast("int"))
 
 
@@ -424,64 +425,76 @@ def bin_edges(spark, sf_dir):
     return rounded(msd.bin_edges(views.features(spark, sf_dir), CONTINUOUS))
 
 
+def _msd_1d(spark, sf_dir, **options):
+    data = views.features(spark, sf_dir).select(*CONTINUOUS, "is_returned")
+    return over_cached(data, lambda d: msd.msd_1d(d, CONTINUOUS, **options))
+
+
 @query
 def msd1d(spark, sf_dir):
-    return rounded(msd.msd_1d(views.features(spark, sf_dir), CONTINUOUS), 3)
+    return rounded(_msd_1d(spark, sf_dir), 3)
 
 
 @query
 def msd1d_standard(spark, sf_dir):
-    table = msd.msd_1d(
-        views.features(spark, sf_dir), CONTINUOUS, response="is_returned", mode=msd.STANDARD
-    )
-    return rounded(table)
+    return rounded(_msd_1d(spark, sf_dir, response="is_returned", mode=msd.STANDARD))
 
 
 @query
 def msd1d_summary(spark, sf_dir):
-    table = msd.msd_1d(views.features(spark, sf_dir), CONTINUOUS)
-    return rounded(msd.msd_1d_summary(table), 3)
+    return rounded(msd.msd_1d_summary(_msd_1d(spark, sf_dir)), 3)
+
+
+def _cont_cont(spark, sf_dir, mode):
+    data = views.features(spark, sf_dir).select(*CONTINUOUS, "is_returned")
+    return over_cached(
+        data, lambda d: msd.msd_2d_cont_cont(d, CONTINUOUS, "is_returned", mode=mode)
+    )
 
 
 @query
 def msd2d_cont_cont(spark, sf_dir):
-    cells = msd.msd_2d_cont_cont(views.features(spark, sf_dir), CONTINUOUS, "is_returned")
+    cells = _cont_cont(spark, sf_dir, msd.REFERENCE)
     return rounded(cells.withColumn("weighted_msd", F.col("weighted_msd") * 1e9))
 
 
 @query
 def msd2d_cont_cont_standard(spark, sf_dir):
-    cells = msd.msd_2d_cont_cont(
-        views.features(spark, sf_dir), CONTINUOUS, "is_returned", mode=msd.STANDARD
-    )
-    return rounded(cells, 8)
+    return rounded(_cont_cont(spark, sf_dir, msd.STANDARD), 8)
 
 
 @query
 def msd2d_cat_cont(spark, sf_dir):
-    cells = msd.msd_2d_cont_cat(
-        views.features(spark, sf_dir), CONTINUOUS, CATEGORICAL, "is_returned"
+    data = views.features(spark, sf_dir).drop("l_orderkey")
+    return rounded(
+        over_cached(
+            data, lambda d: msd.msd_2d_cont_cat(d, CONTINUOUS, CATEGORICAL, "is_returned")
+        ),
+        8,
     )
-    return rounded(cells, 8)
 
 
 @query
 def msd2d_cat_cat(spark, sf_dir):
+    data = views.features(spark, sf_dir).select(*CATEGORICAL, "is_returned")
     return rounded(
-        msd.msd_2d_cat_cat(views.features(spark, sf_dir), CATEGORICAL, "is_returned"), 8
+        over_cached(data, lambda d: msd.msd_2d_cat_cat(d, CATEGORICAL, "is_returned")), 8
     )
 
 
 @query
 def msd2d_rank(spark, sf_dir):
-    data = views.features(spark, sf_dir)
-    kinds = {
-        "cont_cont": msd.msd_2d_cont_cont(data, CONTINUOUS, "is_returned", mode=msd.STANDARD),
-        "cont_cat": msd.msd_2d_cont_cat(data, CONTINUOUS, CATEGORICAL, "is_returned"),
-        "cat_cat": msd.msd_2d_cat_cat(data, CATEGORICAL, "is_returned"),
-    }
-    ranks = [msd.msd_rank(c).withColumn("kind", F.lit(k)) for k, c in kinds.items()]
-    return rounded(assoc.union_all(ranks), 8)
+    def ranks(data):
+        kinds = {
+            "cont_cont": msd.msd_2d_cont_cont(data, CONTINUOUS, "is_returned", mode=msd.STANDARD),
+            "cont_cat": msd.msd_2d_cont_cat(data, CONTINUOUS, CATEGORICAL, "is_returned"),
+            "cat_cat": msd.msd_2d_cat_cat(data, CATEGORICAL, "is_returned"),
+        }
+        return assoc.union_all(
+            [msd.msd_rank(cells).withColumn("kind", F.lit(k)) for k, cells in kinds.items()]
+        )
+
+    return rounded(over_cached(views.features(spark, sf_dir).drop("l_orderkey"), ranks), 8)
 
 
 # Chart tables
@@ -500,20 +513,24 @@ def chart_scatter_sample(spark, sf_dir):
 
 @query
 def chart_violin(spark, sf_dir):
-    _, shape = charts.violin(views.features(spark, sf_dir), "l_returnflag", "l_extendedprice")
-    return rounded(shape, 9)
+    data = views.features(spark, sf_dir).select("l_returnflag", "l_extendedprice")
+    return rounded(
+        over_cached(data, lambda d: charts.violin_shape(d, "l_returnflag", "l_extendedprice")), 9
+    )
 
 
 @query
 def chart_violin_quartiles(spark, sf_dir):
-    five, _ = charts.violin(views.features(spark, sf_dir), "p_type", "l_extendedprice")
-    return rounded(five, 4)
+    data = views.features(spark, sf_dir).select("p_type", "l_extendedprice")
+    return rounded(
+        over_cached(data, lambda d: charts.violin_quartiles(d, "p_type", "l_extendedprice")), 4
+    )
 
 
 @query
 def chart_box(spark, sf_dir):
-    documents = views.table(spark, sf_dir, "documents")
-    return rounded(charts.box(documents, "lang", "n_chars"))
+    data = views.table(spark, sf_dir, "documents").select("lang", "n_chars")
+    return rounded(over_cached(data, lambda d: charts.box(d, "lang", "n_chars")))
 
 
 @query
@@ -536,8 +553,7 @@ def chart_histogram(spark, sf_dir):
 
 @query
 def chart_msd(spark, sf_dir):
-    table = msd.msd_1d(views.features(spark, sf_dir), CONTINUOUS)
-    return rounded(charts.msd_series(table), 3)
+    return rounded(charts.msd_series(_msd_1d(spark, sf_dir)), 3)
 
 
 # Models

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows a table may have to be copied into the plan, from where Spark broadcasts it by its size.
@@ -50,6 +52,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def over_cached(df: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``compute(df)`` for a computation that passes over ``df`` several times.
+
+    ``df`` is kept in memory and on disk meanwhile and released afterwards, so the result is
+    evaluated here: small results become a local table, others a written one.
+    """
+    data = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return bounded_side(compute(data))
+    finally:
+        data.unpersist()
+
+
 def unpivot_tuples(
     df: DataFrame, keep: list[str], groups: dict[str, tuple[str, ...]], names: list[str], key: str
 ) -> DataFrame:
