@@ -12,7 +12,7 @@ from itertools import combinations_with_replacement, product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurespark.session import unpivot_tuples
+from featurespark.session import bounded_side, unpivot_tuples
 
 # Output rows one pass makes out of an input row; more pairs are spread over several passes.
 PAIRS_PER_PASS = 64
@@ -108,8 +108,8 @@ def correlation_ratio(
 ) -> DataFrame:
     """Eta of every continuous column (predictor1) grouped by every categorical (predictor2).
 
-    One pass yields count, mean and variance per category; the total sum of squares is the sum
-    of the parts between and within categories.
+    One pass, run here, yields count, mean and variance per category; the total sum of squares
+    is the sum of the parts between and within categories.
     """
     pairs = list(product(continuous, categorical))
     if not pairs:
@@ -152,7 +152,7 @@ def correlation_ratio(
                 ),
             ).where(F.col("n") > 0)
         )
-    groups = union_all(parts)
+    groups = bounded_side(union_all(parts))
     pair = ["predictor1", "predictor2"]
     # As many rows as there are pairs of columns: a bound known from the plan.
     totals = groups.groupBy(*pair).agg(
@@ -172,7 +172,7 @@ def correlation_ratio(
 def contingency_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Chi-square of every pair: ``predictor1, predictor2, n, r, c, chi2, chi2_yates``.
 
-    One pass counts the non-empty cells of all pairs; the rest works on those counts. An empty
+    One pass, run here, counts the non-empty cells; the rest works on those counts. An empty
     cell contributes its expected count, so empty cells are never made into rows. The two
     statistics differ for 2 x 2 tables only.
     """
@@ -188,8 +188,10 @@ def contingency_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
             unpivot_tuples(data, [], groups, ["v1", "v2"], "pair")
             .groupBy("pair", "v1", "v2")
             .agg(F.count(F.lit(1)).alias("o"))
-            .withColumn("pair", F.col("pair").cast("int"))
+            .select(F.col("pair").cast("int").alias("pair"), "v1", "v2", "o")
         )
+        # Read several times below, so computed here once.
+        cells = bounded_side(cells)
         rows = cells.groupBy("pair", "v1").agg(F.sum("o").alias("row_n"))
         cols = cells.groupBy("pair", "v2").agg(F.sum("o").alias("col_n"))
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from featurespark.operators.quantiles import wide_quantiles
+from featurespark.session import bounded_side
 
 CATEGORICAL = "categorical"
 CONTINUOUS = "continuous"
@@ -149,31 +150,31 @@ def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def crosstab_wide(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row per value of ``x``, one count column per value of ``y``, 0 for empty cells."""
-    return df.groupBy(x).pivot(y).count().fillna(0)
-
-
-def crosstab(df: DataFrame, x: str, y: str) -> DataFrame:
-    """All cells ``x, y, n`` with zeros, and both margins.
+    """One row per value of ``x``, one count column per value of ``y``, 0 for empty cells.
 
     The number of ``y`` values is bounded by ``spark.sql.pivotMaxValues``; :func:`contingency`
     has no such bound.
     """
-    wide = df.groupBy(x).pivot(y).count()
-    cells = [c for c in wide.columns if c != x]
-    margin_y = df.groupBy(y).agg(F.count(F.lit(1)).alias("y_total"))
-    long = wide.fillna(0, cells).unpivot([x], cells, y, "n").withColumn(
-        y, F.col(y).cast(df.schema[y].dataType)
-    )
-    totals = Window.partitionBy(x)
-    return long.withColumn("x_total", F.sum("n").over(totals)).join(margin_y, y)
+    return _pivot(bounded_side(contingency(df, x, y)), x, y)
+
+
+def _pivot(cells: DataFrame, x: str, y: str) -> DataFrame:
+    wide = cells.groupBy(x).pivot(y).agg(F.first("n"))
+    return wide.fillna(0, [c for c in wide.columns if c != x])
+
+
+def crosstab(df: DataFrame, x: str, y: str) -> DataFrame:
+    """All cells ``x, y, n`` with zeros, and both margins; bounded like :func:`crosstab_wide`."""
+    cells = bounded_side(contingency(df.dropna(subset=[x, y]), x, y))
+    wide = _pivot(cells, x, y)
+    names = [c for c in wide.columns if c != x]
+    long = wide.unpivot([x], names, y, "n").withColumn(y, F.col(y).cast(df.schema[y].dataType))
+    x_totals = cells.groupBy(x).agg(F.sum("n").alias("x_total"))
+    y_totals = cells.groupBy(y).agg(F.sum("n").alias("y_total"))
+    return long.join(x_totals, x).join(y_totals, y)
 
 
 def nonzero_mean(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean of the non-zero values; NULL if there are none."""
     value = F.avg(F.when(F.col(column) != 0, F.col(column)))
     return df.groupBy(*by).agg(value.alias("nonzero_mean"))
-
-
-def is_numeric(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (NumericType, BooleanType))
