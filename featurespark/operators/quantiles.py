@@ -7,19 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurespark.session import bounded_side
+from featurespark.session import bounded_side, materialize
 
 # Buckets one pass splits a value range into, and the rows that are simply sorted instead.
 BUCKETS = 1024
 SORT_ROWS = 1_000_000
 
 
-def _bucket() -> Column:
+def _magnitude(x: Column) -> Column:
+    """A monotone scale on which all orders of magnitude have the same width."""
+    log = F.log(F.abs(x)) + 708.0
+    return F.when(x == 0, 0.0).otherwise(F.signum(x) * F.greatest(log, F.lit(0.0)))
+
+
+def _bucket(by_magnitude: bool) -> Column:
     """Bucket of ``_v`` in [_lo, _hi]; the two ends always get buckets of their own."""
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
     # Halves keep the range finite; infinite ends are split off by their own buckets.
-    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
-    inner = F.floor(F.when(F.isnan(share), 0.0).otherwise(share) * (BUCKETS - 2))
+    share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+    if by_magnitude:
+        a, b, c = _magnitude(v), _magnitude(lo), _magnitude(hi)
+        share = F.when(b == c, share).otherwise(F.try_divide(a - b, c - b))
+    share = F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0))
+    inner = F.floor(share * (BUCKETS - 2))
     return (
         F.when(v <= lo, 0)
         .when(v >= hi, BUCKETS - 1)
@@ -53,7 +63,7 @@ def exact_quantiles(
     )
     rows = base.select(*by, root, "_v")
     answers = []
-    first_pass = True
+    passes = 0
     while True:
         # One row per node, that is per bucket with an asked rank.
         single = F.col("_lo") == F.col("_hi")
@@ -64,17 +74,20 @@ def exact_quantiles(
         largest, total = nodes.agg(F.max("_n"), F.sum("_n")).first()
         if largest is None:
             break
-        if largest <= sort_rows and not (first_pass and total > sort_rows):
+        if largest <= sort_rows and not (passes == 0 and total > sort_rows):
             answers.append(_by_sorting(rows, nodes, by))
             break
-        first_pass = False
+        if passes > 1:
+            # Only rows near asked ranks are left: cheap to write, and the lineage stays short.
+            rows = materialize(rows, "near-ranks")
         # Numbered within the group: never more than asked ranks.
         number = F.row_number().over(Window.partitionBy(*by).orderBy("_node")).cast("bigint")
         nodes = nodes.withColumn("_slot", number)
         limits = nodes.select(*by, "_node", "_slot", "_lo", "_hi")
-        rows = join_null_safe(rows, limits, [*by, "_node"]).select(
-            *by, (F.col("_slot") * BUCKETS + _bucket()).alias("_node"), "_v"
-        )
+        # Every other pass works by magnitude, so long tails do not need many passes.
+        child = F.col("_slot") * BUCKETS + _bucket(by_magnitude=passes % 2 == 1)
+        rows = join_null_safe(rows, limits, [*by, "_node"]).select(*by, child.alias("_node"), "_v")
+        passes += 1
         counts = rows.groupBy(*by, "_node").agg(*sizes)
         nodes = bounded_side(_descend(nodes, counts, by))
     found = answers[0]

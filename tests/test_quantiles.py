@@ -21,15 +21,15 @@ def check(spark, groups, sort_rows):
             assert got[g, p] == pytest.approx(np.quantile(xs, p), rel=1e-12), (g, p)
 
 
-@pytest.mark.parametrize("sort_rows", [1, 50, 1_000_000])
+@pytest.mark.parametrize("sort_rows", [20, 1_000_000])
 def test_equal_to_sorting(spark, sort_rows):
     rng = random.Random(3)
     check(
         spark,
         {
-            "uniform": [rng.random() for _ in range(3000)],
-            "hot": [5.0] * 2000 + [rng.gauss(5, 1) for _ in range(500)],
-            "wide": [10.0 ** rng.uniform(-250, 250) for _ in range(500)],
+            "uniform": [rng.random() for _ in range(800)],
+            "hot": [5.0] * 500 + [rng.gauss(5, 1) for _ in range(300)],
+            "wide": [10.0 ** rng.uniform(-250, 250) for _ in range(300)],
             "constant": [2.5] * 100,
             "one": [1.25],
             "two": [-1.0, 1.0],
