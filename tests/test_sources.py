@@ -60,12 +60,11 @@ def test_jdbc_options():
         jdbc.jdbc_options("jdbc:x", query="q", partition_column="id")
 
 
-def test_scratch_folder_comes_from_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert session.scratch_path(spark, "x").startswith(str(tmp_path))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_folder_comes_from_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    first, second = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
+    assert first.startswith(f"{folder}/x-") and second.startswith(f"{folder}/x-")
+    assert first != second
 
 
 def test_bounded_side(spark):
