@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurespark.functions.ratio import plain_ratio, ratio_3
+from featurespark.session import LOCAL_ROWS
 
 DAY_MICROS = 86_400_000_000
 
@@ -101,10 +102,14 @@ def rolling_avg_latest(facts: DataFrame, days: int = 100, limit: int = 100) -> D
     """The last ``limit`` rows by game id (ties: batter) with their rolling sums.
 
     The target rows are few by definition, so they are broadcast and the facts are reduced
-    against them on the map side; no window over the whole table is needed.
+    against them on the map side; no window over the whole table is needed. More rows than may
+    be broadcast take the way over the window.
     """
+    order = [F.desc_nulls_last("game_id"), F.asc_nulls_last("batter")]
+    if limit > LOCAL_ROWS:
+        return rolling_avg(facts, days).orderBy(*order).limit(limit)
     targets = (
-        facts.orderBy(F.desc_nulls_last("game_id"), F.asc_nulls_last("batter"))
+        facts.orderBy(*order)
         .limit(limit)
         .select(
             F.monotonically_increasing_id().alias("row_id"),

@@ -47,9 +47,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores, for fits that read it often."""
+    """``df`` over all cores if it comes from fewer files than that, for several passes.
+
+    Nothing is run to find out. Tables of many files, and inputs that are not files, stay as
+    they are.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def over_cached(df: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:

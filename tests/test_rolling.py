@@ -90,6 +90,7 @@ def test_rewrites_equal_the_joins_they_replace(spark):
     assert hits(rolling.rolling_avg(df)) == strict
     latest = sorted(strict, reverse=True)[:100]
     assert hits(rolling.rolling_avg_latest(df)) == {g: strict[g] for g in latest}
+    assert hits(rolling.rolling_avg_latest(df, limit=30_000)) == strict
     instants = df.withColumn("local_date", F.col("local_date").cast("timestamp"))
     assert hits(rolling.rolling_avg_instants(instants)) == strict
     got = {r["batter"]: r["sum_hits"] for r in rolling.rolling_pair_sums(df).collect()}
