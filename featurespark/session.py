@@ -17,8 +17,20 @@ def bounded_side(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
     """``df`` computed once: as a local table if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows. Beyond the bound the result is written to
-    the shared folder, and joins with it are ordinary shuffle joins.
+    the shared folder, and joins with it are ordinary shuffle joins. The rows are kept between
+    the check and the write, so what ``df`` is made of is not computed again.
     """
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        return _local_or_written(df, max_rows)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _local_or_written(df, max_rows)
+    finally:
+        df.unpersist()
+
+
+def _local_or_written(df: DataFrame, max_rows: int) -> DataFrame:
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return materialize(df, "side")
