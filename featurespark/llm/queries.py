@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from featurespark.llm import content_sort
+from featurespark.llm import bpe_backtrack, content_sort, digest_cache, residual_packing
 from featurespark.llm.common import table
+from featurespark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -22,6 +24,25 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op4_digest_cache(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    cache = scratch_path(spark, "token-counts")
+    return digest_cache.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), cache)
+
+
 @query
 def op6_content_sort(spark, sf_dir):
     return content_sort.content_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+@query
+def op7_bpe_backtrack(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return bpe_backtrack.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_residual_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return residual_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
