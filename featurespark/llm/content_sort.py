@@ -17,6 +17,9 @@ from featurespark.llm.common import ascii_lower, shuffle_partitions, text_or_emp
 
 # A text is hot when it holds more rows than a quarter of an even range, and this many at least.
 HOT_ROWS = 1000
+# Characters of a text that splitters hold, so that the sampled keys stay small. Texts that agree
+# in them are ordered by a hash, and equal texts still meet: the window compares whole texts.
+HEAD = 64
 HOT_SHARE = 4
 
 
@@ -61,13 +64,14 @@ def content_groups(
     marked = (
         rows.join(F.broadcast(hot), "text_sha256", "left")
         .withColumn("norm", F.when(~is_hot, F.col("norm")))
-        .withColumn("salt", F.when(is_hot, F.xxhash64("id")))
+        .withColumn("head", F.left("norm", F.lit(HEAD)))
+        .withColumn("spread", F.when(is_hot, F.xxhash64("id")).otherwise(F.xxhash64("norm")))
     )
     order = F.col("id").desc_nulls_last() if largest else F.col("id").asc_nulls_last()
-    group = Window.partitionBy("norm", "salt", "text_sha256")
+    group = Window.partitionBy("head", "spread", "norm", "text_sha256")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = (
-        marked.repartitionByRange("norm", "salt")
+        marked.repartitionByRange("head", "spread")
         .withColumn("place", F.row_number().over(group.orderBy(order)))
         .withColumn("best", best.over(whole))
         .withColumn("size", F.count(F.lit(1)).over(whole))
