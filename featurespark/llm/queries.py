@@ -7,7 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from featurespark.llm import bpe_backtrack, content_sort, digest_cache, residual_packing
+from featurespark.llm import (
+    bpe_backtrack,
+    content_sort,
+    digest_cache,
+    gray_simhash,
+    residual_packing,
+)
 from featurespark.llm.common import table
 from featurespark.session import scratch_path
 
@@ -46,3 +52,8 @@ def op7_bpe_backtrack(spark, sf_dir):
 def op9_residual_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return residual_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_gray_simhash(spark, sf_dir):
+    return gray_simhash.near_components(table(spark, sf_dir, "documents"))
