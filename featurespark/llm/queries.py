@@ -13,6 +13,7 @@ from featurespark.llm import (
     digest_cache,
     gray_simhash,
     residual_packing,
+    toxicity,
 )
 from featurespark.llm.common import table
 from featurespark.session import scratch_path
@@ -30,6 +31,13 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
 @query
 def op4_digest_cache(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
