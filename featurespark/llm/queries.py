@@ -12,6 +12,7 @@ from featurespark.llm import (
     content_sort,
     digest_cache,
     gray_simhash,
+    html_templates,
     residual_packing,
     toxicity,
 )
@@ -56,6 +57,11 @@ def op7_bpe_backtrack(spark, sf_dir):
     return bpe_backtrack.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_html_templates(spark, sf_dir):
+    return html_templates.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_residual_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
