@@ -9,6 +9,23 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 """
 
 _ORACLES = {
+    "op5_kd_search": """
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+      FROM scored)
+WHERE rank <= 20
+""",
     "op6_content_sort": f"""
 WITH content AS ({CONTENT}),
 sizes AS (SELECT lower_text, max(doc_id) AS keep_id, count(*) AS group_size FROM content GROUP BY 1)

@@ -13,6 +13,7 @@ from featurespark.llm import (
     digest_cache,
     gray_simhash,
     html_templates,
+    kd_search,
     residual_packing,
     toxicity,
 )
@@ -46,6 +47,11 @@ def op4_digest_cache(spark, sf_dir):
     return digest_cache.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), cache)
 
 
+@query
+def op5_kd_search(spark, sf_dir):
+    return kd_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_content_sort(spark, sf_dir):
     return content_sort.content_groups(table(spark, sf_dir, "documents"), keep="largest")
