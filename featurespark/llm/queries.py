@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from featurespark.llm import (
+    bfd_matrices,
     bpe_backtrack,
     content_sort,
     digest_cache,
@@ -33,6 +34,13 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op1_bfd_matrices(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    packed = bfd_matrices.pack_matrices(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return bfd_matrices.matrix_digests(packed)
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
