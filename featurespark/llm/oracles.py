@@ -8,7 +8,42 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM documents)
 """
 
+
+
+def _warc(html: str) -> str:
+    http = f"'HTTP/1.1 200 OK' || crlf || 'Content-Type: text/html; charset=utf-8' || crlf || crlf || {html}"
+    return f"""
+    'WARC/1.0' || crlf || 'WARC-Type: response' || crlf || 'WARC-Date: 1970-01-01T00:00:00Z' || crlf
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || crlf || 'WARC-Target-URI: '
+    || coalesce(url, '') || crlf || 'Content-Type: application/http;msgtype=response' || crlf
+    || 'Content-Length: ' || strlen({http}) || crlf || crlf || {http} || crlf || crlf"""
+
+
 _ORACLES = {
+    "op2_warc_fixity": f"""
+WITH source AS (
+    SELECT page_id, url, coalesce(html, '') AS html, chr(13) || chr(10) AS crlf,
+           left(md5(CAST(page_id AS VARCHAR)), 2) AS mark
+    FROM pages
+),
+records AS (
+    SELECT page_id, mark, {_warc("html")} AS content,
+           {_warc("'#' || substring(html, 2)")} AS spoilt
+    FROM source
+),
+placed AS (
+    SELECT *, CAST(CAST(floor(page_id / 1000) AS BIGINT) AS VARCHAR) AS file,
+           CAST(coalesce(sum(strlen(content)) OVER (
+               PARTITION BY floor(page_id / 1000) ORDER BY page_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+    FROM records
+)
+SELECT page_id, file, "offset", CASE mark WHEN '00' THEN 'altered' ELSE 'missing' END AS status,
+       sha256('0' || content) AS primary_sha256,
+       CASE mark WHEN '00' THEN sha256('0' || spoilt) END AS replica_sha256
+FROM placed
+WHERE mark = '01' OR mark = '00' AND spoilt <> content
+""",
     "op5_kd_search": """
 WITH whole AS (
     SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v

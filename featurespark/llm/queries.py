@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from featurespark.llm import (
     bfd_matrices,
@@ -17,6 +18,7 @@ from featurespark.llm import (
     kd_search,
     residual_packing,
     toxicity,
+    warc_fixity,
 )
 from featurespark.llm.common import table
 from featurespark.session import scratch_path
@@ -41,6 +43,16 @@ def op1_bfd_matrices(spark, sf_dir):
     return bfd_matrices.matrix_digests(packed)
 
 
+@query
+def op2_warc_fixity(spark, sf_dir):
+    """The second replica is damaged by a rule on the id: some records altered, some lost."""
+    mark = F.left(F.md5(F.col("page_id").cast("string")), F.lit(2))
+    html = F.coalesce("html", F.lit(""))
+    altered = F.when(mark == "00", F.concat(F.lit("#"), F.substring(html, 2, 1 << 30))).otherwise(html)
+    pages = table(spark, sf_dir, "pages")
+    return warc_fixity.audit_pages(pages, altered, F.coalesce(mark == "01", F.lit(False)))
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
