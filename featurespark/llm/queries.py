@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +98,8 @@ def op9_residual_packing(spark, sf_dir):
 @query
 def op10_gray_simhash(spark, sf_dir):
     return gray_simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
