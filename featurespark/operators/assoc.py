@@ -1,7 +1,7 @@
 """Association between columns: Pearson r, correlation ratio, chi-square, V and T.
 
-Inputs are expected without missing values (``rows.drop_missing``); the categorical measures
-count a null as the category ``'0'``.
+Pearson r leaves out pairs with a null or NaN. The other measures expect columns without missing
+values (``rows.drop_missing``); the categorical ones count a null as the category ``'0'``.
 """
 
 from __future__ import annotations
@@ -43,8 +43,15 @@ def category(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("0"))
 
 
+def finite(c: Column) -> Column:
+    """The value as double, NaN as null."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def pearson(x: Column, y: Column) -> Column:
-    """Pearson r; NULL if a side is constant."""
+    """Pearson r over the pairs without a missing side; NULL if a side is constant among them."""
+    x, y = finite(x), finite(y)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -60,7 +67,7 @@ def corr_pairs(
     for chunk in batches(pairs):
         row = df.agg(
             *(
-                pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
+                pearson(F.col(a), F.col(b)).alias(f"p{i}")
                 for i, (a, b) in enumerate(chunk)
             )
         )

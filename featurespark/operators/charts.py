@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featurespark.functions.bins import bin_left_closed, edges
 from featurespark.operators.msd import column_ranges
 from featurespark.operators.profile import QUARTILES
-from featurespark.operators.quantiles import wide_quantiles
+from featurespark.operators.quantiles import join_null_safe, wide_quantiles
 from featurespark.session import bounded_side
 
 
@@ -25,8 +25,10 @@ def scatter_sample(df: DataFrame, key: str, x: str, y: str, n: int = 1000) -> Da
     return points.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
 
 
-def _grid(df: DataFrame, column: str, n_bins: int) -> tuple[Column, list[float]]:
-    _, ranges = column_ranges(df, [column])
+def _grid(
+    df: DataFrame, column: str, n_bins: int, ranges: dict | None = None
+) -> tuple[Column, list[float]]:
+    ranges = ranges or column_ranges(df, [column])[1]
     if ranges[column]["lo"] is None:
         return F.lit(None).cast("int"), []
     cuts = edges(ranges[column]["lo"], ranges[column]["hi"], n_bins)
@@ -65,7 +67,7 @@ def box(df: DataFrame, by: str, value: str) -> DataFrame:
     )
     stats = [*QUARTILES, "iqr"]
     return (
-        points.join(q, by)
+        join_null_safe(points, q, [by])
         .groupBy(by)
         .agg(
             *(F.first(c).alias(c) for c in stats),
@@ -81,8 +83,12 @@ def density_heatmap(
 ) -> DataFrame:
     """``x_cell, y_cell, n``; an axis without bins uses its values as they are."""
 
+    binned = [c for c, n in ((x, x_bins), (y, y_bins)) if n is not None]
+    # One pass for the ranges of both axes.
+    ranges = column_ranges(df, list(dict.fromkeys(binned)))[1] if binned else {}
+
     def axis(column: str, n_bins: int | None) -> Column:
-        return F.col(column) if n_bins is None else _grid(df, column, n_bins)[0]
+        return F.col(column) if n_bins is None else _grid(df, column, n_bins, ranges)[0]
 
     return (
         df.select(axis(x, x_bins).alias("x_cell"), axis(y, y_bins).alias("y_cell"))

@@ -69,9 +69,7 @@ def _assign_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.select("point", "vec").mapInPandas(nearest, schema)
 
 
-def _visits(
-    assigned: DataFrame, pivots: np.ndarray, cells: pd.DataFrame, with_vec: bool
-) -> DataFrame:
+def _visits(assigned: DataFrame, pivots: np.ndarray, cells: pd.DataFrame) -> DataFrame:
     """Each query with every cell that may hold one of its neighbours."""
     ids = cells["cell"].to_numpy()
     at = pivots[ids]
@@ -87,14 +85,15 @@ def _visits(
             reach = np.nanmin(np.where(np.isnan(kth), np.inf, d + kth), axis=1)
             lowest = np.maximum(d - far, near - d)
             q, c = np.nonzero(lowest <= reach[:, None] + _SLACK)
-            out = {"cell": ids[c].astype(np.int32), "query": batch["point"].to_numpy()[q]}
-            if with_vec:
-                out["q_vec"] = batch["vec"].to_numpy()[q]
-            yield pd.DataFrame(out)
-
-    schema = f"cell int, query {dict(assigned.dtypes)['point']}"
-    if with_vec:
-        schema += ", q_vec array<double>"
+            yield pd.DataFrame(
+                {
+                    "cell": ids[c].astype(np.int32),
+                    "query": batch["point"].to_numpy()[q],
+                    "q_vec": batch["vec"].to_numpy()[q],
+                }
+            )
+
+    schema = f"cell int, query {dict(assigned.dtypes)['point']}, q_vec array<double>"
     return assigned.select("point", "vec").mapInPandas(route, schema)
 
 
@@ -140,23 +139,30 @@ def nearest_neighbours(
     """``id, label, neighbours``: the k nearest rows of every row, ordered by distance, then id.
 
     ``neighbours`` is array<struct<distance, id, label>>; distances are rounded to 9 digits
-    before comparing. ``id_col`` must be unique. Rows without a vector are left out.
+    before comparing. ``id_col`` must be unique. Rows without a vector are left out; rows whose
+    vector has a null, NaN or infinite component are nobody's neighbours and have none.
     """
     spark = df.sparkSession
     vector = F.col(vector_col).cast("array<double>")
     if normalize:
         vector = l2_normalize(vector)
     need = k + 1 if exclude_self else k
-    points = materialize(_points(df, id_col, label_col, vector, need), "knn-points")
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    points = materialize(_points(df.where(finite), id_col, label_col, vector, need), "knn-points")
     n = points.count()
     wanted = n_pivots or min(MAX_PIVOTS, math.ceil(n / block_rows))
     chosen = points.orderBy(F.xxhash64("point"), "point").limit(max(1, wanted)).select("vec")
     pivots = np.array([r["vec"] for r in chosen.collect()], dtype=np.float64)
+    rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vector.alias("vec"))
+    kinds = dict(rows.dtypes)
+    none = F.array().cast(f"array<struct<distance:double,id:{kinds['id']},label:{kinds['label']}>>")
+    # A vector with a null component is neither finite nor not finite: it has no neighbours too.
+    lonely = rows.where(F.col("vec").isNotNull() & ~F.coalesce(
+        F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
+        F.lit(False),
+    )).select("id", "label", none.alias("neighbours"))
     if not len(pivots):
-        return spark.createDataFrame(
-            [], f"id long, label {dict(df.dtypes)[label_col]}, neighbours array<struct<"
-            f"distance:double,id:long,label:{dict(df.dtypes)[label_col]}>>"
-        )
+        return lonely
     assigned = materialize(_assign_cells(points, pivots), "knn-cells")
 
     in_cell = F.row_number().over(Window.partitionBy("cell").orderBy("to_pivot"))
@@ -178,12 +184,9 @@ def nearest_neighbours(
         .toPandas()
         .sort_values("cell", ignore_index=True)
     )
-    demand = (
-        _visits(assigned, pivots, cells, with_vec=False)
-        .groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n_queries"))
-        .toPandas()
-    )
+    # Routed once: written, then counted and compared.
+    visits = materialize(_visits(assigned, pivots, cells), "knn-visits")
+    demand = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries")).toPandas()
     plan = cells.merge(demand, on="cell")
     plan["ref_blocks"] = np.ceil(plan["n_refs"] / block_rows).astype(int)
     plan["query_blocks"] = np.ceil(plan["n_queries"] / block_rows).astype(int)
@@ -204,7 +207,7 @@ def nearest_neighbours(
         "point",
         "vec",
     )
-    queries = _visits(assigned, pivots, cells, with_vec=True).join(blocks, "cell").select(
+    queries = visits.join(blocks, "cell").select(
         "cell",
         every("ref_blocks").alias("ref_block"),
         F.pmod(F.xxhash64("query"), F.col("query_blocks")).cast("int").alias("query_block"),
@@ -230,13 +233,13 @@ def nearest_neighbours(
         .agg(F.sort_array(F.collect_list(F.struct("distance", "id", "label"))).alias("near"))
     )
     by_vector = points.select(F.col("point").alias("query"), "vec").join(members, "query")
-    rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vector.alias("vec"))
     near = F.col("near")
     if exclude_self:
         near = F.filter(near, lambda x: x["id"] != F.col("id"))
-    return rows.join(by_vector, "vec").select(
+    found = rows.join(by_vector, "vec").select(
         "id", "label", F.slice(near, 1, k).alias("neighbours")
     )
+    return found.unionByName(lonely)
 
 
 def class_weights(neighbours: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from featurespark.operators.quantiles import wide_quantiles
-from featurespark.session import bounded_side
+from featurespark.operators.quantiles import SORT_ROWS, wide_quantiles
+from featurespark.session import LOCAL_ROWS, bounded_side
 
 CATEGORICAL = "categorical"
 CONTINUOUS = "continuous"
@@ -122,9 +122,12 @@ def summary_stats(df: DataFrame, columns: Sequence[str], digits: int = 3) -> Dat
     return row.unpivot([], list(columns), "feature", "s").select("feature", "s.*")
 
 
-def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``feature, q0 .. q4``, exact, linear interpolation."""
-    return wide_quantiles(unpivot(df, columns), "value", QUARTILES, ["feature"])
+def quartiles(df: DataFrame, columns: Sequence[str], sort_rows: int = SORT_ROWS) -> DataFrame:
+    """``feature, q0 .. q4``, exact, linear interpolation.
+
+    Groups above ``sort_rows`` are narrowed down by counting before anything is sorted.
+    """
+    return wide_quantiles(unpivot(df, columns), "value", QUARTILES, ["feature"], sort_rows)
 
 
 def quartiles_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
@@ -137,11 +140,11 @@ def quartiles_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_0
     )
 
 
-def class_counts(df: DataFrame, column: str) -> DataFrame:
-    """``column, n, share``."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / total)
+def class_counts(df: DataFrame, column: str, max_rows: int = LOCAL_ROWS) -> DataFrame:
+    """``column, n, share``; more than ``max_rows`` classes are written, not sent to the driver."""
+    # The grouped counts are computed once; their sum is the number of rows.
+    counts = bounded_side(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")), max_rows)
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -149,29 +152,74 @@ def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab_wide(df: DataFrame, x: str, y: str) -> DataFrame:
+# Values of ``y`` a crosstab may have: its rows or columns are listed on the driver.
+CROSSTAB_VALUES = 10_000
+
+
+def _numbered_values(cells: DataFrame, y: str, most: int) -> tuple[DataFrame, list[str]]:
+    """The values of ``y`` in order as a local table ``_y, _total, _index``, and their names."""
+    rows = (
+        cells.groupBy(F.col(y).alias("_y"))
+        .agg(F.sum("n").alias("_total"))
+        .withColumn("_name", F.coalesce(F.col("_y").cast("string"), F.lit("null")))
+        .orderBy("_y")
+        .limit(most + 1)
+        .collect()
+    )
+    if len(rows) > most:
+        raise ValueError(f"{y} has more than {most} values; contingency() has no such bound")
+    kind = cells.schema[y].dataType.simpleString()
+    values = cells.sparkSession.createDataFrame(
+        [(r["_y"], r["_total"], i) for i, r in enumerate(rows)],
+        f"_y {kind}, _total bigint, _index int",
+    )
+    return values, [r["_name"] for r in rows]
+
+
+def _counted(cells: DataFrame, values: DataFrame, x: str, y: str) -> DataFrame:
+    """``x, counts, x_total``: per value of ``x`` a map from number of ``y`` value to count."""
+    numbered = cells.join(values, F.col(y).eqNullSafe(F.col("_y")))
+    entries = F.map_from_entries(F.collect_list(F.struct("_index", "n")))
+    return numbered.groupBy(x).agg(entries.alias("_counts"), F.sum("n").alias("_x_total"))
+
+
+def crosstab_wide(df: DataFrame, x: str, y: str, max_values: int = CROSSTAB_VALUES) -> DataFrame:
     """One row per value of ``x``, one count column per value of ``y``, 0 for empty cells.
 
-    The number of ``y`` values is bounded by ``spark.sql.pivotMaxValues``; :func:`contingency`
-    has no such bound.
+    Columns are named by the text of their value, a null by ``null``; names that Spark would take
+    for one (equal but for case, or equal to ``x``) raise. More than ``max_values`` values raise;
+    :func:`contingency` has no such bound.
     """
-    return _pivot(bounded_side(contingency(df, x, y)), x, y)
+    cells = bounded_side(contingency(df, x, y))
+    values, names = _numbered_values(cells, y, max_values)
+    folded = [name.lower() for name in [x, *names]]
+    if len(set(folded)) < len(folded):
+        raise ValueError(f"values of {y} clash as column names; use crosstab or contingency")
+    counts = _counted(cells, values, x, y)
+    cell = [F.coalesce(F.col("_counts")[F.lit(i)], F.lit(0)) for i in range(len(names))]
+    return counts.select(F.col(x), *(c.alias(n) for c, n in zip(cell, names)))
 
 
-def _pivot(cells: DataFrame, x: str, y: str) -> DataFrame:
-    wide = cells.groupBy(x).pivot(y).agg(F.first("n"))
-    return wide.fillna(0, [c for c in wide.columns if c != x])
+def crosstab(df: DataFrame, x: str, y: str, max_values: int = CROSSTAB_VALUES) -> DataFrame:
+    """All cells ``x, y, n`` with zeros, and both margins, whatever the values are.
 
-
-def crosstab(df: DataFrame, x: str, y: str) -> DataFrame:
-    """All cells ``x, y, n`` with zeros, and both margins; bounded like :func:`crosstab_wide`."""
+    Rows without ``x`` or ``y`` are left out. Bounded like :func:`crosstab_wide`.
+    """
     cells = bounded_side(contingency(df.dropna(subset=[x, y]), x, y))
-    wide = _pivot(cells, x, y)
-    names = [c for c in wide.columns if c != x]
-    long = wide.unpivot([x], names, y, "n").withColumn(y, F.col(y).cast(df.schema[y].dataType))
-    x_totals = cells.groupBy(x).agg(F.sum("n").alias("x_total"))
-    y_totals = cells.groupBy(y).agg(F.sum("n").alias("y_total"))
-    return long.join(x_totals, x).join(y_totals, y)
+    values, names = _numbered_values(cells, y, max_values)
+    counts = _counted(cells, values, x, y)
+    # One row per cell: as many as the table has, by definition.
+    places = F.explode(F.sequence(F.lit(0), F.lit(max(len(names) - 1, 0))))
+    every = counts.select(x, "_counts", "_x_total", places.alias("_place"))
+    return every.join(values, F.col("_place") == F.col("_index")).select(
+        x,
+        F.col("_y").alias(y),
+        F.coalesce(F.col("_counts")[F.col("_place")], F.lit(0)).alias("n"),
+        F.col("_x_total").alias("x_total"),
+        F.col("_total").alias("y_total"),
+    )
+
+
 
 
 def nonzero_mean(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

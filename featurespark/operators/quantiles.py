@@ -150,10 +150,14 @@ def _by_sorting(rows: DataFrame, nodes: DataFrame, by: list[str]) -> DataFrame:
 
 
 def wide_quantiles(
-    df: DataFrame, value: str, named_probs: dict[str, float], by: Sequence[str]
+    df: DataFrame,
+    value: str,
+    named_probs: dict[str, float],
+    by: Sequence[str],
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """One row per group with one column per named probability."""
-    long = exact_quantiles(df, value, sorted(set(named_probs.values())), by)
+    long = exact_quantiles(df, value, sorted(set(named_probs.values())), by, sort_rows)
     return long.groupBy(*by).agg(
         *(
             F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from featurespark.functions.pvalues import normal_two_sided, scientific_text, t_pvalue
 from featurespark.operators.assoc import batches, union_all
-from featurespark.session import spread
 
 LOGIT_SCHEMA = (
     "feature string, n bigint, intercept double, slope double, "
@@ -91,6 +90,9 @@ def logit_per_feature(
 ) -> DataFrame:
     """One logistic regression with intercept per predictor, for a 0/1 response.
 
+    Rows missing the response or the predictor (null or NaN) are left out of a fit. Any other
+    response raises.
+
     Newton's method for all predictors together: an iteration is one aggregation over the
     table, and five sums per predictor reach the driver. Predictors without a finite maximum
     (perfect separation, a constant) come back with ``converged`` false and no statistics.
@@ -100,17 +102,22 @@ def logit_per_feature(
     data = df.select(
         _number(response).alias("_y"), *(_number(c).alias(x) for c, x in names.items())
     )
-    data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    # Only the columns of the fits are kept, for one pass per iteration.
+    data = data.where(y.isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = {c: F.when(y.isNotNull(), F.col(x)) for c, x in names.items()}
-        row = data.agg(
-            *(
+        if data.agg(F.bool_or(~y.isin(0.0, 1.0))).first()[0]:
+            raise ValueError(f"{response} has values other than 0 and 1")
+        row = {}
+        for chunk in batches(list(predictors)):
+            stats = (
                 F.struct(
-                    F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd")
+                    F.count(names[c]).alias("n"),
+                    F.avg(names[c]).alias("mean"),
+                    F.stddev_pop(names[c]).alias("sd"),
                 ).alias(names[c])
-                for c, v in present.items()
+                for c in chunk
             )
-        ).first()
+            row |= data.agg(*stats).first().asDict()
         shape = {c: row[names[c]] for c in predictors}
         active = [c for c in predictors if shape[c]["n"] and shape[c]["sd"] and shape[c]["sd"] > 0]
         fit = {c: (0.0, 0.0) for c in active}
@@ -118,7 +125,9 @@ def logit_per_feature(
         for _ in range(max_iter):
             if not active:
                 break
-            sums = _newton_sums(data, y, active, names, shape, fit)
+            sums = {}
+            for chunk in batches(active):
+                sums |= _newton_sums(data, y, chunk, names, shape, fit)
             still = []
             for c in active:
                 g0, g1, h00, h01, h11 = sums[names[c]]

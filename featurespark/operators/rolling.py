@@ -82,13 +82,23 @@ def rolling_avg(facts: DataFrame, days: int = 100) -> DataFrame:
         .orderBy(F.unix_date("local_date"))
         .rangeBetween(1 - days, -1)
     )
-    daily = _daily(facts).select(
+    dated = F.col("batter").isNotNull() & F.col("local_date").isNotNull()
+    # Dealt once: the daily sums and the join share this exchange.
+    known = facts.where(dated).repartition("batter", "local_date")
+    daily = _daily(known).select(
         "batter",
         "local_date",
         F.sum("hits").over(window).alias("hits"),
         F.sum("bats").over(window).alias("bats"),
     )
-    out = facts.join(daily, ["batter", "local_date"], "left").select(
+    joined = known.join(daily, ["batter", "local_date"], "left").select(
+        "game_id", "local_date", "batter", "hits", "bats"
+    )
+    # Rows without a key never meet in one task.
+    undated = facts.where(~dated).select(
+        "game_id", "local_date", "batter", F.lit(None).alias("hits"), F.lit(None).alias("bats")
+    )
+    out = joined.union(undated).select(
         "game_id",
         F.col("local_date").alias("game_date"),
         "batter",
@@ -103,7 +113,7 @@ def rolling_avg_latest(facts: DataFrame, days: int = 100, limit: int = 100) -> D
 
     The target rows are few by definition, so they are broadcast and the facts are reduced
     against them on the map side; no window over the whole table is needed. More rows than may
-    be broadcast take the way over the window.
+    be broadcast take the way over the window. Both ways return the rows in that order.
     """
     order = [F.desc_nulls_last("game_id"), F.asc_nulls_last("batter")]
     if limit > LOCAL_ROWS:
@@ -141,7 +151,7 @@ def rolling_avg_latest(facts: DataFrame, days: int = 100, limit: int = 100) -> D
         F.coalesce("hits", F.lit(0)).alias("last_100_days_hits"),
         F.coalesce("bats", F.lit(0)).alias("last_100_days_atbats"),
     )
-    return _with_rolling_ratio(out)
+    return _with_rolling_ratio(out).orderBy(*order)
 
 
 def rolling_avg_instants(facts: DataFrame, days: int = 100, slot_seconds: int = 3600) -> DataFrame:

@@ -13,11 +13,19 @@ from featurespark.session import bounded_side, materialize
 
 
 def feature_label_split(
-    df: DataFrame, label: str, keep: Sequence[str] = (), features_col: str = "features"
+    df: DataFrame,
+    label: str,
+    keep: Sequence[str] = (),
+    features_col: str = "features",
+    missing: str = "keep",
 ) -> DataFrame:
-    """``keep`` columns, all other columns but ``label`` as one vector, and the label."""
+    """``keep`` columns, all other columns but ``label`` as one vector, and the label.
+
+    ``missing`` says what becomes of rows with a missing feature: ``keep`` (the feature is NaN),
+    ``error`` or ``skip``.
+    """
     inputs = [c for c in df.columns if c != label and c not in keep]
-    assembler = VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid=missing)
     return assembler.transform(df).select(*keep, features_col, label)
 
 
@@ -50,8 +58,10 @@ def binarize(df: DataFrame, column: str) -> DataFrame:
     else:
         only_01 = F.lit(False)
         value = F.lit(None).cast("int")
-    smallest = df.agg(F.min(c)).scalar()
-    keeps = df.agg(F.coalesce(only_01, F.lit(False))).scalar()
+    found = df.agg(
+        F.struct(F.min(c).alias("smallest"), F.coalesce(only_01, F.lit(False)).alias("keeps"))
+    ).scalar()
+    smallest, keeps = found["smallest"], found["keeps"]
     return df.withColumn(
         column, F.when(keeps, value).when(c == smallest, 0).when(c.isNotNull(), 1)
     )
@@ -83,7 +93,5 @@ def with_row_index(
 
 
 def stride_sample(df: DataFrame, order_by: Sequence[str | Column], step: int) -> DataFrame:
-    """Rows 0, step, 2 * step, ... of the given order; ``step`` 1 keeps every row."""
-    if step == 1:
-        return df
+    """Rows 0, step, 2 * step, ... of the given order, with their ``row_index``."""
     return with_row_index(df, order_by).where(F.col("row_index") % step == 0)

@@ -28,6 +28,16 @@ GAPS = """gaps AS (
     CASE WHEN p_partkey % 11 = 0 THEN CAST('NaN' AS DOUBLE)
          WHEN p_partkey % 3 <> 0 THEN p_retailprice END AS p_retailprice
   FROM part)"""
+FEATURE_GAPS = f"""{FEATURES}, gapped AS (
+  SELECT CASE WHEN r % 6 <> 0 THEN l_quantity END AS l_quantity,
+    CASE WHEN r % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END AS l_extendedprice,
+    CASE WHEN r % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN r % 5 <> 0 THEN l_discount END AS l_discount,
+    l_tax, CASE WHEN r % 13 <> 0 THEN p_retailprice END AS p_retailprice,
+    CASE WHEN r % 3 <> 0 THEN is_returned END AS is_returned
+  FROM (SELECT *, l_orderkey + l_linenumber AS r FROM features))"""
+ODD_DOCS = """odd_docs AS (
+  SELECT source, (['a.b', 'A.B', '`', '', ' ', 'source', 'odd', 'n'])[doc_id % 8 + 1] AS odd
+  FROM documents)"""
 LABELLED_DOCS = """labelled AS (
   SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic
   FROM documents d JOIN labels l USING (doc_id))"""
@@ -65,7 +75,7 @@ rolled AS (
   SELECT r1.game_id, r1.batter, CAST(COALESCE(SUM(r2.hit), 0) AS BIGINT) AS last_100_days_hits,
     CAST(COALESCE(SUM(r2.atbat), 0) AS BIGINT) AS last_100_days_atbats
   FROM facts r1 LEFT JOIN facts r2 ON r2.batter = r1.batter
-    AND r2.ts > r1.ts - INTERVAL 7 DAY AND r2.ts < r1.ts
+    AND r2.ts > r1.ts - INTERVAL 100 DAY AND r2.ts < r1.ts
   GROUP BY r1.game_id, r1.batter)
 SELECT game_id, batter, last_100_days_hits, last_100_days_atbats,
   {ratio_3("last_100_days_hits", "last_100_days_atbats")} AS rolling_average FROM rolled"""
@@ -172,13 +182,14 @@ _T_DENSITY = (
 _NORMAL_DENSITY = "EXP(-0.5 * {u} * {u}) / SQRT(2 * PI())"
 
 
-def _logit(response: str, predictors, iterations: int = 9) -> str:
+def _logit(response: str, predictors, iterations: int = 9, tables: str = FEATURES, source: str = "features") -> str:
     """Newton steps written out; the predictors are standardised first."""
     long = union(
-        f"SELECT '{x}' AS feature, CAST({response} AS DOUBLE) AS y, {x} AS x FROM features"
+        f"SELECT '{x}' AS feature, CAST({response} AS DOUBLE) AS y, {x} AS x FROM {source}"
+        f" WHERE {response} IS NOT NULL AND {x} IS NOT NULL AND NOT isnan({x})"
         for x in predictors
     )
-    out = f"""WITH {FEATURES}, long AS MATERIALIZED ({long}),
+    out = f"""WITH {tables}, long AS MATERIALIZED ({long}),
 shape AS MATERIALIZED (SELECT feature, COUNT(*) AS n, AVG(x) AS m, STDDEV_POP(x) AS s
   FROM long GROUP BY feature),
 data AS MATERIALIZED (SELECT feature, y, (x - m) / s AS z FROM long JOIN shape USING (feature)),
@@ -352,6 +363,13 @@ def all_oracles() -> dict[str, str]:
     ols = f"WITH {FEATURES}, fit AS ({_ols('l_extendedprice', PREDICTORS)})"
     logit = _logit("is_returned", CONTINUOUS)
     docs = (LABELLED_DOCS, "labelled", LABELLED)
+    quartiles = (
+        f"WITH {FEATURES}, q AS ("
+        + union(f"SELECT '{c}' AS feature, {_five(c)} FROM features" for c in CONTINUOUS)
+        + ") SELECT feature, " + ", ".join(f"ROUND(q{i}, 4) AS q{i}" for i in range(5)) + " FROM q"
+    )
+    class_counts = f"""WITH {FEATURES} SELECT p_type, COUNT(*) AS n,
+  ROUND(COUNT(*) / (SELECT COUNT(*) FROM features), 6) AS share FROM features GROUP BY p_type"""
     cats = (FEATURES, "features", CATEGORICAL)
     return {
         "rolling_avg": "WITH "
@@ -387,7 +405,7 @@ def all_oracles() -> dict[str, str]:
   ROUND(POWER(l_discount, 2), 4) AS squared, ROUND(ABS(l_tax - l_discount), 3) AS gap,
   GREATEST(0.0, l_quantity - 25) AS over_25, LEAST(l_quantity, 25.0) AS up_to_25,
   ROUND(l_tax / NULLIF(l_discount, 0), 4) AS ratio,
-  FORMAT('{{:.6e}}', l_extendedprice) AS price_text,
+  FORMAT('{{:.6e}}', FLOOR(l_extendedprice)) AS price_text,
   {ratio_3("CAST(LEAST(l_quantity, 25) AS INT)", "CAST(l_quantity AS INT)")} AS share FROM lineitem""",
         "scalar_date": f"""SELECT o_orderkey,
   CAST(CAST(CAST(o_orderdate AS DATE) - INTERVAL 1 YEAR AS DATE) AS VARCHAR) AS year_before,
@@ -402,11 +420,10 @@ def all_oracles() -> dict[str, str]:
             f" ROUND(MAX({c}), 3) AS max FROM features"
             for c in CONTINUOUS
         ),
-        "quartiles": f"WITH {FEATURES}, q AS ("
-        + union(f"SELECT '{c}' AS feature, {_five(c)} FROM features" for c in CONTINUOUS)
-        + ") SELECT feature, " + ", ".join(f"ROUND(q{i}, 4) AS q{i}" for i in range(5)) + " FROM q",
-        "class_counts": f"""WITH {FEATURES} SELECT p_type, COUNT(*) AS n,
-  ROUND(COUNT(*) / (SELECT COUNT(*) FROM features), 6) AS share FROM features GROUP BY p_type""",
+        "quartiles": quartiles,
+        "quartiles_split": quartiles,
+        "class_counts": class_counts,
+        "class_counts_written": class_counts,
         "column_kinds": _kinds(),
         "boolean_columns": f"WITH {FEATURES} "
         + union(
@@ -419,10 +436,21 @@ def all_oracles() -> dict[str, str]:
 FROM (SELECT source, COUNT(*) AS x_total FROM documents GROUP BY source)
 CROSS JOIN (SELECT lang, COUNT(*) AS y_total FROM documents GROUP BY lang)
 LEFT JOIN documents d USING (source, lang) GROUP BY source, lang""",
+        "crosstab_values": f"""WITH {ODD_DOCS} SELECT source, odd, COUNT(d.seen) AS n,
+  ANY_VALUE(x_total) AS x_total, ANY_VALUE(y_total) AS y_total
+FROM (SELECT source, COUNT(*) AS x_total FROM odd_docs GROUP BY source)
+CROSS JOIN (SELECT odd, COUNT(*) AS y_total FROM odd_docs GROUP BY odd)
+LEFT JOIN (SELECT *, 1 AS seen FROM odd_docs) d USING (source, odd) GROUP BY source, odd""",
         "crosstab_wide": f"""WITH {FEATURES} SELECT p_type,
   COUNT(*) FILTER (l_linestatus = 'F') AS F, COUNT(*) FILTER (l_linestatus = 'O') AS O
 FROM features GROUP BY p_type""",
         "corr_pairs": f"WITH {FEATURES} {corr}",
+        "corr_pairs_missing": f"WITH {FEATURE_GAPS} "
+        + union(
+            f"""SELECT '{a}' AS predictor1, '{b}' AS predictor2, ROUND(CORR({a}, {b}), 5) AS score
+FROM gapped WHERE NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))"""
+            for a, b in product([*CONTINUOUS, "is_returned"], repeat=2)
+        ),
         "corr_table": f"WITH {FEATURES} {corr_upper}",
         "corr_matrix": f"""WITH {FEATURES}, scores AS ({corr})
 SELECT predictor2, {matrix} FROM scores GROUP BY predictor2""",
@@ -447,6 +475,9 @@ SELECT predictor1, predictor2, CAST(n AS BIGINT) AS n, r, c, ROUND(chi2_yates, 6
   ROUND(REGR_INTERCEPT(l_tax, l_discount), 6) AS intercept,
   ROUND(REGR_R2(l_tax, l_discount), 6) AS r2 FROM features""",
         "logit_per_feature": f"""{logit} SELECT feature, n, ROUND(slope, 6) AS slope,
+  ROUND(intercept, 5) AS intercept, ROUND(z_value, 4) AS z_value FROM fit""",
+        "logit_missing": _logit("is_returned", CONTINUOUS, 9, FEATURE_GAPS, "gapped")
+        + """ SELECT feature, n, ROUND(slope, 6) AS slope,
   ROUND(intercept, 5) AS intercept, ROUND(z_value, 4) AS z_value FROM fit""",
         "logit_pvalues": logit + _p_value("fit", "z_value", _NORMAL_DENSITY, 5),
         "bin_edges": f"WITH {FEATURES} "
@@ -497,6 +528,14 @@ FROM msd WHERE count > 0""",
         "l2_normalize": f"""WITH {_UNITS} SELECT vec_id,
   CAST(UNNEST(RANGE(0, LEN(u))) AS INT) AS pos, ROUND(UNNEST(u), 6) AS value FROM units""",
         "knn_classify": _near("a.vec_id <> b.vec_id") + _PREDICTED,
+        "knn_classify_blocks": _near("a.vec_id <> b.vec_id") + _PREDICTED,
+        "rf_classify_summary": """SELECT COUNT(*) AS n_rows, COUNT(*) AS n_proper,
+  COUNT(*) AS n_most_probable FROM embeddings""",
+        "rf_importance_summary": f"""WITH {FEATURES}
+SELECT 'is_returned' AS response, {len(CONTINUOUS)} AS n_features, 1.0 AS total
+FROM features HAVING COUNT(DISTINCT is_returned) > 1
+UNION ALL SELECT 'l_extendedprice', {len(PREDICTORS)}, 1.0
+FROM features HAVING COUNT(DISTINCT l_extendedprice) > 1""",
         "knn_classify_in_sample": _near("TRUE") + _PREDICTED,
         "knn_proba": _near("a.vec_id <> b.vec_id")
         + """SELECT id, other_label AS class,

@@ -7,13 +7,13 @@ the operators themselves return unrounded values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from featurespark.functions.pvalues import scientific_text
 from featurespark.functions.ratio import ratio_3
 from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows
 from featurespark.plans import views
@@ -78,7 +78,7 @@ def rolling_avg_all(spark, sf_dir):
 
 @query
 def rolling_avg_instants(spark, sf_dir):
-    out = rolling.rolling_avg_instants(views.timed_facts(spark, sf_dir), days=7)
+    out = rolling.rolling_avg_instants(views.timed_facts(spark, sf_dir))
     return as_double(out.drop("game_date"), "rolling_average")
 
 
@@ -220,7 +220,7 @@ def scalar_math(spark, sf_dir):
         F.greatest(F.lit(0.0), q - 25).alias("over_25"),
         F.least(q, F.lit(25.0)).alias("up_to_25"),
         F.round(F.try_divide(F.col("l_tax"), d), 4).alias("ratio"),
-        scientific_text("l_extendedprice").alias("price_text"),
+        F.format_string("%.6e", F.floor("l_extendedprice").cast("double")).alias("price_text"),
         ratio_3(F.least(q, F.lit(25)).cast("int"), q.cast("int")).cast("double").alias("share"),
     )
 
@@ -261,6 +261,21 @@ def quartiles(spark, sf_dir):
     return rounded(over_cached(data, lambda d: profile.quartiles(d, CONTINUOUS)), 4)
 
 
+@query
+def quartiles_split(spark, sf_dir):
+    """As ``quartiles``, with groups that are narrowed down before sorting."""
+    data = views.features(spark, sf_dir).select(*CONTINUOUS)
+    found = over_cached(data, lambda d: profile.quartiles(d, CONTINUOUS, sort_rows=1000))
+    return rounded(found, 4)
+
+
+@query
+def class_counts_written(spark, sf_dir):
+    """As ``class_counts``, with more classes than may go through the driver."""
+    data = views.features(spark, sf_dir)
+    return rounded(profile.class_counts(data, "p_type", max_rows=1))
+
+
 @query
 def class_counts(spark, sf_dir):
     return rounded(profile.class_counts(views.features(spark, sf_dir), "p_type"))
@@ -287,6 +302,11 @@ def crosstab(spark, sf_dir):
     return profile.crosstab(views.table(spark, sf_dir, "documents"), "source", "lang")
 
 
+@query
+def crosstab_values(spark, sf_dir):
+    return profile.crosstab(views.documents_with_odd_values(spark, sf_dir), "source", "odd")
+
+
 @query
 def crosstab_wide(spark, sf_dir):
     return profile.crosstab_wide(views.features(spark, sf_dir), "p_type", "l_linestatus")
@@ -300,6 +320,12 @@ def corr_pairs(spark, sf_dir):
     return assoc.corr_pairs(views.features(spark, sf_dir), CONTINUOUS)
 
 
+@query
+def corr_pairs_missing(spark, sf_dir):
+    data = views.features_with_gaps(spark, sf_dir)
+    return assoc.corr_pairs(data, [*CONTINUOUS, "is_returned"])
+
+
 @query
 def corr_table(spark, sf_dir):
     return assoc.corr_pairs(views.features(spark, sf_dir), CONTINUOUS, simplify=True)
@@ -417,6 +443,19 @@ def logit_pvalues(spark, sf_dir):
     return fits.select("feature", F.round("p_value", 5).alias("p_value"))
 
 
+@query
+def logit_missing(spark, sf_dir):
+    data = views.features_with_gaps(spark, sf_dir)
+    fits = regress.logit_per_feature(data, "is_returned", CONTINUOUS)
+    return fits.select(
+        "feature",
+        "n",
+        F.round("slope", 6).alias("slope"),
+        F.round("intercept", 5).alias("intercept"),
+        F.round("z_value", 4).alias("z_value"),
+    )
+
+
 # Binned mean square differences
 
 
@@ -573,37 +612,83 @@ def rf_classify(spark, sf_dir):
         "embedding",
         "label",
         keep=["vec_id"],
-        num_trees=20,
-        max_depth=5,
     )
     return scored.select("vec_id", "label", "predicted", F.array_max("probability").alias("share"))
 
 
+@lru_cache(maxsize=4)
+def _importances(application: str, sf_dir: str, response: str) -> tuple[tuple[str, float], ...]:
+    """One fit for all queries of a session that ask for it: a few rows."""
+    data = views.features(SparkSession.active(), sf_dir)
+    is_boolean = response == "is_returned"
+    found = ml.forest_importance(data, CONTINUOUS if is_boolean else PREDICTORS, response, is_boolean)
+    return tuple((r["feature"], r["importance"]) for r in found.collect())
+
+
+def _importance_table(spark: SparkSession, sf_dir: str, response: str) -> DataFrame:
+    found = _importances(spark.sparkContext.applicationId, sf_dir, response)
+    return spark.createDataFrame(list(found), "feature string, importance double")
+
+
 @query
 def rf_importance(spark, sf_dir):
-    return ml.forest_importance(
-        views.features(spark, sf_dir), CONTINUOUS, "is_returned", True, num_trees=20, max_depth=5
-    )
+    return _importance_table(spark, sf_dir, "is_returned")
 
 
 @query
 def rf_importance_regression(spark, sf_dir):
-    return ml.forest_importance(
-        views.features(spark, sf_dir),
-        PREDICTORS,
-        "l_extendedprice",
-        False,
-        num_trees=20,
-        max_depth=5,
+    return _importance_table(spark, sf_dir, "l_extendedprice")
+
+
+@query
+def rf_classify_summary(spark, sf_dir):
+    """Rows, rows with proper probabilities, rows predicted as their most probable class."""
+    data = views.table(spark, sf_dir, "embeddings")
+    classes = F.array_sort(F.collect_set(F.col("label").cast("string")))
+    ordered = data.agg(classes).scalar()
+    scored = ml.forest_classify(data, "embedding", "label")
+    p = F.col("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
+    best = F.element_at(ordered, F.array_position(p, F.array_max(p)).cast("int"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(total - 1) < 1e-9).alias("n_proper"),
+        F.count_if(best == F.col("predicted")).alias("n_most_probable"),
     )
 
 
+@query
+def rf_importance_summary(spark, sf_dir):
+    """Features and the sum of their importances, for both kinds of response."""
+    parts = [
+        weights(spark, sf_dir).agg(
+            F.lit(response).alias("response"),
+            F.count(F.lit(1)).alias("n_features"),
+            F.round(F.sum("importance"), 6).alias("total"),
+        )
+        for response, weights in (
+            ("is_returned", rf_importance),
+            ("l_extendedprice", rf_importance_regression),
+        )
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def knn_classify(spark, sf_dir):
     data = views.table(spark, sf_dir, "embeddings")
     return knn.knn_classify(data, "vec_id", "embedding", "label", exclude_self=True)
 
 
+@query
+def knn_classify_blocks(spark, sf_dir):
+    """As ``knn_classify``, with several cells and several blocks in each."""
+    data = views.table(spark, sf_dir, "embeddings")
+    return knn.knn_classify(
+        data, "vec_id", "embedding", "label", exclude_self=True, block_rows=64, n_pivots=8
+    )
+
+
 @query
 def knn_classify_in_sample(spark, sf_dir):
     data = views.table(spark, sf_dir, "embeddings")
@@ -627,5 +712,4 @@ def metric_tokens(spark, sf_dir):
 @query
 def count_vectorize(spark, sf_dir):
     tokens = ml.metric_tokens(rolling.rolling_pair_sums(facts(spark, sf_dir)))
-    model, vectors = ml.count_vectorize(tokens, "tokens")
-    return ml.term_counts(model, vectors, "batter")
+    return ml.term_counts(tokens, "tokens", "batter")

@@ -12,16 +12,17 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows
 from featurespark.operators.profile import CATEGORICAL, FeatureSpec
-from featurespark.session import bounded_side, spread
+from featurespark.session import bounded_side
 
 Report = dict[str, DataFrame]
 
 
 def _evaluate(df: DataFrame, tables: Callable[[DataFrame], Report]) -> Report:
-    data = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {name: bounded_side(table) for name, table in tables(data).items()}
     finally:
@@ -44,7 +45,7 @@ def token_report(facts: DataFrame, days: int = 100) -> Report:
     """Rolling pair sums as tokens and term counts."""
     tokens = ml.metric_tokens(rolling.rolling_pair_sums(facts, days))
     _, vectors = ml.count_vectorize(tokens, "tokens")
-    return {"vectors": vectors}
+    return {"vectors": vectors, "counts": ml.term_counts(tokens, "tokens", "batter")}
 
 
 def pair_report(df: DataFrame, response: str, mode: str = msd.REFERENCE) -> Report:
@@ -54,21 +55,26 @@ def pair_report(df: DataFrame, response: str, mode: str = msd.REFERENCE) -> Repo
     def tables(data: DataFrame) -> Report:
         spec = FeatureSpec.infer(data, response)
         cont, cat = spec.continuous, spec.categorical
+        best_first = [F.desc_nulls_last("score"), "predictor1", "predictor2"]
+        # Each score is computed once; tables and matrices derive from it.
+        pearson, ratios, v = (
+            bounded_side(scores)
+            for scores in (
+                assoc.corr_pairs(data, cont, simplify=True),
+                assoc.correlation_ratio(data, cont, cat),
+                assoc.cramers_v(data, cat),
+            )
+        )
         out = {
-            "cont_cont_correlation": assoc.corr_pairs(data, cont, simplify=True),
-            "cont_cat_correlation": assoc.correlation_ratio(data, cont, cat).orderBy(
-                F.desc_nulls_last("score"), "predictor1", "predictor2"
-            ),
-            "cat_cat_correlation": assoc.cramers_v(data, cat),
+            "cont_cont_correlation": pearson.orderBy(*best_first),
+            "cont_cat_correlation": ratios.orderBy(*best_first),
+            "cat_cat_correlation": v.orderBy(*best_first),
         }
         if cont:
-            scores = assoc.corr_pairs(data, cont)
-            out["cont_cont_matrix"] = assoc.score_matrix(scores, cont)
-            ratios = assoc.correlation_ratio(data, cont, cat)
+            out["cont_cont_matrix"] = assoc.score_matrix(assoc.both_orders(pearson), cont)
             out["cont_cat_matrix"] = assoc.score_matrix(ratios, cont)
         if cat:
-            both = assoc.cramers_v(data, cat, simplify=False)
-            out["cat_cat_matrix"] = assoc.score_matrix(both, cat)
+            out["cat_cat_matrix"] = assoc.score_matrix(assoc.both_orders(v), cat)
         out.update(response_charts(data, spec))
         target = rows.binarize(data, response) if spec.response_kind == CATEGORICAL else data
         cells = {
@@ -108,8 +114,14 @@ def predictor_report(
     num_trees: int = 100,
     max_depth: int = 30,
 ) -> Report:
-    """Type, regression statistics, binned means and forest importance of numeric predictors."""
-    names = [c for c in df.columns if c != response]
+    """Type, regression statistics, binned means and forest importance of numeric predictors.
+
+    Columns that are not numeric are left out.
+    """
+    names = [
+        f.name for f in df.schema if isinstance(f.dataType, NumericType) and f.name != response
+    ]
+    df = df.select(*names, response)
 
     def tables(data: DataFrame) -> Report:
         kinds = profile.boolean_columns(data)
@@ -154,6 +166,8 @@ def class_report(
             "classes": profile.class_counts(data, label),
             "box": charts.box(data, label, features[0]),
             "violin": charts.violin_shape(data, label, features[0]),
+            "scatter": charts.scatter_points(data, features[0], features[-1], [label]),
+            "density": charts.density_heatmap(data, features[0], features[-1]),
             "forest": ml.forest_classify(sample, features, label, [key], num_trees, max_depth),
             "neighbours": knn.knn_classify(vectors, key, "_features", label),
         }

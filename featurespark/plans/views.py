@@ -64,6 +64,29 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def features_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with nulls and NaN among predictors and the response."""
+    row = F.col("l_orderkey") + F.col("l_linenumber")
+    nan = F.lit(float("nan"))
+    return features(spark, sf_dir).select(
+        F.when(row % 6 != 0, F.col("l_quantity")).alias("l_quantity"),
+        F.when(row % 7 == 0, nan).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
+        F.when(row % 11 == 0, nan).when(row % 5 != 0, F.col("l_discount")).alias("l_discount"),
+        "l_tax",
+        F.when(row % 13 != 0, F.col("p_retailprice")).alias("p_retailprice"),
+        F.when(row % 3 != 0, F.col("is_returned")).alias("is_returned"),
+    )
+
+
+def documents_with_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with values that make bad column names: dots, cases, blanks, quotes, names."""
+    odd = ["a.b", "A.B", "`", "", " ", "source", "odd", "n"]
+    return table(spark, sf_dir, "documents").select(
+        "source",
+        F.element_at(F.array(*map(F.lit, odd)), (F.col("doc_id") % len(odd) + 1).cast("int")).alias("odd"),
+    )
+
+
 def parts_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with some values missing."""
     key = F.col("p_partkey")

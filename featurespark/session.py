@@ -8,15 +8,22 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
-# Rows a table may have to be copied into the plan, from where Spark broadcasts it by its size.
+FIXED_WIDTH = (BooleanType, DatetimeType, NumericType)
+
+# Rows and bytes a table may have to be copied into the plan, from where Spark broadcasts it by its
+# size.
 LOCAL_ROWS = 20_000
+LOCAL_BYTES = 8 << 20
 
 
 def bounded_side(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
-    """``df`` computed once: as a local table if it has at most ``max_rows`` rows.
+    """``df`` computed once: as a local table within ``max_rows`` rows and ``LOCAL_BYTES``.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the result is written to
+    The check reads at most ``max_rows + 1`` rows, and measures columns of variable width before
+    any row reaches the driver. Beyond the bounds the result is written to
     the shared folder, and joins with it are ordinary shuffle joins. The rows are kept between
     the check and the write, so what ``df`` is made of is not computed again.
     """
@@ -31,6 +38,12 @@ def bounded_side(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
 
 
 def _local_or_written(df: DataFrame, max_rows: int) -> DataFrame:
+    wide = [f.name for f in df.schema if not isinstance(f.dataType, FIXED_WIDTH)]
+    if wide:
+        size = sum((F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))) for c in wide), F.lit(0))
+        bytes_ = df.limit(max_rows + 1).agg(F.sum(size.cast("long"))).first()[0]
+        if (bytes_ or 0) > LOCAL_BYTES:
+            return materialize(df, "side")
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return materialize(df, "side")
@@ -58,23 +71,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores if it comes from fewer files than that, for several passes.
-
-    Nothing is run to find out. Tables of many files, and inputs that are not files, stay as
-    they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
-
-
 def over_cached(df: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``compute(df)`` for a computation that passes over ``df`` several times.
 
     ``df`` is kept in memory and on disk meanwhile and released afterwards, so the result is
-    evaluated here: small results become a local table, others a written one.
+    evaluated here: small results become a local table, others a written one. Callers select the
+    columns they need first.
     """
-    data = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return bounded_side(compute(data))
     finally:

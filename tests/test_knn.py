@@ -108,8 +108,7 @@ def test_tokens(spark):
     df = spark.createDataFrame(rows, "batter int, sum_hits int, sum_bats int")
     tokens = ml.metric_tokens(df)
     assert [r["tokens"] for r in tokens.collect()] == [["1", "0.667"], ["2", ""], ["4", ""], ["", "0.5"]]
-    model, vectors = ml.count_vectorize(tokens, "tokens")
-    counts = ml.term_counts(model, vectors.fillna(0, ["batter"]), "batter").collect()
+    counts = ml.term_counts(tokens.fillna(0, ["batter"]), "tokens", "batter").collect()
     assert sorted(tuple(r) for r in counts) == [
         (0, "", 1.0), (0, "0.5", 1.0), (1, "0.667", 1.0), (1, "1", 1.0),
         (2, "", 1.0), (2, "2", 1.0), (4, "", 1.0), (4, "4", 1.0),
@@ -118,5 +117,53 @@ def test_tokens(spark):
 
 def test_null_token_arrays_are_empty(spark):
     df = spark.createDataFrame([(1, ["a", "a"]), (2, None)], "k int, t array<string>")
-    model, vectors = ml.count_vectorize(df, "t")
-    assert [tuple(r) for r in ml.term_counts(model, vectors, "k").collect()] == [(1, "a", 2.0)]
+    _, vectors = ml.count_vectorize(df, "t")
+    assert [r["token_counts"].toArray().tolist() for r in vectors.orderBy("k").collect()] == [[2.0], [0.0]]
+    assert [tuple(r) for r in ml.term_counts(df, "t", "k").collect()] == [(1, "a", 2.0)]
+
+
+def test_no_token_is_lost(spark):
+    n = 300_000
+    df = spark.range(n).selectExpr("id % 7 AS k", "array(CAST(id AS STRING)) AS t")
+    assert ml.term_counts(df, "t", "k").count() == n
+    with pytest.raises(ValueError, match="300000 distinct tokens"):
+        ml.count_vectorize(df, "t")
+
+
+@pytest.mark.parametrize("at", [0, 40])
+@pytest.mark.parametrize("bad", [[float("nan"), 1.0], [float("inf"), 1.0], [None, 1.0]])
+def test_vectors_that_are_no_numbers(spark, at, bad):
+    """Whatever its id, and so its place among the pivots, a bad vector leaves the others alone."""
+    good = [i for i in range(41) if i != at]
+    vectors = [[float(i), float(i * i % 7)] for i in good]
+    rows = list(zip(good, vectors, [i % 3 for i in good], strict=True)) + [(at, bad, 0)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    got = {
+        r["id"]: [(n["distance"], n["id"], n["label"]) for n in r["neighbours"]]
+        for r in knn.nearest_neighbours(df, "id", "v", "label", 3, normalize=False, block_rows=8).collect()
+    }
+    assert got.pop(at) == []
+    assert got == brute(vectors, good, [i % 3 for i in good], 3, False, False)
+
+
+def test_forest_depends_on_its_rows_only(spark):
+    rows = [(float(i % 13), float(i * 7 % 31), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, z double, flag int")
+    shuffled = spark.createDataFrame(rows[::-1], df.schema)
+    found = [
+        ml.forest_importance(d, ["x", "z"], "flag", True, 5, 4).collect()
+        for d in (df.repartition(2), shuffled.repartition(7))
+    ]
+    assert found[0] == found[1]
+
+
+def test_forest_refuses_missing_values(spark):
+    df = spark.createDataFrame([(1.0, "a"), (None, "b"), (2.0, "b")], "x double, label string")
+    with pytest.raises(Exception, match="(?i)null|NaN"):
+        ml.forest_classify(df, ["x"], "label", num_trees=2, max_depth=2).collect()
+
+
+def test_rows_with_missing_values_stay(spark):
+    df = spark.createDataFrame([(3.0, 4.0), (None, 1.0), (0.0, 0.0)], "x double, y double")
+    got = [r["unit"] for r in ml.normalize_rows(df, ["x", "y"]).collect()]
+    assert sorted(got, key=str) == [None, [0.0, 0.0], [0.6, 0.8]] or None in got and len(got) == 3

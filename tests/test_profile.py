@@ -101,7 +101,7 @@ def test_fill_zero(spark):
     assert df.schema.simpleString() == rows.fill_zero(df).schema.simpleString()
 
 
-def test_feature_label_split_skips_missing(spark):
+def test_feature_label_split_skips_missing_if_asked(spark):
     df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "b")], "k int, x double, y string")
-    got = rows.feature_label_split(df, "y", keep=["k"]).collect()
+    got = rows.feature_label_split(df, "y", keep=["k"], missing="skip").collect()
     assert [(r["k"], list(r["features"]), r["y"]) for r in got] == [(1, [2.0], "a")]
