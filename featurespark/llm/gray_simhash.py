@@ -30,10 +30,10 @@ BITS = 64
 SEED = 42
 # Fingerprints of one part that a task searches together, and rows it gathers before a search.
 PART_ROWS = 32_768
-SEARCH_ROWS = 65_536
+SEARCH_ROWS = 32_768
 # Children of an index node, and pairs of nodes that are opened at a time.
 FAN_OUT = 8
-PAIRS_AT_ONCE = 16_384
+PAIRS_AT_ONCE = 4_096
 # Expected fingerprints of a part, from which the number of blocks follows.
 PART_TARGET = 4_096
 ROWS_AT_ONCE = 128
