@@ -41,6 +41,8 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby"
     " s samp small span strike strong sub sup time tt u var wbr img".split()
 )
+# Elements without a place on the page: text goes on around them.
+UNSEEN = {"script", "style", "template", "noscript", "meta", "link"}
 DROPPED = RAW | set(
     "aside button canvas dialog footer form head menu nav noscript object select svg template".split()
 )
@@ -134,7 +136,7 @@ class Page:
             if found[2] is None:
                 continue
             tag = found[2].lower()
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in UNSEEN:
                 self.pieces.append((open_nodes[-1], None))
             if found[1]:
                 for depth in range(len(open_nodes) - 1, 0, -1):
@@ -147,7 +149,7 @@ class Page:
                 continue
             if tag in ROOTS:
                 continue
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in UNSEEN:
                 for depth in range(len(open_nodes) - 1, 0, -1):
                     name = self.tag[open_nodes[depth]]
                     if name == "p" and tag not in VOID - {"hr"} or tag in ENDED_BY.get(name, ()):
@@ -172,7 +174,7 @@ class Page:
                 open_nodes.append(node)
         if place < len(source):
             self._text(open_nodes[-1], source[place:])
-        close_to(0)
+        close_to(1)
 
     def candidates(self) -> set[int]:
         """Digests of the subtrees that may be template."""
