@@ -30,7 +30,8 @@ BLOCKS_AT_ONCE = 64
 # Integers below this are exact as doubles.
 EXACT = 2**53
 
-HIT = "struct<query long, query_id long, vec_id long, score long>"
+FOUND = "dim long, query long, query_id long, vec_id long, score long"
+HIT = f"struct<{FOUND}>"
 TREE = (
     "shard long, dim int, ids binary, numbers binary, vectors binary, kind string,"
     " low binary, high binary, children binary, spans binary"
@@ -207,9 +208,9 @@ def build_shards(leaf_rows: int, schema: pa.Schema):
     return run
 
 
-def _hits(query, query_ids, found) -> list[dict]:
+def _hits(dim, query, query_ids, found) -> list[dict]:
     return [
-        {"query": int(q), "query_id": int(own), "vec_id": -negative, "score": score}
+        {"dim": dim, "query": int(q), "query_id": int(own), "vec_id": -negative, "score": score}
         for q, own, best in zip(query, query_ids, found, strict=True)
         for score, negative in best
     ]
@@ -225,7 +226,7 @@ def home_search(every: int, k: int, schema: pa.Schema):
             if not len(mine):
                 continue
             ids, vectors = tree.ids[mine], tree.vectors[mine]
-            # The number of a row tells rows of one id with different vectors apart.
+            # The number of a row, within its dimension, tells rows of one id apart.
             query = row["shard"] * SHARD_LIMIT + tree.numbers[mine]
             found = tree.search(ids, vectors, [None] * len(mine), k)
             floors = [best[-1][0] if len(best) == k else None for best in found]
@@ -240,7 +241,7 @@ def home_search(every: int, k: int, schema: pa.Schema):
                         "vectors": text,
                         "kind": kind,
                         "floor": repr(floors).encode(),
-                        "hits": _hits(query, ids, found),
+                        "hits": _hits(row["dim"], query, ids, found),
                     }
                 ],
                 schema,
@@ -255,7 +256,7 @@ SHARD_LIMIT = 1 << 24
 
 def search_elsewhere(k: int):
     """Cogrouped Arrow function: query blocks against the one tree of a shard."""
-    schema = pa.schema([(c, pa.int64()) for c in ("query", "query_id", "vec_id", "score")])
+    schema = pa.schema([(c, pa.int64()) for c in ("dim", "query", "query_id", "vec_id", "score")])
 
     def run(blocks: pa.Table, trees: pa.Table) -> pa.Table:
         hits = []
@@ -264,7 +265,7 @@ def search_elsewhere(k: int):
                 query, ids = (np.frombuffer(row[c], np.int64) for c in ("query", "query_id"))
                 vectors = unpacked(row | {"rows": len(ids)})
                 floors = ast.literal_eval(row["floor"].decode())
-                hits += _hits(query, ids, tree.search(ids, vectors, floors, k))
+                hits += _hits(row["dim"], query, ids, tree.search(ids, vectors, floors, k))
         return pa.Table.from_pylist(hits, schema)
 
     return run
@@ -329,10 +330,10 @@ def top_k(
         sent.where("shard <> home")
         .groupBy(*key)
         .cogroup(met.groupBy(*key))
-        .applyInArrow(search_elsewhere(k), "query long, query_id long, vec_id long, score long")
+        .applyInArrow(search_elsewhere(k), FOUND)
     )
     home = blocks.select(F.explode("hits").alias("h")).select("h.*")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("dim", "query").orderBy(F.desc("score"), "vec_id")
     return (
         home.unionByName(elsewhere)
         .withColumn("rank", F.row_number().over(best))
