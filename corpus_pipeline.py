@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from featurespark.llm import content_sort, gray_simhash, residual_packing, toxicity
 from featurespark.session import materialize
 
-# Near duplicates are judged on shingles of so many words.
+# Near duplicates share this part of their shingles of so many words.
 SHINGLE_WORDS = 5
+SIMILARITY = 0.8
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +30,10 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their fingerprints, the one with the smallest id."""
-    return gray_simhash.drop_near_duplicates(docs, shingle_words=SHINGLE_WORDS)
+    """Of documents linked by fingerprints and alike in their shingles, the one with the smallest id."""
+    return gray_simhash.drop_near_duplicates(
+        docs, shingle_words=SHINGLE_WORDS, similarity=SIMILARITY
+    )
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

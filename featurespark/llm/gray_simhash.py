@@ -9,6 +9,9 @@ is dropped as a whole once they exceed the radius or all its members are already
 
 A part that holds very many fingerprints is dealt into chunks and searched chunk by chunk, so a
 task's work is bounded and no link is lost.
+
+``drop_near_duplicates`` takes a wider radius, in which a second fingerprint must agree too, and
+then compares the linked documents' shingles exactly.
 """
 
 from __future__ import annotations
@@ -37,8 +40,11 @@ PAIRS_AT_ONCE = 4_096
 # Expected fingerprints of a part, from which the number of blocks follows.
 PART_TARGET = 4_096
 ROWS_AT_ONCE = 128
+# Bytes of shingle sets that one task compares with each other.
+CHUNK_BYTES = 32 << 20
 SHINGLES_AT_ONCE = 1 << 17
 
+EMPTY = np.empty(0, np.uint64)
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Bit i of a byte as byte i of a word: eight counters are added at once.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(
@@ -53,39 +59,74 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return sums.view(np.uint8).reshape(len(sums), BITS).sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: str, shingle_words: int) -> int:
-    """SimHash of the word shingles of a text, as an unsigned number."""
+def shingle_hashes(text: str, shingle_words: int) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles of a text, repeats included, in parts of bounded size."""
     words = text.encode().translate(LOWER_BYTES).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     width = min(shingle_words, len(words))
     n = len(words) - width + 1
     starts = np.append(0, ends[: n - 1] + 1)
-    counts = np.zeros(BITS, np.int64)
     for at in range(0, n, SHINGLES_AT_ONCE):
         stop = min(at + SHINGLES_AT_ONCE, n)
         spans = map(slice, starts[at:stop].tolist(), ends[at + width - 1 : stop + width - 1].tolist())
         digests = map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), repeat(SEED))
-        counts += bit_counts(np.fromiter(digests, np.uint64, stop - at))
+        yield np.fromiter(digests, np.uint64, stop - at)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def remixed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes that tell as much, bit for bit unlike the given ones (the splitmix64 finaliser)."""
+    x = hashes + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint_pair(text: str, shingle_words: int, second: bool) -> tuple[int, int]:
+    """SimHash of the word shingles of a text, and if asked for one of other hashes, else 0."""
+    first, other, n = np.zeros(BITS, np.int64), np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(text, shingle_words):
+        n += len(hashes)
+        first += bit_counts(hashes)
+        if second:
+            other += bit_counts(remixed(hashes))
+    return majority(first, n), majority(other, n)
+
+
+def fingerprint(text: str, shingle_words: int) -> int:
+    """SimHash of the word shingles of a text, as an unsigned number."""
+    return fingerprint_pair(text, shingle_words, False)[0]
+
+
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 4,
+    second: bool = False,
 ) -> DataFrame:
-    """``id, fp``: the fingerprint of every row, as a signed long with the same 64 bits."""
+    """``id, fp, check``: the fingerprints of every row, as signed longs with the same 64 bits.
+
+    Without ``second``, ``check`` is 0 everywhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
-            values = [fingerprint(t.as_py(), shingle_words) for t in batch.column(1)]
-            signed = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["id", "fp"])
+            values = [fingerprint_pair(t.as_py(), shingle_words, second) for t in batch.column(1)]
+            signed = np.array(values, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1])], ["id", "fp", "check"]
+            )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp long")
+    return rows.mapInArrow(run, f"id {kind}, fp long, check long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -157,10 +198,18 @@ def children(level: Level, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return left[once], right[once]
 
 
-def linked_labels(fps: np.ndarray, group: np.ndarray, node: np.ndarray, radius: int) -> np.ndarray:
-    """For each distinct fingerprint, the smallest one it reaches by links found in these groups.
+def linked_labels(
+    fps: np.ndarray,
+    group: np.ndarray,
+    node: np.ndarray,
+    radius: int,
+    check: np.ndarray | None = None,
+    check_radius: int = BITS,
+) -> np.ndarray:
+    """For each node, the smallest one it reaches by links found in these groups.
 
-    ``fps`` are sorted by group and Gray rank; ``node`` numbers the distinct values.
+    ``fps`` are sorted by group and Gray rank; ``node`` numbers what they stand for. Linked rows
+    differ in at most ``radius`` bits, and in at most ``check_radius`` bits of ``check``.
     """
     levels = [Level(fps, fps, np.arange(len(fps) + 1), group)]
     while len(np.unique(levels[-1].group)) < len(levels[-1].group):
@@ -196,6 +245,9 @@ def linked_labels(fps: np.ndarray, group: np.ndarray, node: np.ndarray, radius:
         differ = (level.low[a] ^ level.low[b]) & level.shared[a] & level.shared[b]
         near = np.bitwise_count(differ) <= radius
         a, b = a[near], b[near]
+        if height == 0 and check is not None:
+            near = np.bitwise_count(check[a] ^ check[b]) <= check_radius
+            a, b = a[near], b[near]
         if height:
             work.append((height, a, b))
         elif (labels[node[a]] != labels[node[b]]).any():
@@ -204,20 +256,17 @@ def linked_labels(fps: np.ndarray, group: np.ndarray, node: np.ndarray, radius:
     return labels
 
 
-def search_parts(radius: int):
-    """Arrow function from sorted parts (part..., fp) to links ``a, b`` that connect them."""
+def search_parts(radius: int, check_radius: int):
+    """Arrow function from sorted parts to links ``a, b`` between names that connect them."""
 
     def searched(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
-        fps = table.column("fp").to_numpy().view(np.uint64)
-        values, node = np.unique(fps, return_inverse=True)
-        roots = linked_labels(fps, group, node, radius)
+        fps, check, names = (table.column(c).to_numpy() for c in ("fp", "check", "name"))
+        values, node = np.unique(names, return_inverse=True)
+        checked = check.view(np.uint64) if check_radius < BITS else None
+        roots = linked_labels(fps.view(np.uint64), group, node, radius, checked, check_radius)
         moved = np.flatnonzero(roots != np.arange(len(values)))
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(values[moved].view(np.int64)),
-                pa.array(values[roots[moved]].view(np.int64)),
-            ],
-            ["a", "b"],
+            [pa.array(values[moved]), pa.array(values[roots[moved]])], ["a", "b"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,11 +294,15 @@ def search_parts(radius: int):
 
 
 def links(
-    distinct: DataFrame, radius: int, blocks: int | None = None, part_rows: int = PART_ROWS
+    distinct: DataFrame,
+    radius: int,
+    check_radius: int = BITS,
+    blocks: int | None = None,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """``a, b``: links between distinct fingerprints that connect all within ``radius``.
+    """``a, b``: links between the names of ``fp, check, name`` that connect all within the radii.
 
-    At most one link per fingerprint and search: pairs that are already connected are not listed.
+    At most one link per name and search: pairs that are already connected are not listed.
     """
     masks = block_masks(radius, distinct.count(), blocks)
     parts = F.explode(
@@ -260,21 +313,50 @@ def links(
             )
         )
     )
-    rows = distinct.select("fp", parts.alias("p")).select("fp", "p.part", "p.pattern")
+    row = ["fp", "check", "name"]
+    rows = distinct.select(*row, parts.alias("p")).select(*row, "p.part", "p.pattern")
     large = rows.groupBy("part", "pattern").count().where(F.col("count") > part_rows)
     n = F.ceil(2 * F.coalesce("count", F.lit(0)) / F.lit(part_rows)).cast("int")
     dealt = rows.join(large, ["part", "pattern"], "left").withColumn("n", F.greatest(n, F.lit(1)))
-    mine = F.pmod(F.xxhash64("fp"), F.col("n"))
+    mine = F.pmod(F.xxhash64("fp", "check"), F.col("n"))
     # A chunk meets itself and every other chunk of its part, each pair of chunks in one place.
-    met = dealt.select(
-        "fp", "part", "pattern", "n", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
-    ).select(
-        "fp", "part", "pattern", (F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")).alias("chunks")
-    )
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    met = dealt.select(*row, "part", "pattern", "n", mine.alias("mine"), other.alias("other"))
+    pair = F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")
+    met = met.select(*row, "part", "pattern", pair.alias("chunks"))
     ordered = met.repartition("part", "pattern", "chunks").sortWithinPartitions(
         "part", "pattern", "chunks", gray_rank(F.col("fp"))
     )
-    return ordered.mapInArrow(search_parts(radius), "a long, b long")
+    return ordered.mapInArrow(search_parts(radius, check_radius), "a long, b long")
+
+
+def _components(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    shingle_words: int,
+    radius: int,
+    check_radius: int,
+    blocks: int | None,
+    part_rows: int,
+) -> DataFrame:
+    """``id, fp, component_id`` of every row."""
+    second = check_radius < BITS
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words, second), "fingerprints")
+    # A fingerprint goes by itself, a pair of them by a hash.
+    name = F.xxhash64("fp", "check") if second else F.col("fp")
+    distinct = materialize(
+        marked.groupBy("fp", "check").agg(F.min("id").alias("first_id")).withColumn("name", name),
+        "distinct",
+    )
+    found = links(distinct.drop("first_id"), radius, check_radius, blocks, part_rows)
+    roots = component_roots(materialize(found, "links"))
+    roots = roots.select(F.col("a").alias("name"), F.col("b").alias("root"))
+    rooted = distinct.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written, so that rows of a very common fingerprint can be split in the last join.
+    named = rooted.join(first, "root").select("fp", "check", "component_id")
+    return marked.join(materialize(named, "components"), ["fp", "check"])
 
 
 def near_components(
@@ -294,32 +376,130 @@ def near_components(
     their component is null only if no id can be reached. Repeated rows give a row each, an empty
     table none. Other columns are ignored.
     """
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct")
-    found = materialize(links(distinct.select("fp"), radius, blocks, part_rows), "links")
-    roots = component_roots(found).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    # Written, so that rows of a very common fingerprint can be split in the last join.
-    named = materialize(rooted.join(first, "root").select("fp", "component_id"), "components")
-    return marked.join(named, "fp").select(
+    found = _components(docs, id_col, text_col, shingle_words, radius, BITS, blocks, part_rows)
+    return found.select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
 
 
+def shingle_sets(shingle_words: int):
+    """Arrow function from (component, id, fp, text) to the same with the set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            sets = [
+                np.unique(np.concatenate([*shingle_hashes(t.as_py(), shingle_words), EMPTY])).tobytes()
+                for t in batch.column(3)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(sets, pa.binary())], ["component", "id", "fp", "shingles"]
+            )
+
+    return run
+
+
+def similar_to_earlier(radius: int, similarity: float):
+    """Arrow function over rows sorted by group and id: the ids that repeat an earlier document.
+
+    A document repeats one with a smaller id if their fingerprints differ in at most ``radius``
+    bits and the Jaccard similarity of their shingles is ``similarity`` or more.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, fps, sizes, sets, n = None, np.empty(64, np.uint64), np.empty(64), [], 0
+        for batch in slices(batches, ROWS_AT_ONCE):
+            repeats = []
+            for *group, id_, fp, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != key:
+                    key, sets, n = group, [], 0
+                mine = np.frombuffer(shingles, np.uint64)
+                own = np.uint64(fp & (1 << BITS) - 1)
+                smaller, larger = np.minimum(sizes[:n], len(mine)), np.maximum(sizes[:n], len(mine))
+                near = (np.bitwise_count(fps[:n] ^ own) <= radius) & (smaller >= similarity * larger)
+                for other in np.flatnonzero(near):
+                    common = len(np.intersect1d(sets[other], mine, assume_unique=True))
+                    if common >= similarity * (len(sets[other]) + len(mine) - common):
+                        repeats.append(id_)
+                        break
+                if n == len(fps):
+                    fps, sizes = np.resize(fps, 2 * n), np.resize(sizes, 2 * n)
+                fps[n], sizes[n] = own, len(mine)
+                sets.append(mine)
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(repeats, batch.column("id").type)], ["id"])
+
+    return run
+
+
+def _without_repeats(
+    alive: DataFrame, radius: int, similarity: float, chunk_bytes: int, pairs: bool
+) -> DataFrame:
+    """``alive`` without documents that repeat one they meet: of their chunk, or of any chunk."""
+    size = F.sum(F.octet_length("shingles").cast("long"))
+    sized = alive.groupBy("component").agg(F.ceil(size / chunk_bytes).cast("int").alias("n"))
+    dealt = alive.join(sized, "component").withColumn("n", F.greatest("n", F.lit(1)))
+    mine = F.pmod(F.xxhash64("id"), F.col("n"))
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)) if pairs else mine
+    dealt = dealt.withColumn("mine", mine).withColumn("other", other)
+    chunks = F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")
+    met = dealt.select("component", chunks.alias("chunks"), "id", "fp", "shingles")
+    kind = alive.schema["id"].dataType.simpleString()
+    repeats = (
+        met.repartition("component", "chunks")
+        .sortWithinPartitions("component", "chunks", "id")
+        .mapInArrow(similar_to_earlier(radius, similarity), f"id {kind}")
+        .distinct()
+    )
+    return materialize(alive.join(repeats, "id", "left_anti"), "near-duplicates")
+
+
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: float = 0.8,
+    radius: int = 10,
+    check_radius: int = 16,
+    part_rows: int = PART_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` that head their component, with all columns.
+    """The rows of ``docs`` that repeat no document with a smaller id, with all columns.
 
-    A row with a null id stays only where its component has no id at all.
+    Candidates are linked by two fingerprints; only documents of one component whose shingles have
+    a Jaccard similarity of ``similarity`` or more count as repeats, so unlike texts stay. A
+    component of very many documents is first thinned out chunk by chunk, and what is left is
+    compared chunk with chunk. Rows with a null id stay and repeat nothing. Rows that share an id
+    are one document and stay or go together. An empty table gives an empty one.
     """
-    heads = (
-        near_components(docs, id_col, text_col, **options)
-        .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_col).alias("head_id"))
-        .distinct()
+    known = docs.where(F.col(id_col).isNotNull())
+    found = _components(
+        known, id_col, text_col, shingle_words, radius, check_radius, None, part_rows
+    ).select("id", "fp", F.col("component_id").alias("component"))
+    groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    linked = found.join(groups.where("lo <> hi"), "component", "left_semi").dropDuplicates(["id"])
+    texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    rows = linked.join(texts.dropDuplicates(["id"]), "id").select("component", "id", "fp", "text")
+    kind = docs.schema[id_col].dataType.simpleString()
+    sets = materialize(
+        rows.mapInArrow(
+            shingle_sets(shingle_words), f"component {kind}, id {kind}, fp long, shingles binary"
+        ),
+        "shingle-sets",
     )
-    return docs.join(heads, F.col(id_col).eqNullSafe(F.col("head_id")), "left_semi")
+    alive, n = sets, sets.count()
+    while True:
+        size = F.sum(F.octet_length("shingles").cast("long"))
+        largest = alive.groupBy("component").agg(size.alias("size")).agg(F.max("size")).first()[0] or 0
+        alive = _without_repeats(alive, radius, similarity, chunk_bytes, pairs=False)
+        if largest <= chunk_bytes:
+            break
+        before, n = n, alive.count()
+        if 2 * n > before:
+            alive = _without_repeats(alive, radius, similarity, chunk_bytes, pairs=True)
+            break
+    repeats = sets.select("id").join(alive.select("id"), "id", "left_anti")
+    repeats = repeats.select(F.col("id").alias("repeated_id"))
+    return docs.join(repeats, F.col(id_col) == F.col("repeated_id"), "left_anti")
