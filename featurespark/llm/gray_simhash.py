@@ -350,6 +350,10 @@ def _components(
         "distinct",
     )
     found = links(distinct.drop("first_id"), radius, check_radius, blocks, part_rows)
+    if second:
+        # The two take turns: one is searched within the radius, the other checked.
+        turned = distinct.select(F.col("check").alias("fp"), F.col("fp").alias("check"), "name")
+        found = found.union(links(turned, radius, check_radius, blocks, part_rows))
     roots = component_roots(materialize(found, "links"))
     roots = roots.select(F.col("a").alias("name"), F.col("b").alias("root"))
     rooted = distinct.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
@@ -468,7 +472,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that repeat no document with a smaller id, with all columns.
 
-    Candidates are linked by two fingerprints; only documents of one component whose shingles have
+    Candidates are linked by two fingerprints, of which one differs in at most ``radius`` bits and
+    the other in at most ``check_radius``; only documents of one component whose shingles have
     a Jaccard similarity of ``similarity`` or more count as repeats, so unlike texts stay. A
     component of very many documents is first thinned out chunk by chunk, and what is left is
     compared chunk with chunk. Rows with a null id stay and repeat nothing. Rows that share an id
@@ -493,12 +498,12 @@ def drop_near_duplicates(
     while True:
         size = F.sum(F.octet_length("shingles").cast("long"))
         largest = alive.groupBy("component").agg(size.alias("size")).agg(F.max("size")).first()[0] or 0
-        alive = _without_repeats(alive, radius, similarity, chunk_bytes, pairs=False)
+        alive = _without_repeats(alive, check_radius, similarity, chunk_bytes, pairs=False)
         if largest <= chunk_bytes:
             break
         before, n = n, alive.count()
         if 2 * n > before:
-            alive = _without_repeats(alive, radius, similarity, chunk_bytes, pairs=True)
+            alive = _without_repeats(alive, check_radius, similarity, chunk_bytes, pairs=True)
             break
     repeats = sets.select("id").join(alive.select("id"), "id", "left_anti")
     repeats = repeats.select(F.col("id").alias("repeated_id"))
