@@ -16,6 +16,7 @@ import time
 from pyspark.sql import SparkSession
 
 from featurespark.plans.registry import all_queries
+from featurespark.session import scratch_tables
 
 HEADLINE = [
     "rolling_avg",
@@ -35,6 +36,10 @@ HEADLINE = [
     "msd2d_cat_cont",
     "msd2d_cat_cat",
     "knn_classify",
+    "count_vectorize",
+    "stride_sample",
+    "rolling_avg_instants",
+    "rf_classify",
 ]
 
 
@@ -54,7 +59,8 @@ def session(cpus: str) -> SparkSession:
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> float:
     start = time.perf_counter()
-    all_queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    with scratch_tables(spark):
+        all_queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 

@@ -16,6 +16,8 @@ from featurespark.session import bounded_side, unpivot_tuples
 
 # Output rows one pass makes out of an input row; more pairs are spread over several passes.
 PAIRS_PER_PASS = 64
+# Parts into which the cells of one value are dealt when they meet their margin.
+MARGIN_PARTS = 8
 
 
 def batches(items: Sequence, size: int = PAIRS_PER_PASS) -> Iterable[Sequence]:
@@ -176,6 +178,18 @@ def correlation_ratio(
     return sums.select(*pair, (eta if digits is None else F.round(eta, digits)).alias("score"))
 
 
+def _join_margin(cells: DataFrame, margin: DataFrame, key: str, other: str) -> DataFrame:
+    """Cells with the margin of their ``pair`` and ``key``.
+
+    A column of few values against one of many has most cells under a few keys, so cells are dealt
+    by a part of ``other`` too, and the margins, one row per value, are repeated for each part.
+    """
+    part = F.pmod(F.xxhash64(other), F.lit(MARGIN_PARTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(MARGIN_PARTS - 1)))
+    dealt = cells.withColumn("_part", part)
+    return dealt.join(margin.withColumn("_part", every), ["pair", key, "_part"]).drop("_part")
+
+
 def contingency_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Chi-square of every pair: ``predictor1, predictor2, n, r, c, chi2, chi2_yates``.
 
@@ -218,8 +232,7 @@ def contingency_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
         expected = F.col("row_n").cast("double") * F.col("col_n") / F.col("n")
         gap = F.abs(F.col("o") - F.col("e"))
         out = (
-            cells.join(rows, ["pair", "v1"])
-            .join(cols, ["pair", "v2"])
+            _join_margin(_join_margin(cells, rows, "v1", "v2"), cols, "v2", "v1")
             .join(F.broadcast(sizes), "pair")
             .withColumn("e", expected)
             .groupBy("pair", "n", "r", "c", "r_inverse", "c_inverse")

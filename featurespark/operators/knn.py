@@ -20,7 +20,7 @@ from featurespark.functions.vectors import l2_normalize
 from featurespark.session import materialize
 
 DISTANCE_DIGITS = 9
-MAX_PIVOTS = 256
+MAX_PIVOTS = 4096
 _SLACK = 1e-8
 _TILE_VALUES = 4_000_000
 

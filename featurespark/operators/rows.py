@@ -12,6 +12,10 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 from featurespark.session import bounded_side, materialize
 
 
+# Rows that one task puts in order.
+RANGE_ROWS = 1_000_000
+
+
 def feature_label_split(
     df: DataFrame,
     label: str,
@@ -73,10 +77,12 @@ def with_row_index(
     """A contiguous 0-based ``row_index`` in the given total order, without a global window.
 
     Rows are range-partitioned and that assignment is written once, so the partition numbers
-    cannot change if a task is rerun. Each partition is then numbered on its own.
+    cannot change if a task is rerun. Each partition is then numbered on its own. Their number
+    grows with the rows, so that no task sorts more than about ``RANGE_ROWS``.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(least, -(-df.count() // RANGE_ROWS))
     ranged = df.repartitionByRange(n, *order_by).withColumn("_part", F.spark_partition_id())
     ranged = materialize(ranged, "row-index")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -64,9 +66,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_released: ContextVar[list[str] | None] = ContextVar("released", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`materialize` writes inside the block when it ends.
+
+    Results made inside must be written or collected before that.
+    """
+    paths: list[str] = []
+    token = _released.set(paths)
+    try:
+        yield
+    finally:
+        _released.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a stable, recomputation-proof cut."""
+    """Write ``df`` to the shared folder and read it back: a stable, recomputation-proof cut.
+
+    The table stays until the folder is cleared, or until the :func:`scratch_tables` block ends.
+    """
     path = scratch_path(df.sparkSession, name)
+    if (paths := _released.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

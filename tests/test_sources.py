@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from featurespark import session
@@ -72,3 +73,12 @@ def test_bounded_side(spark):
     assert small.count() == 10 and small.isLocal()
     large = session.bounded_side(spark.range(11), max_rows=10)
     assert large.count() == 11 and not large.isLocal()
+
+
+def test_scratch_tables_are_removed(spark):
+    with session.scratch_tables(spark):
+        table = session.materialize(spark.range(3), "removed")
+        files = table.inputFiles()
+        assert table.count() == 3
+    assert files and not any(os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in files)
+    assert session.materialize(spark.range(3), "kept").count() == 3
