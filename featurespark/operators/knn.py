@@ -125,6 +125,39 @@ def _compare_blocks(k: int):
     return compare
 
 
+def _routed(
+    points: DataFrame, wanted: int, need: int
+) -> tuple[DataFrame, DataFrame, pd.DataFrame]:
+    """Points by the cell of their nearest pivot, queries with the cells they visit, and sizes."""
+    chosen = points.orderBy(F.xxhash64("point"), "point").limit(wanted).select("vec")
+    pivots = np.array([r["vec"] for r in chosen.collect()], dtype=np.float64)
+    assigned = materialize(_assign_cells(points, pivots), "knn-cells")
+
+    in_cell = F.row_number().over(Window.partitionBy("cell").orderBy("to_pivot"))
+    kth = (
+        assigned.select("cell", "to_pivot", in_cell.alias("_rank"))
+        .where(F.col("_rank") <= need)
+        .groupBy("cell")
+        .agg(F.max(F.when(F.col("_rank") == need, F.col("to_pivot"))).alias("kth"))
+    )
+    # One row per pivot.
+    cells = (
+        assigned.groupBy("cell")
+        .agg(
+            F.count(F.lit(1)).alias("n_refs"),
+            F.min("to_pivot").alias("near"),
+            F.max("to_pivot").alias("far"),
+        )
+        .join(kth, "cell")
+        .toPandas()
+        .sort_values("cell", ignore_index=True)
+    )
+    # Routed once: written, then counted and compared.
+    visits = materialize(_visits(assigned, pivots, cells), "knn-visits")
+    demand = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries")).toPandas()
+    return assigned, visits, cells.merge(demand, on="cell")
+
+
 def nearest_neighbours(
     df: DataFrame,
     id_col: str,
@@ -150,9 +183,6 @@ def nearest_neighbours(
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     points = materialize(_points(df.where(finite), id_col, label_col, vector, need), "knn-points")
     n = points.count()
-    wanted = n_pivots or min(MAX_PIVOTS, math.ceil(n / block_rows))
-    chosen = points.orderBy(F.xxhash64("point"), "point").limit(max(1, wanted)).select("vec")
-    pivots = np.array([r["vec"] for r in chosen.collect()], dtype=np.float64)
     rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vector.alias("vec"))
     kinds = dict(rows.dtypes)
     none = F.array().cast(f"array<struct<distance:double,id:{kinds['id']},label:{kinds['label']}>>")
@@ -161,33 +191,18 @@ def nearest_neighbours(
         F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
         F.lit(False),
     )).select("id", "label", none.alias("neighbours"))
-    if not len(pivots):
+    if not n:
         return lonely
-    assigned = materialize(_assign_cells(points, pivots), "knn-cells")
-
-    in_cell = F.row_number().over(Window.partitionBy("cell").orderBy("to_pivot"))
-    kth = (
-        assigned.select("cell", "to_pivot", in_cell.alias("_rank"))
-        .where(F.col("_rank") <= need)
-        .groupBy("cell")
-        .agg(F.max(F.when(F.col("_rank") == need, F.col("to_pivot"))).alias("kth"))
-    )
-    # One row per pivot.
-    cells = (
-        assigned.groupBy("cell")
-        .agg(
-            F.count(F.lit(1)).alias("n_refs"),
-            F.min("to_pivot").alias("near"),
-            F.max("to_pivot").alias("far"),
+    wanted = n_pivots or min(MAX_PIVOTS, math.ceil(n / block_rows))
+    if wanted > 1:
+        assigned, visits, plan = _routed(points, wanted, need)
+    else:
+        # One cell: every query meets every point, and nothing has to be routed.
+        assigned = points.select("point", "vec", F.lit(0).alias("cell"))
+        visits = points.select(
+            F.lit(0).alias("cell"), F.col("point").alias("query"), F.col("vec").alias("q_vec")
         )
-        .join(kth, "cell")
-        .toPandas()
-        .sort_values("cell", ignore_index=True)
-    )
-    # Routed once: written, then counted and compared.
-    visits = materialize(_visits(assigned, pivots, cells), "knn-visits")
-    demand = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries")).toPandas()
-    plan = cells.merge(demand, on="cell")
+        plan = pd.DataFrame({"cell": [0], "n_refs": [n], "n_queries": [n]})
     plan["ref_blocks"] = np.ceil(plan["n_refs"] / block_rows).astype(int)
     plan["query_blocks"] = np.ceil(plan["n_queries"] / block_rows).astype(int)
     blocks = F.broadcast(
