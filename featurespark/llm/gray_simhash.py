@@ -10,13 +10,13 @@ is dropped as a whole once they exceed the radius or all its members are already
 A part that holds very many fingerprints is dealt into chunks and searched chunk by chunk, so a
 task's work is bounded and no link is lost.
 
-``drop_near_duplicates`` takes a wider radius, in which a second fingerprint must agree too, and
-then compares the linked documents' shingles exactly.
+``drop_near_duplicates`` links more widely, by two fingerprints whose differences add up and by
+sampled patterns of either, and then compares the linked documents' shingles exactly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from featurespark.llm.common import slices, text_or_empty
 from featurespark.llm.components import component_roots
-from featurespark.session import materialize
+from featurespark.session import bounded_side, materialize
 
 BITS = 64
 SEED = 42
@@ -111,22 +111,23 @@ def fingerprints(
     shingle_words: int = 4,
     second: bool = False,
 ) -> DataFrame:
-    """``id, fp, check``: the fingerprints of every row, as signed longs with the same 64 bits.
+    """``id, fp, check, name``: the fingerprints of every row, as signed longs with the same bits.
 
-    Without ``second``, ``check`` is 0 everywhere.
+    Without ``second``, ``check`` is 0 everywhere and ``name`` is ``fp``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
             values = [fingerprint_pair(t.as_py(), shingle_words, second) for t in batch.column(1)]
-            signed = np.array(values, np.uint64).reshape(-1, 2).view(np.int64)
+            fp, check = (np.array(v, np.uint64).view(np.int64) for v in zip(*values, strict=True))
+            names = pa.array(names_of(fp, check))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1])], ["id", "fp", "check"]
+                [batch.column(0), pa.array(fp), pa.array(check), names], ["id", "fp", "check", "name"]
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp long, check long")
+    return rows.mapInArrow(run, f"id {kind}, fp long, check long, name long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -152,6 +153,18 @@ def block_masks(radius: int, n: int, blocks: int | None = None) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
+def sampled_masks(count: int, bits: int) -> list[int]:
+    """``count`` fixed masks of ``bits`` bits each, as signed 64-bit numbers."""
+    chance = np.random.default_rng(SEED)
+    masks = [sum(1 << int(b) for b in chance.choice(BITS, bits, replace=False)) for _ in range(count)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
+def names_of(fp: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """One number for a pair of fingerprints: the first itself where the second is 0."""
+    return (fp.view(np.uint64) + check.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
 class Level:
     """Index nodes of one height: shared bits, and where their children lie."""
 
@@ -204,12 +217,12 @@ def linked_labels(
     node: np.ndarray,
     radius: int,
     check: np.ndarray | None = None,
-    check_radius: int = BITS,
+    total: int = 2 * BITS,
 ) -> np.ndarray:
     """For each node, the smallest one it reaches by links found in these groups.
 
     ``fps`` are sorted by group and Gray rank; ``node`` numbers what they stand for. Linked rows
-    differ in at most ``radius`` bits, and in at most ``check_radius`` bits of ``check``.
+    differ in at most ``radius`` bits, and with those of ``check`` in at most ``total``.
     """
     levels = [Level(fps, fps, np.arange(len(fps) + 1), group)]
     while len(np.unique(levels[-1].group)) < len(levels[-1].group):
@@ -243,11 +256,11 @@ def linked_labels(
         if height == 0:
             a, b = a[a < b], b[a < b]
         differ = (level.low[a] ^ level.low[b]) & level.shared[a] & level.shared[b]
-        near = np.bitwise_count(differ) <= radius
-        a, b = a[near], b[near]
+        bits = np.bitwise_count(differ)
+        near = bits <= radius
         if height == 0 and check is not None:
-            near = np.bitwise_count(check[a] ^ check[b]) <= check_radius
-            a, b = a[near], b[near]
+            near &= bits + np.bitwise_count(check[a] ^ check[b]) <= total
+        a, b = a[near], b[near]
         if height:
             work.append((height, a, b))
         elif (labels[node[a]] != labels[node[b]]).any():
@@ -256,14 +269,15 @@ def linked_labels(
     return labels
 
 
-def search_parts(radius: int, check_radius: int):
-    """Arrow function from sorted parts to links ``a, b`` between names that connect them."""
+def search_parts(radius: int, total: int, turned: bool):
+    """Arrow function from sorted (part, fp, check) to links ``a, b`` that connect their names."""
 
     def searched(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
-        fps, check, names = (table.column(c).to_numpy() for c in ("fp", "check", "name"))
+        fps, check = (table.column(c).to_numpy() for c in ("fp", "check"))
+        names = names_of(check, fps) if turned else names_of(fps, check)
         values, node = np.unique(names, return_inverse=True)
-        checked = check.view(np.uint64) if check_radius < BITS else None
-        roots = linked_labels(fps.view(np.uint64), group, node, radius, checked, check_radius)
+        checked = check.view(np.uint64) if total < 2 * BITS else None
+        roots = linked_labels(fps.view(np.uint64), group, node, radius, checked, total)
         moved = np.flatnonzero(roots != np.arange(len(values)))
         return pa.RecordBatch.from_arrays(
             [pa.array(values[moved]), pa.array(values[roots[moved]])], ["a", "b"]
@@ -286,75 +300,58 @@ def search_parts(radius: int, check_radius: int):
             yield searched(table, group_numbers(table))
 
     def group_numbers(table: pa.Table) -> np.ndarray:
-        keys = [table.column(c).to_numpy() for c in ("part", "pattern", "chunks")]
-        opens = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-        return np.append(0, np.cumsum(opens))
+        parts = table.column("part").to_numpy()
+        return np.append(0, np.cumsum(parts[1:] != parts[:-1]))
 
     return run
 
 
 def links(
     distinct: DataFrame,
+    masks: list[int],
     radius: int,
-    check_radius: int = BITS,
-    blocks: int | None = None,
+    total: int = 2 * BITS,
+    turned: bool = False,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """``a, b``: links between the names of ``fp, check, name`` that connect all within the radii.
+    """``a, b``: links between distinct ``fp, check`` that connect all pairs within the limits.
 
-    At most one link per name and search: pairs that are already connected are not listed.
+    A pair is found if it agrees in one of the masked patterns. Both ends go by ``names_of``. At
+    most one link per name and search: pairs that are already connected are not listed. ``turned``
+    swaps the roles of the two fingerprints. Parts go by a hash; should two of them share one, more
+    pairs are compared and none is lost.
     """
-    masks = block_masks(radius, distinct.count(), blocks)
-    parts = F.explode(
-        F.array(
-            *(
-                F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("pattern"))
-                for i, m in enumerate(masks)
-            )
-        )
+    fp, check = ("check", "fp") if turned else ("fp", "check")
+    patterns = (F.xxhash64(F.lit(i), F.col(fp).bitwiseAND(F.lit(m))) for i, m in enumerate(masks))
+    rows = distinct.select(
+        F.col(fp).alias("fp"), F.col(check).alias("check"), F.explode(F.array(*patterns)).alias("part")
     )
-    row = ["fp", "check", "name"]
-    rows = distinct.select(*row, parts.alias("p")).select(*row, "p.part", "p.pattern")
-    large = rows.groupBy("part", "pattern").count().where(F.col("count") > part_rows)
-    n = F.ceil(2 * F.coalesce("count", F.lit(0)) / F.lit(part_rows)).cast("int")
-    dealt = rows.join(large, ["part", "pattern"], "left").withColumn("n", F.greatest(n, F.lit(1)))
-    mine = F.pmod(F.xxhash64("fp", "check"), F.col("n"))
-    # A chunk meets itself and every other chunk of its part, each pair of chunks in one place.
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    met = dealt.select(*row, "part", "pattern", "n", mine.alias("mine"), other.alias("other"))
-    pair = F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")
-    met = met.select(*row, "part", "pattern", pair.alias("chunks"))
-    ordered = met.repartition("part", "pattern", "chunks").sortWithinPartitions(
-        "part", "pattern", "chunks", gray_rank(F.col("fp"))
-    )
-    return ordered.mapInArrow(search_parts(radius, check_radius), "a long, b long")
+    if distinct.count() > part_rows:
+        large = rows.groupBy("part").count().where(F.col("count") > part_rows)
+        n = F.ceil(2 * F.col("count") / F.lit(part_rows)).cast("int")
+        # Few parts are this large: at most the rows over ``part_rows``.
+        large = bounded_side(large.select("part", n.alias("n")))
+        dealt = rows.join(large, "part", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+        mine = F.pmod(F.xxhash64("fp", "check"), F.col("n"))
+        # A chunk meets itself and every other chunk of its part, each pair of chunks in one place.
+        other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+        met = dealt.select("fp", "check", "part", "n", mine.alias("mine"), other.alias("other"))
+        chunks = F.xxhash64("part", F.least("mine", "other"), F.greatest("mine", "other"))
+        part = F.when(F.col("n") > 1, chunks).otherwise(F.col("part"))
+        rows = met.select("fp", "check", part.alias("part"))
+    ordered = rows.select("part", "fp", "check").repartition("part")
+    ordered = ordered.sortWithinPartitions("part", gray_rank(F.col("fp")))
+    return ordered.mapInArrow(search_parts(radius, total, turned), "a long, b long")
 
 
 def _components(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    shingle_words: int,
-    radius: int,
-    check_radius: int,
-    blocks: int | None,
-    part_rows: int,
+    marked: DataFrame, find_links: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """``id, fp, component_id`` of every row."""
-    second = check_radius < BITS
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words, second), "fingerprints")
-    # A fingerprint goes by itself, a pair of them by a hash.
-    name = F.xxhash64("fp", "check") if second else F.col("fp")
+    """``id, fp, component_id`` of every row of ``id, fp, check, name``."""
     distinct = materialize(
-        marked.groupBy("fp", "check").agg(F.min("id").alias("first_id")).withColumn("name", name),
-        "distinct",
+        marked.groupBy("fp", "check", "name").agg(F.min("id").alias("first_id")), "distinct"
     )
-    found = links(distinct.drop("first_id"), radius, check_radius, blocks, part_rows)
-    if second:
-        # The two take turns: one is searched within the radius, the other checked.
-        turned = distinct.select(F.col("check").alias("fp"), F.col("fp").alias("check"), "name")
-        found = found.union(links(turned, radius, check_radius, blocks, part_rows))
-    roots = component_roots(materialize(found, "links"))
+    roots = component_roots(materialize(find_links(distinct.select("fp", "check")), "links"))
     roots = roots.select(F.col("a").alias("name"), F.col("b").alias("root"))
     rooted = distinct.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -380,8 +377,13 @@ def near_components(
     their component is null only if no id can be reached. Repeated rows give a row each, an empty
     table none. Other columns are ignored.
     """
-    found = _components(docs, id_col, text_col, shingle_words, radius, BITS, blocks, part_rows)
-    return found.select(
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+
+    def find_links(distinct: DataFrame) -> DataFrame:
+        masks = block_masks(radius, distinct.count(), blocks)
+        return links(distinct, masks, radius, part_rows=part_rows)
+
+    return _components(marked, find_links).select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -465,24 +467,35 @@ def drop_near_duplicates(
     text_col: str = "text",
     shingle_words: int = 5,
     similarity: float = 0.8,
-    radius: int = 10,
-    check_radius: int = 16,
+    radius: int = 16,
+    total: int = 26,
+    masks: int = 32,
+    mask_bits: int = 16,
     part_rows: int = PART_ROWS,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """The rows of ``docs`` that repeat no document with a smaller id, with all columns.
 
-    Candidates are linked by two fingerprints, of which one differs in at most ``radius`` bits and
-    the other in at most ``check_radius``; only documents of one component whose shingles have
+    Candidates are linked by two fingerprints: if they agree in one of ``masks`` patterns of
+    ``mask_bits`` bits of either, differ in at most ``radius`` bits of that one, and in at most
+    ``total`` bits of both. Of documents that share 80 % of their shingles nearly all do. Only documents of one component whose shingles have
     a Jaccard similarity of ``similarity`` or more count as repeats, so unlike texts stay. A
     component of very many documents is first thinned out chunk by chunk, and what is left is
     compared chunk with chunk. Rows with a null id stay and repeat nothing. Rows that share an id
     are one document and stay or go together. An empty table gives an empty one.
     """
     known = docs.where(F.col(id_col).isNotNull())
-    found = _components(
-        known, id_col, text_col, shingle_words, radius, check_radius, None, part_rows
-    ).select("id", "fp", F.col("component_id").alias("component"))
+    marked = materialize(
+        fingerprints(known, id_col, text_col, shingle_words, second=True), "fingerprints"
+    )
+    patterns = sampled_masks(masks, mask_bits)
+
+    def find_links(distinct: DataFrame) -> DataFrame:
+        return links(distinct, patterns, radius, total, False, part_rows).union(
+            links(distinct, patterns, radius, total, True, part_rows)
+        )
+
+    found = _components(marked, find_links).select("id", "fp", F.col("component_id").alias("component"))
     groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     linked = found.join(groups.where("lo <> hi"), "component", "left_semi").dropDuplicates(["id"])
     texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -498,12 +511,12 @@ def drop_near_duplicates(
     while True:
         size = F.sum(F.octet_length("shingles").cast("long"))
         largest = alive.groupBy("component").agg(size.alias("size")).agg(F.max("size")).first()[0] or 0
-        alive = _without_repeats(alive, check_radius, similarity, chunk_bytes, pairs=False)
+        alive = _without_repeats(alive, total, similarity, chunk_bytes, pairs=False)
         if largest <= chunk_bytes:
             break
         before, n = n, alive.count()
         if 2 * n > before:
-            alive = _without_repeats(alive, check_radius, similarity, chunk_bytes, pairs=True)
+            alive = _without_repeats(alive, total, similarity, chunk_bytes, pairs=True)
             break
     repeats = sets.select("id").join(alive.select("id"), "id", "left_anti")
     repeats = repeats.select(F.col("id").alias("repeated_id"))

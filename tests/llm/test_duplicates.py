@@ -148,10 +148,12 @@ def test_more_rows_take_more_blocks():
 
 @pytest.mark.parametrize("options", [{}, {"part_rows": 10}, {"blocks": 7}])
 def test_links_connect_the_same_groups(spark, options):
+    options = dict(options)
     values = clusters(400, 9)
     signed = [(int(v),) for v in values.view(np.int64)]
-    named = spark.createDataFrame(signed, "fp long").selectExpr("fp", "0L AS check", "fp AS name")
-    found = gray_simhash.links(named, 4, **options).collect()
+    single = spark.createDataFrame(signed, "fp long").selectExpr("fp", "0L AS check")
+    masks = gray_simhash.block_masks(4, len(signed), options.pop("blocks", None))
+    found = gray_simhash.links(single, masks, 4, **options).collect()
     root = {int(v): int(v) for v in values.view(np.int64)}
 
     def top(x):
@@ -244,7 +246,8 @@ def test_the_second_fingerprint_has_a_say(spark):
     node, group = np.arange(len(values)), np.zeros(len(values), int)
     apart = gray_simhash.linked_labels(values[order], group, node, 4, check, 10)
     assert (apart == node).all()
-    same = gray_simhash.linked_labels(values[order], group, node, 4, np.zeros_like(check), 0)
+    same = gray_simhash.linked_labels(values[order], group, node, 4, np.zeros_like(check), 4)
+    assert (same == gray_simhash.linked_labels(values[order], group, node, 4)).all()
     assert (same != node).any()
 
 
