@@ -445,6 +445,8 @@ def _without_repeats(
     """``alive`` without documents that repeat one they meet: of their chunk, or of any chunk."""
     size = F.sum(F.octet_length("shingles").cast("long"))
     sized = alive.groupBy("component").agg(F.ceil(size / chunk_bytes).cast("int").alias("n"))
+    # Written, so that the rows of a large component can be split in the join.
+    sized = materialize(sized, "component-sizes")
     dealt = alive.join(sized, "component").withColumn("n", F.greatest("n", F.lit(1)))
     mine = F.pmod(F.xxhash64("id"), F.col("n"))
     other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)) if pairs else mine
@@ -497,7 +499,8 @@ def drop_near_duplicates(
 
     found = _components(marked, find_links).select("id", "fp", F.col("component_id").alias("component"))
     groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    linked = found.join(groups.where("lo <> hi"), "component", "left_semi").dropDuplicates(["id"])
+    several = materialize(groups.where("lo <> hi").select("component"), "linked-components")
+    linked = found.join(several, "component", "left_semi").dropDuplicates(["id"])
     texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     rows = linked.join(texts.dropDuplicates(["id"]), "id").select("component", "id", "fp", "text")
     kind = docs.schema[id_col].dataType.simpleString()
