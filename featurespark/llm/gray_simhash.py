@@ -43,6 +43,8 @@ ROWS_AT_ONCE = 128
 # Bytes of shingle sets that one task compares with each other.
 CHUNK_BYTES = 32 << 20
 SHINGLES_AT_ONCE = 1 << 17
+# Types whose values fit into a long as they are.
+WHOLE = {"tinyint", "smallint", "int", "bigint"}
 
 EMPTY = np.empty(0, np.uint64)
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -391,76 +393,149 @@ def near_components(
 
 
 def shingle_sets(shingle_words: int):
-    """Arrow function from (component, id, fp, text) to the same with the set of shingles."""
+    """Arrow function from (component, id, text) to the same with the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
             sets = [
                 np.unique(np.concatenate([*shingle_hashes(t.as_py(), shingle_words), EMPTY])).tobytes()
-                for t in batch.column(3)
+                for t in batch.column(2)
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sets, pa.binary())], ["component", "id", "fp", "shingles"]
+                [*batch.columns[:2], pa.array(sets, pa.binary())], ["component", "id", "shingles"]
             )
 
     return run
 
 
-def similar_to_earlier(radius: int, similarity: float):
-    """Arrow function over rows sorted by group and id: the ids that repeat an earlier document.
+def node_of(id_: Column | str, kind: str) -> Column:
+    """An id as a number: whole numbers stand for themselves."""
+    id_ = F.col(id_) if isinstance(id_, str) else id_
+    return id_.cast("long") if kind in WHOLE else F.xxhash64(id_)
 
-    A document repeats one with a smaller id if their fingerprints differ in at most ``radius``
-    bits and the Jaccard similarity of their shingles is ``similarity`` or more.
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of distinct shingles have this Jaccard similarity or more."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= similarity * (len(a) + len(b) - common)
+
+
+def similar_links(similarity: float, across: bool):
+    """Arrow function over rows sorted by group: links ``a, b`` between ids of alike documents.
+
+    They join the labels of all documents of a group that are alike, whatever their order; pairs
+    whose labels are joined already are not compared. With ``across``, nor are pairs of one side.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, fps, sizes, sets, n = None, np.empty(64, np.uint64), np.empty(64), [], 0
+        key, n = None, 0
+        sides, labels, sizes = np.empty(64, np.int64), np.empty(64, np.int64), np.empty(64)
+        ids, sets, moved = [], [], {}
         for batch in slices(batches, ROWS_AT_ONCE):
-            repeats = []
-            for *group, id_, fp, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = []
+            for *group, id_, side, own, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group != key:
-                    key, sets, n = group, [], 0
+                    key, n, ids, sets, moved = group, 0, [], [], {}
                 mine = np.frombuffer(shingles, np.uint64)
-                own = np.uint64(fp & (1 << BITS) - 1)
+                while own in moved:
+                    own = moved[own]
                 smaller, larger = np.minimum(sizes[:n], len(mine)), np.maximum(sizes[:n], len(mine))
-                near = (np.bitwise_count(fps[:n] ^ own) <= radius) & (smaller >= similarity * larger)
+                near = (labels[:n] != own) & (smaller >= similarity * larger)
+                if across:
+                    near &= sides[:n] != side
                 for other in np.flatnonzero(near):
-                    common = len(np.intersect1d(sets[other], mine, assume_unique=True))
-                    if common >= similarity * (len(sets[other]) + len(mine) - common):
-                        repeats.append(id_)
-                        break
-                if n == len(fps):
-                    fps, sizes = np.resize(fps, 2 * n), np.resize(sizes, 2 * n)
-                fps[n], sizes[n] = own, len(mine)
+                    if labels[other] != own and alike(sets[other], mine, similarity):
+                        found.append((ids[other], id_))
+                        moved[own] = int(labels[other])
+                        labels[:n][labels[:n] == own] = labels[other]
+                        own = moved[own]
+                if n == len(sizes):
+                    sides, labels, sizes = (np.resize(x, 2 * n) for x in (sides, labels, sizes))
+                sides[n], labels[n], sizes[n] = side, own, len(mine)
+                ids.append(id_)
                 sets.append(mine)
                 n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(repeats, batch.column("id").type)], ["id"])
+            kind = batch.column("id").type
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], kind) for i in (0, 1)], ["a", "b"]
+            )
 
     return run
 
 
-def _without_repeats(
-    alive: DataFrame, radius: int, similarity: float, chunk_bytes: int, pairs: bool
-) -> DataFrame:
-    """``alive`` without documents that repeat one they meet: of their chunk, or of any chunk."""
-    size = F.sum(F.octet_length("shingles").cast("long"))
-    sized = alive.groupBy("component").agg(F.ceil(size / chunk_bytes).cast("int").alias("n"))
-    # Written, so that the rows of a large component can be split in the join.
-    sized = materialize(sized, "component-sizes")
-    dealt = alive.join(sized, "component").withColumn("n", F.greatest("n", F.lit(1)))
+def _met(rows: DataFrame, sizes: DataFrame, similarity: float, across: bool) -> DataFrame:
+    """``a, b``: links that rows of ``component, id, label, shingles`` find in their chunk.
+
+    With ``across``, links that they find in the other chunks of their component instead.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    dealt = rows.join(sizes, "component")
     mine = F.pmod(F.xxhash64("id"), F.col("n"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)) if pairs else mine
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)) if across else mine
     dealt = dealt.withColumn("mine", mine).withColumn("other", other)
+    if across:
+        dealt = dealt.where("mine <> other")
     chunks = F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")
-    met = dealt.select("component", chunks.alias("chunks"), "id", "fp", "shingles")
-    kind = alive.schema["id"].dataType.simpleString()
-    repeats = (
+    met = dealt.select("component", chunks.alias("chunks"), "id", F.col("mine").alias("side"), "label", "shingles")
+    return materialize(
         met.repartition("component", "chunks")
         .sortWithinPartitions("component", "chunks", "id")
-        .mapInArrow(similar_to_earlier(radius, similarity), f"id {kind}")
-        .distinct()
+        .mapInArrow(similar_links(similarity, across), f"a {kind}, b {kind}"),
+        "similar",
+    )
+
+
+def _roots(links: DataFrame, kind: str) -> DataFrame:
+    """``node, root`` of the documents that ``links`` join to another one."""
+    edges = links.select(node_of("a", kind).alias("a"), node_of("b", kind).alias("b"))
+    return component_roots(edges).select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _links_within(sets: DataFrame, similarity: float, chunk_bytes: int) -> DataFrame:
+    """``a, b``: links that join all documents that a component's alike pairs connect.
+
+    ``sets`` has ``component, id, shingles``. Large components are compared chunk by chunk, then by
+    one document of each group found so far, and only if groups are left apart, chunk with chunk.
+    Dropping nothing, the result does not depend on the size of a chunk.
+    """
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def sizes_of(rows: DataFrame) -> DataFrame:
+        size = F.sum(F.octet_length("shingles").cast("long"))
+        n = F.greatest(F.ceil(size / chunk_bytes).cast("int"), F.lit(1))
+        # Written, so that the rows of a large component can be split in the join.
+        return materialize(rows.groupBy("component").agg(n.alias("n")), "component-sizes")
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        rows = rows.select("component", "id", "shingles", node_of("id", kind).alias("node"))
+        label = F.coalesce("root", "node").alias("label")
+        rows = rows.join(_roots(links, kind), "node", "left").select("component", "id", label, "shingles")
+        return materialize(rows, "labelled-sets")
+
+    sizes = sizes_of(sets)
+    links = _met(sets.withColumn("label", node_of("id", kind)), sizes, similarity, False)
+    large = sizes.where("n > 1")
+    if large.isEmpty():
+        return links
+    rows = labelled(sets.join(large, "component", "left_semi"), links)
+    heads = rows.groupBy("component", "label").agg(F.min("id").alias("id"))
+    heads = materialize(rows.join(heads, ["component", "label", "id"], "left_semi"), "heads")
+    links = links.union(_met(heads, sizes_of(heads), similarity, False))
+    rows = labelled(rows, links)
+    apart = rows.groupBy("component").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    apart = materialize(apart.where("lo <> hi").select("component"), "apart")
+    return links.union(
+        _met(rows.join(apart, "component", "left_semi"), large, similarity, True)
     )
-    return materialize(alive.join(repeats, "id", "left_anti"), "near-duplicates")
+
+
+def _repeats(links: DataFrame, kind: str) -> DataFrame:
+    """``repeated_id``: of documents that ``links`` connect, all but the one with the smallest id."""
+    ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
+    ends = ends.withColumn("node", node_of("id", kind)).join(_roots(links, kind), "node", "left")
+    ends = materialize(ends.select("id", F.coalesce("root", "node").alias("root")), "rooted")
+    first = materialize(ends.groupBy("root").agg(F.min("id").alias("first")), "kept")
+    return ends.join(first, "root").where("id <> first").select(F.col("id").alias("repeated_id"))
 
 
 def drop_near_duplicates(
@@ -476,15 +551,16 @@ def drop_near_duplicates(
     part_rows: int = PART_ROWS,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` that repeat no document with a smaller id, with all columns.
-
-    Candidates are linked by two fingerprints: if they agree in one of ``masks`` patterns of
-    ``mask_bits`` bits of either, differ in at most ``radius`` bits of that one, and in at most
-    ``total`` bits of both. Of documents that share 80 % of their shingles nearly all do. Only documents of one component whose shingles have
-    a Jaccard similarity of ``similarity`` or more count as repeats, so unlike texts stay. A
-    component of very many documents is first thinned out chunk by chunk, and what is left is
-    compared chunk with chunk. Rows with a null id stay and repeat nothing. Rows that share an id
-    are one document and stay or go together. An empty table gives an empty one.
+    """The rows of ``docs`` without the documents that repeat another one, with all columns.
+
+    Documents whose shingles have a Jaccard similarity of ``similarity`` or more are linked, and of
+    all that links connect the one with the smallest id stays, whatever the order of ids and the
+    size of the group. Candidates come from two fingerprints: if they agree in one of ``masks``
+    patterns of ``mask_bits`` bits of either, differ in at most ``radius`` bits of that one, and in
+    at most ``total`` bits of both. Of documents that share 80 % of their shingles most do. Only
+    alike shingles make a link, so unlike texts stay. Rows with a null id stay and repeat nothing.
+    Rows that share an id are one document and stay or go together. An empty table gives an empty
+    one.
     """
     known = docs.where(F.col(id_col).isNotNull())
     marked = materialize(
@@ -497,30 +573,17 @@ def drop_near_duplicates(
             links(distinct, patterns, radius, total, True, part_rows)
         )
 
-    found = _components(marked, find_links).select("id", "fp", F.col("component_id").alias("component"))
+    found = _components(marked, find_links).select("id", F.col("component_id").alias("component"))
     groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     several = materialize(groups.where("lo <> hi").select("component"), "linked-components")
     linked = found.join(several, "component", "left_semi").dropDuplicates(["id"])
     texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = linked.join(texts.dropDuplicates(["id"]), "id").select("component", "id", "fp", "text")
+    rows = linked.join(texts.dropDuplicates(["id"]), "id").select("component", "id", "text")
     kind = docs.schema[id_col].dataType.simpleString()
     sets = materialize(
-        rows.mapInArrow(
-            shingle_sets(shingle_words), f"component {kind}, id {kind}, fp long, shingles binary"
-        ),
+        rows.mapInArrow(shingle_sets(shingle_words), f"component {kind}, id {kind}, shingles binary"),
         "shingle-sets",
     )
-    alive, n = sets, sets.count()
-    while True:
-        size = F.sum(F.octet_length("shingles").cast("long"))
-        largest = alive.groupBy("component").agg(size.alias("size")).agg(F.max("size")).first()[0] or 0
-        alive = _without_repeats(alive, total, similarity, chunk_bytes, pairs=False)
-        if largest <= chunk_bytes:
-            break
-        before, n = n, alive.count()
-        if 2 * n > before:
-            alive = _without_repeats(alive, total, similarity, chunk_bytes, pairs=True)
-            break
-    repeats = sets.select("id").join(alive.select("id"), "id", "left_anti")
-    repeats = repeats.select(F.col("id").alias("repeated_id"))
+    similar = _links_within(sets, similarity, chunk_bytes)
+    repeats = materialize(_repeats(similar, kind), "near-duplicates")
     return docs.join(repeats, F.col(id_col) == F.col("repeated_id"), "left_anti")

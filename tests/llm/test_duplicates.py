@@ -256,3 +256,43 @@ def test_component_roots(spark):
     roots = {a: b for a, b in component_roots(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert roots == {i: 0 for i in range(1, 41)} | {101: 100, 201: 200, 202: 200}
     assert component_roots(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_kept(rows, similarity=0.8):
+    """The smallest id of each group that alike pairs connect."""
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return {i for i in sets if find(i) == i}
+
+
+def spread(words, places, mark):
+    return " ".join(f"{mark}{k}" if k in places else w for k, w in enumerate(words))
+
+
+def linked_by_the_last(seed, n):
+    """Texts of which two are alike only to a third, and the third has the largest id."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        copies = [spread(words, set(range(a, 300, 60)), mark) for a, mark in ((0, "x"), (30, "y"))]
+        rows += [(3 * i + k, t) for k, t in enumerate([*copies, " ".join(words)])]
+    return rows
+
+
+def test_an_original_with_the_largest_id_links_its_copies(spark):
+    rows = linked_by_the_last(4, 12)
+    assert brute_kept(rows) == set(range(0, 36, 3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in gray_simhash.drop_near_duplicates(docs).collect()}
+    assert kept == brute_kept(rows)
