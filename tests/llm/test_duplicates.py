@@ -296,3 +296,19 @@ def test_an_original_with_the_largest_id_links_its_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r["doc_id"] for r in gray_simhash.drop_near_duplicates(docs).collect()}
     assert kept == brute_kept(rows)
+
+
+def test_the_size_of_a_chunk_changes_no_result(spark):
+    rng, rows = random.Random(5), []
+    for start in range(0, 120, 12):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        # A chain: each text is alike to the one before it, the ends are not.
+        for k in range(12):
+            words = spread(words, set(range(5 * k, 300, 75)), f"x{k}.").split()
+            rows.append((start + (5 * k) % 12, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_kept(rows)
+    assert expected == set(range(0, 120, 12))
+    for chunk_bytes in (32 << 20, 5_000):
+        kept = gray_simhash.drop_near_duplicates(docs, chunk_bytes=chunk_bytes).select("doc_id").collect()
+        assert {r["doc_id"] for r in kept} == expected
