@@ -11,7 +11,8 @@ A part that holds very many fingerprints is dealt into chunks and searched chunk
 task's work is bounded and no link is lost.
 
 ``drop_near_duplicates`` links more widely, by two fingerprints whose differences add up and by
-sampled patterns of either, and then compares the linked documents' shingles exactly.
+sampled patterns of either, and then compares the linked documents' shingles exactly. Pairs that
+the fingerprints miss share one of their rarest shingles; they are found by these.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ CHUNK_BYTES = 32 << 20
 SHINGLES_AT_ONCE = 1 << 17
 # Types whose values fit into a long as they are.
 WHOLE = {"tinyint", "smallint", "int", "bigint"}
+# Documents from which common shingles are known, how many of them have one, and the most kept.
+SAMPLE_ROWS = 4_000
+COMMON_ROWS = 4
+COMMON_SHINGLES = 20_000
+PAIRS_BATCH = 1 << 16
 
 EMPTY = np.empty(0, np.uint64)
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -529,6 +535,142 @@ def _links_within(sets: DataFrame, similarity: float, chunk_bytes: int) -> DataF
     )
 
 
+def _common_shingles(known: DataFrame, n: int, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many of a sample of ``id, text`` have, sorted, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            for text in batch.column(0):
+                own = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle_words), EMPTY]))
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["shingle"])
+
+    every = max(1, n // SAMPLE_ROWS)
+    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("text")
+    counted = sample.mapInArrow(run, "shingle long").groupBy("shingle").count()
+    counted = counted.where(F.col("count") >= COMMON_ROWS).orderBy(F.desc("count"), "shingle")
+    found = counted.limit(COMMON_SHINGLES).toArrow()
+    values = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], found.column("count").to_numpy()[order]
+
+
+def rarest(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a set's shingles in one order for all sets, rare before common ones.
+
+    So many that any set with this Jaccard similarity has one of them among its own first: it must
+    share ``similarity`` of the shingles, and can't if it shares only what comes after.
+    """
+    n = len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1 if len(own) else 0
+    if not len(common):
+        return own[:n]
+    place = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    seen = np.where(common[place] == own, counts[place], 0)
+    return own[np.lexsort((own, seen))[:n]]
+
+
+def first_shingles(shingle_words: int, similarity: float, common: np.ndarray, counts: np.ndarray):
+    """Arrow function from (id, text) to (id, size, first)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            sizes, firsts = [], []
+            for text in batch.column(1):
+                own = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle_words), EMPTY]))
+                sizes.append(len(own))
+                firsts.append(rarest(own, common, counts, similarity).view(np.int64))
+            first = pa.array(firsts, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), first], ["id", "size", "first"]
+            )
+
+    return run
+
+
+def pairs_sharing(similarity: float):
+    """Arrow function over rows sorted by shingle: pairs of different components that may be alike.
+
+    Of two documents with their first common shingle at places i and j, the i and j shingles before
+    it are not shared, which alike ones allow only up to a number that follows from their sizes.
+    """
+    apart = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in slices(batches, ROWS_AT_ONCE):
+            kind, pairs = batch.column("id").type, []
+            for shingle, id_, component, size, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if shingle != key:
+                    key, held = shingle, []
+                for other, its, n, at in held:
+                    if (
+                        its != component
+                        and min(size, n) >= similarity * max(size, n) - 1e-6
+                        and place + at <= (size + n) * apart + 1e-6
+                    ):
+                        pairs.append((min(other, id_), max(other, id_)))
+                        if len(pairs) >= PAIRS_BATCH:
+                            yield _pairs_batch(pairs, kind)
+                            pairs = []
+                held.append((id_, component, size, place))
+            yield _pairs_batch(pairs, kind)
+
+    return run
+
+
+def _pairs_batch(pairs: list, kind: pa.DataType) -> pa.RecordBatch:
+    pairs = sorted(set(pairs))
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i in (0, 1)], ["a", "b"])
+
+
+def _pairs_between(known: DataFrame, linked: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """``a, b``: all pairs of documents that may be alike, but those of one of the components.
+
+    ``known`` has ``id, text``, ``linked`` the ``id, component`` of documents that are not alone.
+    """
+    kind = known.schema["id"].dataType.simpleString()
+    common, counts = _common_shingles(known, known.count(), shingle_words)
+    first = known.mapInArrow(
+        first_shingles(shingle_words, similarity, common, counts),
+        f"id {kind}, size long, first array<long>",
+    )
+    rows = first.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = rows.select("id", "component", "size", F.posexplode("first").alias("place", "shingle"))
+    pairs = (
+        rows.select("shingle", "id", "component", "size", "place")
+        .repartition("shingle")
+        .sortWithinPartitions("shingle")
+        .mapInArrow(pairs_sharing(similarity), f"a {kind}, b {kind}")
+    )
+    return materialize(pairs.distinct(), "pairs")
+
+
+def verified(similarity: float):
+    """Arrow function from pairs with both sets to the alike ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            one, two = (batch.column(c).to_pylist() for c in ("one", "two"))
+            kept = [
+                alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity)
+                for x, y in zip(one, two, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def _links_between(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The alike ones of ``a, b``."""
+    kind = sets.schema["id"].dataType.simpleString()
+    # Written, so that the pairs of one document can be split in the second join.
+    ones = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("one")), "a")
+    both = materialize(ones, "pairs-with-one").join(
+        sets.select(F.col("id").alias("b"), F.col("shingles").alias("two")), "b"
+    )
+    both = both.select("a", "b", "one", "two").mapInArrow(verified(similarity), f"a {kind}, b {kind}")
+    return materialize(both, "similar")
+
+
 def _repeats(links: DataFrame, kind: str) -> DataFrame:
     """``repeated_id``: of documents that ``links`` connect, all but the one with the smallest id."""
     ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
@@ -555,10 +697,11 @@ def drop_near_duplicates(
 
     Documents whose shingles have a Jaccard similarity of ``similarity`` or more are linked, and of
     all that links connect the one with the smallest id stays, whatever the order of ids and the
-    size of the group. Candidates come from two fingerprints: if they agree in one of ``masks``
-    patterns of ``mask_bits`` bits of either, differ in at most ``radius`` bits of that one, and in
-    at most ``total`` bits of both. Of documents that share 80 % of their shingles most do. Only
-    alike shingles make a link, so unlike texts stay. Rows with a null id stay and repeat nothing.
+    size of the group. Most are found together by two fingerprints: if they agree in one of
+    ``masks`` patterns of ``mask_bits`` bits of either, differ in at most ``radius`` bits of that
+    one, and in at most ``total`` bits of both. All other pairs that may be alike share one of their
+    rarest shingles (``rarest``), so none is missed. Only alike shingles make a link, so unlike
+    texts stay. Rows with a null id stay and repeat nothing.
     Rows that share an id are one document and stay or go together. An empty table gives an empty
     one.
     """
@@ -577,13 +720,20 @@ def drop_near_duplicates(
     groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     several = materialize(groups.where("lo <> hi").select("component"), "linked-components")
     linked = found.join(several, "component", "left_semi").dropDuplicates(["id"])
+    linked = materialize(linked.select("id", "component"), "linked")
     texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = linked.join(texts.dropDuplicates(["id"]), "id").select("component", "id", "text")
+    pairs = _pairs_between(texts, linked, shingle_words, similarity)
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    wanted = materialize(linked.select("id").union(ends).distinct(), "compared")
+    wanted = wanted.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    texts = texts.join(wanted, "id").dropDuplicates(["id"])
+    rows = texts.select("component", "id", "text")
     kind = docs.schema[id_col].dataType.simpleString()
     sets = materialize(
         rows.mapInArrow(shingle_sets(shingle_words), f"component {kind}, id {kind}, shingles binary"),
         "shingle-sets",
     )
     similar = _links_within(sets, similarity, chunk_bytes)
+    similar = similar.union(_links_between(pairs, sets, similarity))
     repeats = materialize(_repeats(similar, kind), "near-duplicates")
     return docs.join(repeats, F.col(id_col) == F.col("repeated_id"), "left_anti")

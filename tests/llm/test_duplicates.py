@@ -312,3 +312,19 @@ def test_the_size_of_a_chunk_changes_no_result(spark):
     for chunk_bytes in (32 << 20, 5_000):
         kept = gray_simhash.drop_near_duplicates(docs, chunk_bytes=chunk_bytes).select("doc_id").collect()
         assert {r["doc_id"] for r in kept} == expected
+
+
+def test_every_alike_pair_is_found(spark):
+    rng, rows = random.Random(6), []
+    for i in range(200):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice((40, 150, 300)))]
+        # So many words changed that J is 0.80 to 0.85.
+        edits = {40: 1, 150: 3, 300: 6}[len(words)]
+        copy = spread(words, set(range(5, len(words) - 5, (len(words) - 10) // edits + 1)), "x")
+        rows += [(2 * i, copy), (2 * i + 1, " ".join(words))]
+    sets = {i: shingles(t) for i, t in rows}
+    near = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 400, 2)]
+    assert sum(0.8 <= j < 0.85 for j in near) > 120
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in gray_simhash.drop_near_duplicates(docs).collect()}
+    assert kept == brute_kept(rows)
