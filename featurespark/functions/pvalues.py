@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -74,3 +75,31 @@ def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
 def scientific_text(x: pd.Series) -> pd.Series:
     """``%.6e`` text of the exact binary value, which may round ties unlike the JVM's formatter."""
     return x.map(lambda v: None if pd.isna(v) else f"{v:.6e}").astype(object)
+
+
+def scientific_column(name: str) -> Column:
+    """``%.6e`` text of the exact binary value of a column, ties to even, without Python.
+
+    The JVM rounds the shortest decimal that stands for a value, halves up. That differs only if
+    this decimal has eight digits and ends in 5; then the sign of the exact value less it decides.
+    Between 1e-14 and 1e29 the sign is exact; beyond, halves go up. Subnormal numbers with fewer than
+    seven digits give the digits of their shortest decimal.
+    """
+    x = F.col(name).cast("double")
+    text = F.format_string("%.7e", x)
+    mantissa, power = F.substring_index(text, "e", 1), F.substring_index(text, "e", -1)
+    digits = F.regexp_replace(mantissa, "[^0-9]", "").cast("double")
+    scale = F.lit(7) - power.cast("int")
+
+    def fma(a: Column, b: Column, c: Column) -> Column:
+        return F.reflect(F.lit("java.lang.Math"), F.lit("fma"), a, b, c).cast("double")
+
+    ten = F.pow(F.lit(10.0), F.abs(scale).cast("double"))
+    over = F.when(scale >= 0, fma(F.abs(x), ten, -digits)).otherwise(-fma(digits, ten, -F.abs(x)))
+    down = (over < 0) | (over == 0) & (F.floor(digits / 10) % 2 == 0)
+    halfway = mantissa.endswith("5") & (text.cast("double") == x) & (F.abs(scale) <= 22)
+    cut = F.concat(F.substring_index(mantissa, ".", 1), F.lit("."),
+                   F.substring(F.substring_index(mantissa, ".", -1), 1, 6), F.lit("e"), power)
+    return F.when(halfway, F.when(down, cut).otherwise(F.format_string("%.6e", x))).when(
+        x.isNotNull(), F.format_string("%.6e", x)
+    )

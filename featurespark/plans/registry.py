@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from featurespark.functions.pvalues import scientific_column
 from featurespark.functions.ratio import ratio_3
 from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows
 from featurespark.plans import views
@@ -220,7 +221,7 @@ def scalar_math(spark, sf_dir):
         F.greatest(F.lit(0.0), q - 25).alias("over_25"),
         F.least(q, F.lit(25.0)).alias("up_to_25"),
         F.round(F.try_divide(F.col("l_tax"), d), 4).alias("ratio"),
-        F.format_string("%.6e", F.floor("l_extendedprice").cast("double")).alias("price_text"),
+        scientific_column("l_extendedprice").alias("price_text"),
         ratio_3(F.least(q, F.lit(25)).cast("int"), q.cast("int")).cast("double").alias("share"),
     )
 
