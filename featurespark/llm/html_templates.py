@@ -30,11 +30,12 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>|[^>]*>?)",
     re.DOTALL,
 )
-LABEL = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+LABEL = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/>])", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
 
 # Names of HTML elements and of the parts that pages mark.
+HEADED = {"h1", "h2", "h3", "h4", "h5", "h6", "section"}
 RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -59,6 +60,8 @@ BOILERPLATE = set(
     " comment comments respond disqus related share sharing social widget toolbar pagination"
     " pager login signup search".split()
 )
+# What follows in a class or id tells of another element: ``has-sidebar``, ``no-comments``.
+ABOUT = {"has", "no", "with", "without"}
 # An open element that ends when one of these starts.
 ENDED_BY = {
     "li": {"li"},
@@ -78,18 +81,23 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent = ["html"], [-1]
         self.boilerplate, self.main = [False], [False]
+        # Elements that only their class, id or role calls boilerplate.
+        self.labelled: list[int] = []
         self.digest: list[int] = [0]
         self.size = [0]
         # (element, text), or (element, None) where a block starts or ends.
         self.pieces: list[tuple[int, str | None]] = []
         self.parts: list[list[bytes]] = [[]]
         self._read(source)
+        self._judge()
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.main.append(self.main[parent] or tag in MAIN)
         self.boilerplate.append(self.boilerplate[parent] or self._marked(parent, tag, attributes))
+        if not self.boilerplate[-1] and self._called(parent, tag, attributes):
+            self.labelled.append(len(self.tag) - 1)
         self.digest.append(0)
         self.size.append(0)
         self.parts.append([tag.encode(), b" "])
@@ -98,12 +106,38 @@ class Page:
     def _marked(self, parent: int, tag: str, attributes: str) -> bool:
         if tag in DROPPED or tag == "header" and not self.main[parent]:
             return True
-        if tag in ROOTS or not attributes.strip("/> "):
+        return tag not in ROOTS and bool(attributes.strip("/> ")) and bool(HIDDEN.search(attributes))
+
+    def _called(self, parent: int, tag: str, attributes: str) -> bool:
+        if tag in ROOTS or tag in MAIN and not self.main[parent] or not attributes.strip("/> "):
             return False
-        if HIDDEN.search(attributes):
-            return True
-        labels = " ".join("".join(m.groups("")) for m in LABEL.finditer(attributes)).lower()
-        return not BOILERPLATE.isdisjoint(NAME.findall(labels))
+        for found in LABEL.finditer(attributes):
+            if self.main[parent] and tag in HEADED and found[1].lower() == "id":
+                continue
+            for label in "".join(found.groups("")[1:]).lower().split():
+                for name in NAME.findall(label):
+                    if name in ABOUT:
+                        break
+                    if name in BOILERPLATE:
+                        return True
+        return False
+
+    def _judge(self) -> None:
+        """Drop labelled elements but those around a main part or most of the page's text."""
+        if not self.labelled:
+            return
+        around = set()
+        for i, tag in enumerate(self.tag):
+            # An article inside another one is a comment on it.
+            if tag in MAIN and not self.main[self.parent[i]] and not self.boilerplate[i]:
+                up = self.parent[i]
+                while up > 0 and up not in around:
+                    around.add(up)
+                    up = self.parent[up]
+        dropped = {i for i in self.labelled if i not in around and 2 * self.size[i] <= self.size[0]}
+        for i in range(1, len(self.tag)):
+            if i in dropped or self.boilerplate[self.parent[i]]:
+                self.boilerplate[i] = True
 
     def _close(self, node: int) -> None:
         self.digest[node] = xxhash.xxh64_intdigest(b"".join(self.parts[node])) - (1 << 63)

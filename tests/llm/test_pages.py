@@ -61,6 +61,24 @@ def test_markup(source):
     assert Page(source).text(set()) == CASES[source]
 
 
+LABELLED = {
+    "<div class='content has-sidebar'>all<p>of it</p></div>": "all of it",
+    "<main class='with-sidebar'><p>m</p></main>": "m",
+    "<article class='no-comments'>a</article>": "a",
+    "<div id='sidebar'><article>a</article></div>": "a",
+    "<div class='widget'>most of the text</div><p>a</p>": "most of the text a",
+    "<article><h2 id='search'>Search</h2><section id='related-work'>r</section><p>and more text</p></article>":
+    "Search r and more text",
+    "<article>the longer text<div class='comments'><article>c</article></div></article>": "the longer text",
+    "<p>the longer text</p><div class='page-sidebar has-ads'>s</div>": "the longer text",
+}
+
+
+@pytest.mark.parametrize("source", LABELLED)
+def test_labels_drop_no_main_text(source):
+    assert Page(source).text(set()) == LABELLED[source]
+
+
 def site(n, host="h.example"):
     """Pages with a menu without marks, an own text, and a quote that all have in their article."""
     return [
