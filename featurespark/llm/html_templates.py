@@ -23,6 +23,8 @@ from featurespark.session import materialize
 # A subtree is template when it is on so many different pages of its host, and on this share.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.05
+# On so many pages it is template whatever the share, so that large hosts keep no more of it.
+MANY_PAGES = 100
 ROWS_AT_ONCE = 128
 
 TOKEN = re.compile(
@@ -252,7 +254,10 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def site_templates(
-    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE
+    pages: DataFrame,
+    least_pages: int = LEAST_PAGES,
+    least_share: float = LEAST_SHARE,
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """``key, templates``: the recurring subtrees of every page ``(key, host, html)`` with any.
 
@@ -268,7 +273,7 @@ def site_templates(
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= least_pages)
         .join(sizes, "host")
-        .where(F.col("n") >= F.col("pages") * least_share)
+        .where(F.col("n") >= F.least(F.col("pages") * least_share, F.lit(float(many_pages))))
         .select("host", "digest")
     )
     known = materialize(recurring, "templates")

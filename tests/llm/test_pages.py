@@ -98,6 +98,16 @@ def test_recurring_subtrees_are_template(spark):
         assert r["text"] == f"Own text number {r['page_id']} is long enough to be most of the page, as texts are."
 
 
+def test_large_hosts_keep_no_template(spark):
+    rows = [
+        (i, f"http://big.example/{i}", ("<div>Our section menu</div>" if i < 110 else "")
+         + f"<div><p>Own text number {i} is long enough to be most of the page.</p></div>")
+        for i in range(2750)
+    ]
+    got = html_templates.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert not [r["text"] for r in got.collect() if "menu" in r["text"]]
+
+
 def test_few_pages_have_no_template(spark):
     pages = spark.createDataFrame(site(3) + site(4, "other.example"), "page_id long, url string, html string")
     assert all(r["text"].startswith("Home News Own") for r in html_templates.extract_main_text(pages).collect())
