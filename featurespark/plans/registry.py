@@ -7,7 +7,6 @@ the operators themselves return unrounded values.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
@@ -617,18 +616,10 @@ def rf_classify(spark, sf_dir):
     return scored.select("vec_id", "label", "predicted", F.array_max("probability").alias("share"))
 
 
-@lru_cache(maxsize=4)
-def _importances(application: str, sf_dir: str, response: str) -> tuple[tuple[str, float], ...]:
-    """One fit for all queries of a session that ask for it: a few rows."""
-    data = views.features(SparkSession.active(), sf_dir)
-    is_boolean = response == "is_returned"
-    found = ml.forest_importance(data, CONTINUOUS if is_boolean else PREDICTORS, response, is_boolean)
-    return tuple((r["feature"], r["importance"]) for r in found.collect())
-
-
 def _importance_table(spark: SparkSession, sf_dir: str, response: str) -> DataFrame:
-    found = _importances(spark.sparkContext.applicationId, sf_dir, response)
-    return spark.createDataFrame(list(found), "feature string, importance double")
+    data = views.features(spark, sf_dir)
+    is_boolean = response == "is_returned"
+    return ml.forest_importance(data, CONTINUOUS if is_boolean else PREDICTORS, response, is_boolean)
 
 
 @query

@@ -1,8 +1,10 @@
-"""Texts of numbers."""
+"""Texts of numbers, and queries that compute anew."""
 
 import random
 
 from featurespark.functions.pvalues import scientific_column
+from featurespark.operators import ml
+from featurespark.plans import registry
 
 
 def test_scientific_column_is_the_text_of_the_exact_value(spark):
@@ -15,3 +17,11 @@ def test_scientific_column_is_the_text_of_the_exact_value(spark):
     got = data.select("v", scientific_column("v").alias("t")).collect()
     assert [(r["v"], r["t"]) for r in got if r["v"] is not None and r["t"] != f"{r['v']:.6e}"] == []
     assert [r["t"] for r in got if r["v"] is None] == [None]
+
+
+def test_importances_are_fitted_on_every_call(spark, monkeypatch):
+    fits = []
+    monkeypatch.setattr(ml, "forest_importance", lambda *args: fits.append(args) or spark.range(1))
+    for _ in range(2):
+        registry.rf_importance(spark, "/root/testdata/sf0.001")
+    assert len(fits) == 2
