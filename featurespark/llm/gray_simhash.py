@@ -10,14 +10,12 @@ is dropped as a whole once they exceed the radius or all its members are already
 A part that holds very many fingerprints is dealt into chunks and searched chunk by chunk, so a
 task's work is bounded and no link is lost.
 
-``drop_near_duplicates`` links more widely, by two fingerprints whose differences add up and by
-sampled patterns of either, and then compares the linked documents' shingles exactly. Pairs that
-the fingerprints miss share one of their rarest shingles; they are found by these.
+``drop_near_duplicates`` keeps one document of each group of linked ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -25,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from featurespark.llm.common import slices, text_or_empty
 from featurespark.llm.components import component_roots
@@ -41,18 +40,8 @@ PAIRS_AT_ONCE = 4_096
 # Expected fingerprints of a part, from which the number of blocks follows.
 PART_TARGET = 4_096
 ROWS_AT_ONCE = 128
-# Bytes of shingle sets that one task compares with each other.
-CHUNK_BYTES = 32 << 20
 SHINGLES_AT_ONCE = 1 << 17
-# Types whose values fit into a long as they are.
-WHOLE = {"tinyint", "smallint", "int", "bigint"}
-# Documents from which common shingles are known, how many of them have one, and the most kept.
-SAMPLE_ROWS = 4_000
-COMMON_ROWS = 4
-COMMON_SHINGLES = 20_000
-PAIRS_BATCH = 1 << 16
-
-EMPTY = np.empty(0, np.uint64)
+
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Bit i of a byte as byte i of a word: eight counters are added at once.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(
@@ -88,54 +77,35 @@ def majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def remixed(hashes: np.ndarray) -> np.ndarray:
-    """Hashes that tell as much, bit for bit unlike the given ones (the splitmix64 finaliser)."""
-    x = hashes + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint_pair(text: str, shingle_words: int, second: bool) -> tuple[int, int]:
-    """SimHash of the word shingles of a text, and if asked for one of other hashes, else 0."""
-    first, other, n = np.zeros(BITS, np.int64), np.zeros(BITS, np.int64), 0
-    for hashes in shingle_hashes(text, shingle_words):
-        n += len(hashes)
-        first += bit_counts(hashes)
-        if second:
-            other += bit_counts(remixed(hashes))
-    return majority(first, n), majority(other, n)
-
-
 def fingerprint(text: str, shingle_words: int) -> int:
     """SimHash of the word shingles of a text, as an unsigned number."""
-    return fingerprint_pair(text, shingle_words, False)[0]
-
+    counts, n = np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(text, shingle_words):
+        n += len(hashes)
+        counts += bit_counts(hashes)
+    return majority(counts, n)
 
-def fingerprints(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = 4,
-    second: bool = False,
-) -> DataFrame:
-    """``id, fp, check, name``: the fingerprints of every row, as signed longs with the same bits.
 
-    Without ``second``, ``check`` is 0 everywhere and ``name`` is ``fp``.
-    """
+def fingerprint_batches(shingle_words: int):
+    """Arrow function from columns that end with a text to the same with its fingerprint there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
-            values = [fingerprint_pair(t.as_py(), shingle_words, second) for t in batch.column(1)]
-            fp, check = (np.array(v, np.uint64).view(np.int64) for v in zip(*values, strict=True))
-            names = pa.array(names_of(fp, check))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp), pa.array(check), names], ["id", "fp", "check", "name"]
-            )
+            prints = [fingerprint(t.as_py(), shingle_words) for t in batch.columns[-1]]
+            fp = pa.array(np.array(prints, np.uint64).view(np.int64))
+            names = [*batch.schema.names[:-1], "fp"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fp], names)
+
+    return run
+
 
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4
+) -> DataFrame:
+    """``id, fp``: the fingerprint of every row, as a signed long with the same bits."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp long, check long, name long")
+    return rows.mapInArrow(fingerprint_batches(shingle_words), f"id {kind}, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -161,18 +131,6 @@ def block_masks(radius: int, n: int, blocks: int | None = None) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def sampled_masks(count: int, bits: int) -> list[int]:
-    """``count`` fixed masks of ``bits`` bits each, as signed 64-bit numbers."""
-    chance = np.random.default_rng(SEED)
-    masks = [sum(1 << int(b) for b in chance.choice(BITS, bits, replace=False)) for _ in range(count)]
-    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-
-
-def names_of(fp: np.ndarray, check: np.ndarray) -> np.ndarray:
-    """One number for a pair of fingerprints: the first itself where the second is 0."""
-    return (fp.view(np.uint64) + check.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-
-
 class Level:
     """Index nodes of one height: shared bits, and where their children lie."""
 
@@ -224,13 +182,11 @@ def linked_labels(
     group: np.ndarray,
     node: np.ndarray,
     radius: int,
-    check: np.ndarray | None = None,
-    total: int = 2 * BITS,
 ) -> np.ndarray:
     """For each node, the smallest one it reaches by links found in these groups.
 
     ``fps`` are sorted by group and Gray rank; ``node`` numbers what they stand for. Linked rows
-    differ in at most ``radius`` bits, and with those of ``check`` in at most ``total``.
+    differ in at most ``radius`` bits.
     """
     levels = [Level(fps, fps, np.arange(len(fps) + 1), group)]
     while len(np.unique(levels[-1].group)) < len(levels[-1].group):
@@ -264,10 +220,7 @@ def linked_labels(
         if height == 0:
             a, b = a[a < b], b[a < b]
         differ = (level.low[a] ^ level.low[b]) & level.shared[a] & level.shared[b]
-        bits = np.bitwise_count(differ)
-        near = bits <= radius
-        if height == 0 and check is not None:
-            near &= bits + np.bitwise_count(check[a] ^ check[b]) <= total
+        near = np.bitwise_count(differ) <= radius
         a, b = a[near], b[near]
         if height:
             work.append((height, a, b))
@@ -277,15 +230,13 @@ def linked_labels(
     return labels
 
 
-def search_parts(radius: int, total: int, turned: bool):
-    """Arrow function from sorted (part, fp, check) to links ``a, b`` that connect their names."""
+def search_parts(radius: int):
+    """Arrow function from sorted (part, fp) to links ``a, b`` between fingerprints."""
 
     def searched(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
-        fps, check = (table.column(c).to_numpy() for c in ("fp", "check"))
-        names = names_of(check, fps) if turned else names_of(fps, check)
-        values, node = np.unique(names, return_inverse=True)
-        checked = check.view(np.uint64) if total < 2 * BITS else None
-        roots = linked_labels(fps.view(np.uint64), group, node, radius, checked, total)
+        fps = table.column("fp").to_numpy()
+        values, node = np.unique(fps, return_inverse=True)
+        roots = linked_labels(fps.view(np.uint64), group, node, radius)
         moved = np.flatnonzero(roots != np.arange(len(values)))
         return pa.RecordBatch.from_arrays(
             [pa.array(values[moved]), pa.array(values[roots[moved]])], ["a", "b"]
@@ -314,58 +265,42 @@ def search_parts(radius: int, total: int, turned: bool):
     return run
 
 
-def links(
-    distinct: DataFrame,
-    masks: list[int],
-    radius: int,
-    total: int = 2 * BITS,
-    turned: bool = False,
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """``a, b``: links between distinct ``fp, check`` that connect all pairs within the limits.
+def links(distinct: DataFrame, masks: list[int], radius: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """``a, b``: links between distinct ``fp`` that connect all pairs within ``radius``.
 
-    A pair is found if it agrees in one of the masked patterns. Both ends go by ``names_of``. At
-    most one link per name and search: pairs that are already connected are not listed. ``turned``
-    swaps the roles of the two fingerprints. Parts go by a hash; should two of them share one, more
-    pairs are compared and none is lost.
+    A pair is found if it agrees in one of the masked patterns. At most one link per fingerprint
+    and search: pairs that are already connected are not listed. Parts go by a hash; should two of
+    them share one, more pairs are compared and none is lost.
     """
-    fp, check = ("check", "fp") if turned else ("fp", "check")
-    patterns = (F.xxhash64(F.lit(i), F.col(fp).bitwiseAND(F.lit(m))) for i, m in enumerate(masks))
-    rows = distinct.select(
-        F.col(fp).alias("fp"), F.col(check).alias("check"), F.explode(F.array(*patterns)).alias("part")
-    )
+    patterns = (F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks))
+    rows = distinct.select("fp", F.explode(F.array(*patterns)).alias("part"))
     if distinct.count() > part_rows:
         large = rows.groupBy("part").count().where(F.col("count") > part_rows)
         n = F.ceil(2 * F.col("count") / F.lit(part_rows)).cast("int")
         # Few parts are this large: at most the rows over ``part_rows``.
         large = bounded_side(large.select("part", n.alias("n")))
         dealt = rows.join(large, "part", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-        mine = F.pmod(F.xxhash64("fp", "check"), F.col("n"))
+        mine = F.pmod(F.xxhash64("fp"), F.col("n"))
         # A chunk meets itself and every other chunk of its part, each pair of chunks in one place.
         other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-        met = dealt.select("fp", "check", "part", "n", mine.alias("mine"), other.alias("other"))
+        met = dealt.select("fp", "part", "n", mine.alias("mine"), other.alias("other"))
         chunks = F.xxhash64("part", F.least("mine", "other"), F.greatest("mine", "other"))
         part = F.when(F.col("n") > 1, chunks).otherwise(F.col("part"))
-        rows = met.select("fp", "check", part.alias("part"))
-    ordered = rows.select("part", "fp", "check").repartition("part")
+        rows = met.select("fp", part.alias("part"))
+    ordered = rows.select("part", "fp").repartition("part")
     ordered = ordered.sortWithinPartitions("part", gray_rank(F.col("fp")))
-    return ordered.mapInArrow(search_parts(radius, total, turned), "a long, b long")
+    return ordered.mapInArrow(search_parts(radius), "a long, b long")
 
 
-def _components(
-    marked: DataFrame, find_links: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """``id, fp, component_id`` of every row of ``id, fp, check, name``."""
-    distinct = materialize(
-        marked.groupBy("fp", "check", "name").agg(F.min("id").alias("first_id")), "distinct"
-    )
-    roots = component_roots(materialize(find_links(distinct.select("fp", "check")), "links"))
-    roots = roots.select(F.col("a").alias("name"), F.col("b").alias("root"))
-    rooted = distinct.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    # Written, so that rows of a very common fingerprint can be split in the last join.
-    named = rooted.join(first, "root").select("fp", "check", "component_id")
-    return marked.join(materialize(named, "components"), ["fp", "check"])
+def linked_fingerprints(
+    marked: DataFrame, radius: int, blocks: int | None, part_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Distinct ``fp, first_id`` of ``id, fp``, and ``fp, root`` of those linked to a smaller one."""
+    distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct")
+    masks = block_masks(radius, distinct.count(), blocks)
+    found = links(distinct.select("fp"), masks, radius, part_rows)
+    roots = component_roots(materialize(found, "links"))
+    return distinct, roots.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
 def near_components(
@@ -386,354 +321,44 @@ def near_components(
     table none. Other columns are ignored.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-
-    def find_links(distinct: DataFrame) -> DataFrame:
-        masks = block_masks(radius, distinct.count(), blocks)
-        return links(distinct, masks, radius, part_rows=part_rows)
-
-    return _components(marked, find_links).select(
+    distinct, roots = linked_fingerprints(marked, radius, blocks, part_rows)
+    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written, so that rows of a very common fingerprint can be split in the last join.
+    named = materialize(rooted.join(first, "root").select("fp", "component_id"), "components")
+    return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
 
 
-def shingle_sets(shingle_words: int):
-    """Arrow function from (component, id, text) to the same with the set of shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            sets = [
-                np.unique(np.concatenate([*shingle_hashes(t.as_py(), shingle_words), EMPTY])).tobytes()
-                for t in batch.column(2)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sets, pa.binary())], ["component", "id", "shingles"]
-            )
-
-    return run
-
-
-def node_of(id_: Column | str, kind: str) -> Column:
-    """An id as a number: whole numbers stand for themselves."""
-    id_ = F.col(id_) if isinstance(id_, str) else id_
-    return id_.cast("long") if kind in WHOLE else F.xxhash64(id_)
-
-
-def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sets of distinct shingles have this Jaccard similarity or more."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common >= similarity * (len(a) + len(b) - common)
-
-
-def similar_links(similarity: float, across: bool):
-    """Arrow function over rows sorted by group: links ``a, b`` between ids of alike documents.
-
-    They join the labels of all documents of a group that are alike, whatever their order; pairs
-    whose labels are joined already are not compared. With ``across``, nor are pairs of one side.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n = None, 0
-        sides, labels, sizes = np.empty(64, np.int64), np.empty(64, np.int64), np.empty(64)
-        ids, sets, moved = [], [], {}
-        for batch in slices(batches, ROWS_AT_ONCE):
-            found = []
-            for *group, id_, side, own, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group != key:
-                    key, n, ids, sets, moved = group, 0, [], [], {}
-                mine = np.frombuffer(shingles, np.uint64)
-                while own in moved:
-                    own = moved[own]
-                smaller, larger = np.minimum(sizes[:n], len(mine)), np.maximum(sizes[:n], len(mine))
-                near = (labels[:n] != own) & (smaller >= similarity * larger)
-                if across:
-                    near &= sides[:n] != side
-                for other in np.flatnonzero(near):
-                    if labels[other] != own and alike(sets[other], mine, similarity):
-                        found.append((ids[other], id_))
-                        moved[own] = int(labels[other])
-                        labels[:n][labels[:n] == own] = labels[other]
-                        own = moved[own]
-                if n == len(sizes):
-                    sides, labels, sizes = (np.resize(x, 2 * n) for x in (sides, labels, sizes))
-                sides[n], labels[n], sizes[n] = side, own, len(mine)
-                ids.append(id_)
-                sets.append(mine)
-                n += 1
-            kind = batch.column("id").type
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], kind) for i in (0, 1)], ["a", "b"]
-            )
-
-    return run
-
-
-def _met(rows: DataFrame, sizes: DataFrame, similarity: float, across: bool) -> DataFrame:
-    """``a, b``: links that rows of ``component, id, label, shingles`` find in their chunk.
-
-    With ``across``, links that they find in the other chunks of their component instead.
-    """
-    kind = rows.schema["id"].dataType.simpleString()
-    dealt = rows.join(sizes, "component")
-    mine = F.pmod(F.xxhash64("id"), F.col("n"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)) if across else mine
-    dealt = dealt.withColumn("mine", mine).withColumn("other", other)
-    if across:
-        dealt = dealt.where("mine <> other")
-    chunks = F.least("mine", "other") * F.col("n") + F.greatest("mine", "other")
-    met = dealt.select("component", chunks.alias("chunks"), "id", F.col("mine").alias("side"), "label", "shingles")
-    return materialize(
-        met.repartition("component", "chunks")
-        .sortWithinPartitions("component", "chunks", "id")
-        .mapInArrow(similar_links(similarity, across), f"a {kind}, b {kind}"),
-        "similar",
-    )
-
-
-def _roots(links: DataFrame, kind: str) -> DataFrame:
-    """``node, root`` of the documents that ``links`` join to another one."""
-    edges = links.select(node_of("a", kind).alias("a"), node_of("b", kind).alias("b"))
-    return component_roots(edges).select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
-def _links_within(sets: DataFrame, similarity: float, chunk_bytes: int) -> DataFrame:
-    """``a, b``: links that join all documents that a component's alike pairs connect.
-
-    ``sets`` has ``component, id, shingles``. Large components are compared chunk by chunk, then by
-    one document of each group found so far, and only if groups are left apart, chunk with chunk.
-    Dropping nothing, the result does not depend on the size of a chunk.
-    """
-    kind = sets.schema["id"].dataType.simpleString()
-
-    def sizes_of(rows: DataFrame) -> DataFrame:
-        size = F.sum(F.octet_length("shingles").cast("long"))
-        n = F.greatest(F.ceil(size / chunk_bytes).cast("int"), F.lit(1))
-        # Written, so that the rows of a large component can be split in the join.
-        return materialize(rows.groupBy("component").agg(n.alias("n")), "component-sizes")
-
-    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-        rows = rows.select("component", "id", "shingles", node_of("id", kind).alias("node"))
-        label = F.coalesce("root", "node").alias("label")
-        rows = rows.join(_roots(links, kind), "node", "left").select("component", "id", label, "shingles")
-        return materialize(rows, "labelled-sets")
-
-    sizes = sizes_of(sets)
-    links = _met(sets.withColumn("label", node_of("id", kind)), sizes, similarity, False)
-    large = sizes.where("n > 1")
-    if large.isEmpty():
-        return links
-    rows = labelled(sets.join(large, "component", "left_semi"), links)
-    heads = rows.groupBy("component", "label").agg(F.min("id").alias("id"))
-    heads = materialize(rows.join(heads, ["component", "label", "id"], "left_semi"), "heads")
-    links = links.union(_met(heads, sizes_of(heads), similarity, False))
-    rows = labelled(rows, links)
-    apart = rows.groupBy("component").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    apart = materialize(apart.where("lo <> hi").select("component"), "apart")
-    return links.union(
-        _met(rows.join(apart, "component", "left_semi"), large, similarity, True)
-    )
-
-
-def _common_shingles(known: DataFrame, n: int, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many of a sample of ``id, text`` have, sorted, and how many."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            for text in batch.column(0):
-                own = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle_words), EMPTY]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["shingle"])
-
-    every = max(1, n // SAMPLE_ROWS)
-    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("text")
-    counted = sample.mapInArrow(run, "shingle long").groupBy("shingle").count()
-    counted = counted.where(F.col("count") >= COMMON_ROWS).orderBy(F.desc("count"), "shingle")
-    found = counted.limit(COMMON_SHINGLES).toArrow()
-    values = found.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(values)
-    return values[order], found.column("count").to_numpy()[order]
-
-
-def rarest(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of a set's shingles in one order for all sets, rare before common ones.
-
-    So many that any set with this Jaccard similarity has one of them among its own first: it must
-    share ``similarity`` of the shingles, and can't if it shares only what comes after.
-    """
-    n = len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1 if len(own) else 0
-    if not len(common):
-        return own[:n]
-    place = np.minimum(np.searchsorted(common, own), len(common) - 1)
-    seen = np.where(common[place] == own, counts[place], 0)
-    return own[np.lexsort((own, seen))[:n]]
-
-
-def first_shingles(shingle_words: int, similarity: float, common: np.ndarray, counts: np.ndarray):
-    """Arrow function from (id, text) to (id, size, first)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            sizes, firsts = [], []
-            for text in batch.column(1):
-                own = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle_words), EMPTY]))
-                sizes.append(len(own))
-                firsts.append(rarest(own, common, counts, similarity).view(np.int64))
-            first = pa.array(firsts, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), first], ["id", "size", "first"]
-            )
-
-    return run
-
-
-def pairs_sharing(similarity: float):
-    """Arrow function over rows sorted by shingle: pairs of different components that may be alike.
-
-    Of two documents with their first common shingle at places i and j, the i and j shingles before
-    it are not shared, which alike ones allow only up to a number that follows from their sizes.
-    """
-    apart = (1 - similarity) / (1 + similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for batch in slices(batches, ROWS_AT_ONCE):
-            kind, pairs = batch.column("id").type, []
-            for shingle, id_, component, size, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if shingle != key:
-                    key, held = shingle, []
-                for other, its, n, at in held:
-                    if (
-                        its != component
-                        and min(size, n) >= similarity * max(size, n) - 1e-6
-                        and place + at <= (size + n) * apart + 1e-6
-                    ):
-                        pairs.append((min(other, id_), max(other, id_)))
-                        if len(pairs) >= PAIRS_BATCH:
-                            yield _pairs_batch(pairs, kind)
-                            pairs = []
-                held.append((id_, component, size, place))
-            yield _pairs_batch(pairs, kind)
-
-    return run
-
-
-def _pairs_batch(pairs: list, kind: pa.DataType) -> pa.RecordBatch:
-    pairs = sorted(set(pairs))
-    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i in (0, 1)], ["a", "b"])
-
-
-def _pairs_between(known: DataFrame, linked: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """``a, b``: all pairs of documents that may be alike, but those of one of the components.
-
-    ``known`` has ``id, text``, ``linked`` the ``id, component`` of documents that are not alone.
-    """
-    kind = known.schema["id"].dataType.simpleString()
-    common, counts = _common_shingles(known, known.count(), shingle_words)
-    first = known.mapInArrow(
-        first_shingles(shingle_words, similarity, common, counts),
-        f"id {kind}, size long, first array<long>",
-    )
-    rows = first.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = rows.select("id", "component", "size", F.posexplode("first").alias("place", "shingle"))
-    pairs = (
-        rows.select("shingle", "id", "component", "size", "place")
-        .repartition("shingle")
-        .sortWithinPartitions("shingle")
-        .mapInArrow(pairs_sharing(similarity), f"a {kind}, b {kind}")
-    )
-    return materialize(pairs.distinct(), "pairs")
-
-
-def verified(similarity: float):
-    """Arrow function from pairs with both sets to the alike ones."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            one, two = (batch.column(c).to_pylist() for c in ("one", "two"))
-            kept = [
-                alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity)
-                for x, y in zip(one, two, strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    return run
-
-
-def _links_between(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The alike ones of ``a, b``."""
-    kind = sets.schema["id"].dataType.simpleString()
-    # Written, so that the pairs of one document can be split in the second join.
-    ones = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("one")), "a")
-    both = materialize(ones, "pairs-with-one").join(
-        sets.select(F.col("id").alias("b"), F.col("shingles").alias("two")), "b"
-    )
-    both = both.select("a", "b", "one", "two").mapInArrow(verified(similarity), f"a {kind}, b {kind}")
-    return materialize(both, "similar")
-
-
-def _repeats(links: DataFrame, kind: str) -> DataFrame:
-    """``repeated_id``: of documents that ``links`` connect, all but the one with the smallest id."""
-    ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
-    ends = ends.withColumn("node", node_of("id", kind)).join(_roots(links, kind), "node", "left")
-    ends = materialize(ends.select("id", F.coalesce("root", "node").alias("root")), "rooted")
-    first = materialize(ends.groupBy("root").agg(F.min("id").alias("first")), "kept")
-    return ends.join(first, "root").where("id <> first").select(F.col("id").alias("repeated_id"))
-
-
 def drop_near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle_words: int = 5,
-    similarity: float = 0.8,
-    radius: int = 16,
-    total: int = 26,
-    masks: int = 32,
-    mask_bits: int = 16,
+    shingle_words: int = 4,
+    radius: int = 4,
+    blocks: int | None = None,
     part_rows: int = PART_ROWS,
-    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` without the documents that repeat another one, with all columns.
-
-    Documents whose shingles have a Jaccard similarity of ``similarity`` or more are linked, and of
-    all that links connect the one with the smallest id stays, whatever the order of ids and the
-    size of the group. Most are found together by two fingerprints: if they agree in one of
-    ``masks`` patterns of ``mask_bits`` bits of either, differ in at most ``radius`` bits of that
-    one, and in at most ``total`` bits of both. All other pairs that may be alike share one of their
-    rarest shingles (``rarest``), so none is missed. Only alike shingles make a link, so unlike
-    texts stay. Rows with a null id stay and repeat nothing.
-    Rows that share an id are one document and stay or go together. An empty table gives an empty
-    one.
-    """
-    known = docs.where(F.col(id_col).isNotNull())
-    marked = materialize(
-        fingerprints(known, id_col, text_col, shingle_words, second=True), "fingerprints"
-    )
-    patterns = sampled_masks(masks, mask_bits)
+    """One row of each component of :func:`near_components`, with all columns of ``docs``.
 
-    def find_links(distinct: DataFrame) -> DataFrame:
-        return links(distinct, patterns, radius, total, False, part_rows).union(
-            links(distinct, patterns, radius, total, True, part_rows)
-        )
-
-    found = _components(marked, find_links).select("id", F.col("component_id").alias("component"))
-    groups = found.groupBy("component").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    several = materialize(groups.where("lo <> hi").select("component"), "linked-components")
-    linked = found.join(several, "component", "left_semi").dropDuplicates(["id"])
-    linked = materialize(linked.select("id", "component"), "linked")
-    texts = known.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    pairs = _pairs_between(texts, linked, shingle_words, similarity)
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    wanted = materialize(linked.select("id").union(ends).distinct(), "compared")
-    wanted = wanted.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    texts = texts.join(wanted, "id").dropDuplicates(["id"])
-    rows = texts.select("component", "id", "text")
-    kind = docs.schema[id_col].dataType.simpleString()
-    sets = materialize(
-        rows.mapInArrow(shingle_sets(shingle_words), f"component {kind}, id {kind}, shingles binary"),
-        "shingle-sets",
+    The row with the smallest id stays; of repeated rows with that id one, and a row with a null id
+    only where its component has no other. Null and blank texts are one component, very long texts
+    count whole, an empty table gives an empty result, and ``docs`` may have columns of any name.
+    """
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(id_col).alias("id"),
+        F.monotonically_increasing_id().alias("place"),
+        text_or_empty(text_col).alias("text"),
     )
-    similar = _links_within(sets, similarity, chunk_bytes)
-    similar = similar.union(_links_between(pairs, sets, similarity))
-    repeats = materialize(_repeats(similar, kind), "near-duplicates")
-    return docs.join(repeats, F.col(id_col) == F.col("repeated_id"), "left_anti")
+    marked_schema = StructType([*rows.schema.fields[:3], StructField("fp", LongType())])
+    marked = materialize(rows.mapInArrow(fingerprint_batches(shingle_words), marked_schema), "marked")
+    _, roots = linked_fingerprints(marked, radius, blocks, part_rows)
+    placed = marked.select("id", "place", "fp").join(roots, "fp", "left")
+    placed = placed.select(F.coalesce("root", "fp").alias("root"), "id", "place")
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "place")).alias("best")
+    kept = placed.groupBy("root").agg(best).select(F.col("best.place").alias("place"))
+    return marked.join(materialize(kept, "kept"), "place", "left_semi").select("row.*")
