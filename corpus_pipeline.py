@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from featurespark.llm import content_sort, gray_simhash, residual_packing, toxicity
 from featurespark.session import materialize
 
-# Near duplicates share this part of their shingles of so many words.
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
+# Near duplicates: words of a shingle, and bits in which linked fingerprints differ at most.
+SHINGLE_WORDS = 4
+RADIUS = 4
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +30,8 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints and alike in their shingles, the one with the smallest id."""
-    return gray_simhash.drop_near_duplicates(
-        docs, shingle_words=SHINGLE_WORDS, similarity=SIMILARITY
-    )
+    """Of documents whose fingerprints are linked, the one with the smallest id."""
+    return gray_simhash.drop_near_duplicates(docs, shingle_words=SHINGLE_WORDS, radius=RADIUS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
