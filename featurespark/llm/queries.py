@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurespark.llm import (
+    bbit_minhash,
     bfd_matrices,
     bpe_backtrack,
     content_sort,
@@ -100,6 +101,11 @@ def op10_gray_simhash(spark, sf_dir):
     return gray_simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_bbit_minhash(spark, sf_dir):
+    return bbit_minhash.near_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
