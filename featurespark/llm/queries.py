@@ -19,6 +19,7 @@ from featurespark.llm import (
     html_templates,
     kd_search,
     residual_packing,
+    spelling_variants,
     toxicity,
     warc_fixity,
 )
@@ -106,6 +107,11 @@ def op11_bbit_minhash(spark, sf_dir):
     return bbit_minhash.near_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
