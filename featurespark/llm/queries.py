@@ -14,6 +14,7 @@ from featurespark.llm import (
     bfd_matrices,
     bpe_backtrack,
     content_sort,
+    conversation_repair,
     digest_cache,
     gray_simhash,
     html_templates,
@@ -112,6 +113,11 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_conversation_repair(spark, sf_dir):
+    return conversation_repair.audit_damaged(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
