@@ -9,9 +9,10 @@ below the threshold go. What remains is compared on the full sets.
 At the threshold of 0.85 a pair shares no band once in four million, and an estimate six standard
 deviations low drops one in a thousand million; everything else is exact.
 
-Members of a band bucket first meet one of them, its leader, and each set is compared with the best
-of its leaders, so a large group of copies is connected by about one comparison a set. Only pairs
-that still lie in different components are listed after that, large buckets chunk by chunk.
+Links are searched breadth first: a set that a link has reached is compared with unreached ones
+only, so a large group of copies costs about one comparison a set and gives one link a set. Sets of
+a bucket are connected by their estimates first; the full sets of what hangs together so are then
+compared in one task, or chunk by chunk.
 """
 
 from __future__ import annotations
@@ -41,9 +42,11 @@ SEED = 42
 EMPTY = np.empty(0, np.uint64)
 ROWS_AT_ONCE = 256
 SHINGLES_AT_ONCE = 2048
-# Members of a bucket that a task compares with each other, and rows it compares at a time.
-CHUNK_ROWS = 4096
-BLOCK_ROWS = 256
+# Signatures of a bucket, and bytes of full sets, that a task holds of one chunk; sets it compares at
+# a time.
+CHUNK_ROWS = 2048
+CHUNK_BYTES = 16 << 20
+BLOCK_ROWS = 64
 
 _chance = np.random.default_rng(SEED)
 FACTORS = _chance.integers(0, 2**32, MINIMA, dtype=np.uint32)[:, None] | np.uint32(1)
@@ -163,107 +166,130 @@ def full_sets(shingle_words: int):
     return run
 
 
-def pairs_apart(fewest: int):
-    """Arrow function from sorted (part, side, node, comp, sig) to pairs ``a, b`` of different
-    components whose signatures share at least ``fewest`` fields.
-
-    Within a part all rows of side 0 meet each other, and those of side 1 the ones of side 0.
+def shared_fields(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each pair of a row of ``x`` and one of ``y`` how many fields they share, by bit counts."""
+    unequal = np.zeros((len(x), len(y)), np.int16)
+    for word in range(WORDS):
+        differ = x[:, word, None] ^ y[None, :, word]
+        folded = differ.copy()
+        for shift in range(1, LOW_BITS):
+            folded |= differ >> np.uint64(shift)
+        unequal += np.bitwise_count(folded & np.uint64(FIELD_LOW))
+    return MINIMA - unequal
+
+
+class Sets:
+    """Full sets in one array; compares one of them with several."""
+
+    def __init__(self, lists: pa.ListArray, percent: int):
+        self.ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.ids = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+        self.mark = np.zeros(self.ids.max(initial=0) + 1, np.int64)
+        self.percent = percent
+
+    def linked(self, row: int, others: np.ndarray) -> np.ndarray:
+        own = self.ids[self.ends[row] : self.ends[row + 1]]
+        self.mark[own] = 1
+        sizes = self.ends[others + 1] - self.ends[others]
+        met = np.concatenate([self.ids[self.ends[i] : self.ends[i + 1]] for i in others])
+        shared = np.add.reduceat(self.mark[met], np.cumsum(sizes) - sizes)
+        self.mark[own] = 0
+        return others[100 * shared >= self.percent * (len(own) + sizes - shared)]
+
+
+def spanning_links(sig: np.ndarray, n: np.ndarray, sets: Sets | None, percent: int) -> list[tuple[int, int]]:
+    """Links that connect the rows as all links would, searched breadth first."""
+    fewest = least_equal(percent / 100)
+    links = []
+    unreached = np.arange(len(n))
+    frontier: list[int] = []
+    while len(unreached):
+        if not frontier:
+            frontier, unreached = [int(unreached[0])], unreached[1:]
+        block, frontier = np.array(frontier[:BLOCK_ROWS]), frontier[BLOCK_ROWS:]
+        near = shared_fields(sig[block], sig[unreached]) >= fewest
+        low, high = (f(n[block, None], n[None, unreached]) for f in (np.minimum, np.maximum))
+        near &= 100 * low >= percent * high
+        reached = np.zeros(len(unreached), bool)
+        for row, found in zip(block.tolist(), near, strict=True):
+            others = unreached[found & ~reached]
+            if sets is not None and len(others):
+                others = sets.linked(row, others)
+            if len(others):
+                reached |= np.isin(unreached, others)
+                links += [(row, other) for other in others.tolist()]
+        frontier += unreached[reached].tolist()
+        unreached = unreached[~reached]
+    return links
+
+
+def search_parts(percent: int):
+    """Arrow function from sorted (part, node, n, sig[, shingles]) to links ``a, b`` of each part.
+
+    Without full sets links go by the estimate.
     """
 
-    def equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        unequal = np.zeros((len(x), len(y)), np.int16)
-        for word in range(WORDS):
-            differ = x[:, word, None] ^ y[None, :, word]
-            folded = differ.copy()
-            for shift in range(1, LOW_BITS):
-                folded |= differ >> np.uint64(shift)
-            unequal += np.bitwise_count(folded & np.uint64(FIELD_LOW))
-        return MINIMA - unequal
-
-    def pairs_of(part: pa.Table) -> Iterator[pa.RecordBatch]:
-        side, node, comp = (part.column(c).to_numpy() for c in ("side", "node", "comp"))
-        values = part.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64)
-        sig = values.reshape(len(node), WORDS)
-        first = int(np.searchsorted(side, 1))
-        for at in range(0, len(node), BLOCK_ROWS):
-            rows = slice(at, at + BLOCK_ROWS)
-            apart = comp[rows, None] != comp[None, :first]
-            near = apart & (equal(sig[rows], sig[:first]) >= fewest)
-            a, b = np.nonzero(near)
-            once = (a + at >= first) | (a + at > b)
-            x, y = node[rows][a[once]], node[b[once]]
-            ends = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
-            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+    def searched(part: pa.Table) -> pa.RecordBatch:
+        part = part.combine_chunks()
+        node = part.column("node").to_numpy()
+        sig = part.column("sig").chunk(0).flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
+        sets = Sets(part.column("shingles").chunk(0), percent) if part.num_columns > 4 else None
+        links = spanning_links(sig, part.column("n").to_numpy(), sets, percent)
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[ends[:, i]]) for i in (0, 1)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            parts = held.column("part").to_numpy()
-            edges = np.flatnonzero(np.append(True, parts[1:] != parts[:-1]))
-            for start, stop in zip(edges, edges[1:], strict=False):
-                yield from pairs_of(held.slice(start, stop - start))
-            held = held.slice(edges[-1])
-        if held is not None and held.num_rows:
-            yield from pairs_of(held)
+            parts = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.append(True, parts[1:] != parts[:-1])).tolist()
+            for start, stop in zip(edges, [*edges[1:], len(parts)], strict=True):
+                if held and held[0].column(0)[0] != batch.column(0)[start]:
+                    yield searched(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield searched(pa.Table.from_batches(held))
 
     return run
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+def _links_within(rows: DataFrame, key: str, size: Column, chunk: int, percent: int) -> DataFrame:
+    """Links between rows of one ``key``; groups beyond ``chunk`` are dealt into chunks that meet.
+
+    ``rows`` is ``key, node, n, sig[, shingles]``, ``size`` what a row adds to a chunk.
+    """
+    names = [c for c in rows.columns if c != key]
+    sizes = rows.groupBy(key).agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("rows"))
+    chunks = F.ceil(F.col("size") / F.lit(chunk)).cast("int").alias("chunks")
+    sizes = materialize(sizes.where("rows > 1").select(key, chunks), "group-sizes")
+    dealt = rows.join(sizes, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    # Each chunk meets itself and every other one, each pair of chunks in one place.
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    part = F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
+    ordered = met.select(part, *names).repartition("part").sortWithinPartitions("part")
+    return ordered.mapInArrow(search_parts(percent), "a long, b long")
+
+
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` with their estimate, without those that sizes or signatures rule out."""
     for end in ("a", "b"):
         ends = classes.select(
             F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")
         )
         pairs = pairs.join(ends, end)
-    sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-6
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     rated = pairs.where(sizes).withColumn("equal", equal_fields("sig_a", "sig_b"))
-    kept = rated.where(F.col("equal") >= least_equal(similarity))
+    kept = rated.where(F.col("equal") >= least_equal(percent / 100))
     return kept.select("a", "b", estimate(F.col("equal")).alias("estimate"))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets share ``percent`` of their union."""
-    for end in ("a", "b"):
-        ends = sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
-        pairs = pairs.join(ends, end)
-    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    union = F.size("set_a") + F.size("set_b") - shared
-    return pairs.where(100 * shared >= percent * union).select("a", "b")
-
-
 def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Every row of ``nodes`` with ``comp``, the smallest node it reaches."""
     roots = component_roots(links).select(F.col("a").alias("node"), F.col("b").alias("comp"))
     return nodes.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _pairs_between(members: DataFrame, classes: DataFrame, similarity: float, chunk_rows: int) -> DataFrame:
-    """Candidate pairs of different components within buckets; ``members`` is ``bucket, node, comp``."""
-    sizes = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-    )
-    mixed = sizes.where("lo <> hi").select(
-        "bucket", F.ceil(F.col("size") / F.lit(chunk_rows)).cast("int").alias("chunks")
-    )
-    rows = members.join(materialize(mixed, "mixed-buckets"), "bucket")
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    # Each chunk meets itself and every other one, each pair of chunks in one place.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select(
-        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("part"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"),
-        "node",
-        "comp",
-    )
-    signed = rows.join(classes.select("node", "sig"), "node")
-    ordered = signed.select("part", "side", "node", "comp", "sig").repartition("part")
-    ordered = ordered.sortWithinPartitions("part", "side", "node")
-    return ordered.mapInArrow(pairs_apart(least_equal(similarity)), "a long, b long").distinct()
-
-
 def near_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -271,6 +297,7 @@ def near_components(
     shingle_words: int = 3,
     percent: int = 85,
     chunk_rows: int = CHUNK_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -283,7 +310,6 @@ def near_components(
     component's id (for a null component: that the id is null). Very long texts count whole,
     repeated rows give a row each, an empty table none. Other columns are ignored.
     """
-    similarity = percent / 100
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_or_empty(text_col)
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text).alias("key"), text.alias("text"))
@@ -296,35 +322,27 @@ def near_components(
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     members = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lead"))
+    buckets = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b")
+    )
     buckets = materialize(buckets.where("size > 1"), "buckets")
-    members = materialize(members.join(buckets, "bucket"), "members")
-    starred = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    stars = materialize(_estimated(starred.distinct(), classes, similarity), "stars")
-
-    # Only sets of candidates are built: of pairs that passed, and of buckets with more than a pair.
-    ends = stars.select(F.explode(F.array("a", "b")).alias("node"))
-    wanted = ends.union(members.where("size > 2").select("node")).distinct()
-    wanted = materialize(classes.join(wanted, "node", "left_semi").select("node", "key", "digest"), "wanted")
-    # Rows of one key are repeated rows; should two keys collide, the digest tells them apart.
-    sources = keyed.select("key", "text").join(bounded_side(wanted), "key")
+    pairs = _estimated(buckets.where("size = 2").select("a", "b").distinct(), classes, percent)
+    crowded = members.join(buckets.where("size > 2").select("bucket"), "bucket")
+    signed = crowded.join(classes.select("node", "n", "sig"), "node")
+    within = _links_within(signed, "bucket", F.lit(1), chunk_rows, percent)
+    candidates = materialize(pairs.select("a", "b").union(within).distinct(), "candidates")
+
+    # Full sets are built of candidates only. Rows of one key are repeated rows; should two keys
+    # collide, the digest tells them apart.
+    ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = _rooted(classes.join(ends, "node", "left_semi"), candidates)
+    wanted = materialize(wanted.select("node", "key", "digest", "comp", "n", "sig"), "wanted")
+    sources = keyed.select("key", "text").join(bounded_side(wanted.select("node", "key", "digest")), "key")
     built = sources.dropDuplicates(["key", "node", "text"]).select("node", "digest", "text")
-    sets = materialize(built.mapInArrow(full_sets(shingle_words), "node long, shingles array<long>"), "sets")
-
-    best = stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
-    links = materialize(_linked(best, sets, percent), "leader-links")
-    nodes = members.select("bucket", "size", "node")
-    rooted = materialize(_rooted(nodes, links), "rooted")
-    between = _pairs_between(
-        rooted.where("size > 2").select("bucket", "node", "comp"), classes, similarity, chunk_rows
-    )
-    comps = rooted.select("node", "comp").distinct()
-    rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        rest = rest.join(comps.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}")), end)
-    rest = rest.where("comp_a <> comp_b").select("a", "b").union(between).distinct()
-    rest = materialize(_estimated(rest, classes, similarity).select("a", "b"), "rest")
-    links = links.union(materialize(_linked(rest, sets, percent), "further-links"))
+    sets = built.mapInArrow(full_sets(shingle_words), "node long, shingles array<long>")
+    sets = materialize(wanted.select("comp", "node", "n", "sig").join(sets, "node"), "sets")
+    rows = sets.select("comp", "node", "n", "sig", "shingles")
+    links = materialize(_links_within(rows, "comp", 8 * F.col("n"), chunk_bytes, percent), "links")
 
     found = _rooted(classes.select("node", "digest", "first_id"), links)
     least = found.groupBy("comp").agg(F.min("first_id").alias("component_id"))

@@ -66,8 +66,8 @@ def test_odd_documents(odd_docs, odd_rows, no_docs):
     assert bbit_minhash.near_components(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("chunk_rows", [bbit_minhash.CHUNK_ROWS, 3])
-def test_components_equal_all_pairs(spark, chunk_rows):
+@pytest.mark.parametrize("options", [{}, {"chunk_rows": 3, "chunk_bytes": 8000}])
+def test_components_equal_all_pairs(spark, options):
     rows = near_the_limit(150, 3)
     # A large group of copies around one text, chains of it, and a passage that many texts share.
     rng = random.Random(5)
@@ -80,7 +80,7 @@ def test_components_equal_all_pairs(spark, chunk_rows):
     want = brute(rows)
     assert len({r[2] for r in want}) < len(rows) - 100
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert rows_of(bbit_minhash.near_components(docs, chunk_rows=chunk_rows)) == want
+    assert rows_of(bbit_minhash.near_components(docs, **options)) == want
 
 
 def test_estimates_follow_the_similarity():
@@ -106,6 +106,22 @@ def test_estimates_follow_the_similarity():
     assert np.max(np.abs(errors)) < 4.5
 
 
+def test_links_span_what_all_pairs_connect():
+    rng = random.Random(7)
+    words = [f"v{i}" for i in range(150)]
+    rows = [(i, " ".join(changed(words, set(rng.sample(range(150), i % 9)), rng))) for i in range(200)]
+    hashes = [bbit_minhash.shingle_set(t, 3) for _, t in rows]
+    sig = bbit_minhash.packed(np.stack([bbit_minhash.minima(h) for h in hashes]))
+    lists = bbit_minhash.pa.array([h.view(np.int64) for h in hashes])
+    n = np.array([len(h) for h in hashes])
+    links = bbit_minhash.spanning_links(sig, n, bbit_minhash.Sets(lists, 85), 85)
+    sets = [plain_set(t) for _, t in rows]
+    assert all(100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) for a, b in links)
+    apart = len({r[2] for r in brute(rows)})
+    assert 1 < apart < 150
+    assert len(links) == len(rows) - apart
+
+
 def test_the_packed_count_is_the_counted_one(spark):
     rng = np.random.default_rng(2)
     least = rng.integers(0, 40, (2, bbit_minhash.MINIMA), dtype=np.uint32)
