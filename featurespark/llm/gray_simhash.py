@@ -23,9 +23,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from featurespark.llm.common import slices, text_or_empty
+from featurespark.llm.common import text_or_empty
 from featurespark.llm.components import component_roots
 from featurespark.session import bounded_side, materialize
 
@@ -39,7 +38,6 @@ FAN_OUT = 8
 PAIRS_AT_ONCE = 4_096
 # Expected fingerprints of a part, from which the number of blocks follows.
 PART_TARGET = 4_096
-ROWS_AT_ONCE = 128
 SHINGLES_AT_ONCE = 1 << 17
 
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -86,26 +84,23 @@ def fingerprint(text: str, shingle_words: int) -> int:
     return majority(counts, n)
 
 
-def fingerprint_batches(shingle_words: int):
-    """Arrow function from columns that end with a text to the same with its fingerprint there."""
+def fingerprint_column(text: Column, shingle_words: int) -> Column:
+    """The fingerprint of a text as a signed long with the same bits; only texts go to Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            prints = [fingerprint(t.as_py(), shingle_words) for t in batch.columns[-1]]
-            fp = pa.array(np.array(prints, np.uint64).view(np.int64))
-            names = [*batch.schema.names[:-1], "fp"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fp], names)
+    @F.arrow_udf("long")
+    def prints(texts: pa.Array) -> pa.Array:
+        found = [fingerprint(t.as_py(), shingle_words) for t in texts]
+        return pa.array(np.array(found, np.uint64).view(np.int64))
 
-    return run
+    return prints(text)
 
 
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4
 ) -> DataFrame:
-    """``id, fp``: the fingerprint of every row, as a signed long with the same bits."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(fingerprint_batches(shingle_words), f"id {kind}, fp long")
+    """``id, fp``: the fingerprint of every row."""
+    fp = fingerprint_column(text_or_empty(text_col), shingle_words)
+    return docs.select(F.col(id_col).alias("id"), fp.alias("fp"))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -352,10 +347,9 @@ def drop_near_duplicates(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.col(id_col).alias("id"),
         F.monotonically_increasing_id().alias("place"),
-        text_or_empty(text_col).alias("text"),
+        fingerprint_column(text_or_empty(text_col), shingle_words).alias("fp"),
     )
-    marked_schema = StructType([*rows.schema.fields[:3], StructField("fp", LongType())])
-    marked = materialize(rows.mapInArrow(fingerprint_batches(shingle_words), marked_schema), "marked")
+    marked = materialize(rows, "marked")
     _, roots = linked_fingerprints(marked, radius, blocks, part_rows)
     placed = marked.select("id", "place", "fp").join(roots, "fp", "left")
     placed = placed.select(F.coalesce("root", "fp").alias("root"), "id", "place")
