@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from featurespark.llm.common import slices, text_or_empty
 from featurespark.llm.components import component_roots
 from featurespark.llm.gray_simhash import shingle_hashes
-from featurespark.session import bounded_side, materialize
+from featurespark.session import materialize
 
 MINIMA = 192
 BAND_ROWS = 6
@@ -337,7 +337,7 @@ def near_components(
     ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = _rooted(classes.join(ends, "node", "left_semi"), candidates)
     wanted = materialize(wanted.select("node", "key", "digest", "comp", "n", "sig"), "wanted")
-    sources = keyed.select("key", "text").join(bounded_side(wanted.select("node", "key", "digest")), "key")
+    sources = keyed.select("key", "text").join(wanted.select("node", "key", "digest"), "key")
     built = sources.dropDuplicates(["key", "node", "text"]).select("node", "digest", "text")
     sets = built.mapInArrow(full_sets(shingle_words), "node long, shingles array<long>")
     sets = materialize(wanted.select("comp", "node", "n", "sig").join(sets, "node"), "sets")

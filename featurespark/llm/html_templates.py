@@ -37,7 +37,9 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/>])", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
 
 # Names of HTML elements and of the parts that pages mark.
-HEADED = {"h1", "h2", "h3", "h4", "h5", "h6", "section"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# What holds one of these inside the main part is part of the text.
+PROSE = HEADINGS | {"p", "blockquote", "pre", "table"}
 RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -55,13 +57,23 @@ FLOW = INLINE | set(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption"
     " figure figcaption br hr".split()
 )
-BOILERPLATE = set(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav"
-    " navbar navigation menu breadcrumb breadcrumbs sidebar complementary footer contentinfo"
-    " masthead cookie cookies consent gdpr notice notices popup modal alert newsletter subscribe"
-    " comment comments respond disqus related share sharing social widget toolbar pagination"
-    " pager login signup search".split()
+# Never the text of a page, and what may be its only text after all.
+FOREIGN = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored sidebar cookie cookies consent"
+    " gdpr notice notices comment comments replies respond disqus".split()
 )
+BOILERPLATE = FOREIGN | set(
+    "banner promo promotion nav navbar navigation menu breadcrumb breadcrumbs complementary footer"
+    " contentinfo masthead popup modal alert newsletter subscribe related share sharing social widget"
+    " toolbar pagination pager login signup search".split()
+)
+# Words that are written together with one of these: ``commentlist``, ``sitefooter``.
+BEFORE = "top bottom left right main site page post user side".split()
+BEHIND = (
+    "list area box bar section wrap wrapper container form links item items block slot thread entry"
+    " banner menu".split()
+)
+JOINED = {joined: name for name in BOILERPLATE for joined in [*(b + name for b in BEFORE), *(name + b for b in BEHIND)]}
 # What follows in a class or id tells of another element: ``has-sidebar``, ``no-comments``.
 ABOUT = {"has", "no", "with", "without"}
 # An open element that ends when one of these starts.
@@ -83,8 +95,9 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent = ["html"], [-1]
         self.boilerplate, self.main = [False], [False]
-        # Elements that only their class, id or role calls boilerplate.
-        self.labelled: list[int] = []
+        # Elements that only their class, id or role calls boilerplate, and whether it is foreign.
+        self.labelled: dict[int, bool] = {}
+        self.prose = [False]
         self.digest: list[int] = [0]
         self.size = [0]
         # (element, text), or (element, None) where a block starts or ends.
@@ -98,8 +111,9 @@ class Page:
         self.parent.append(parent)
         self.main.append(self.main[parent] or tag in MAIN)
         self.boilerplate.append(self.boilerplate[parent] or self._marked(parent, tag, attributes))
-        if not self.boilerplate[-1] and self._called(parent, tag, attributes):
-            self.labelled.append(len(self.tag) - 1)
+        if not self.boilerplate[-1] and (names := self._called(parent, tag, attributes)):
+            self.labelled[len(self.tag) - 1] = not FOREIGN.isdisjoint(names)
+        self.prose.append(tag in PROSE)
         self.digest.append(0)
         self.size.append(0)
         self.parts.append([tag.encode(), b" "])
@@ -110,36 +124,57 @@ class Page:
             return True
         return tag not in ROOTS and bool(attributes.strip("/> ")) and bool(HIDDEN.search(attributes))
 
-    def _called(self, parent: int, tag: str, attributes: str) -> bool:
+    def _called(self, parent: int, tag: str, attributes: str) -> set[str]:
+        """The names of boilerplate that an element gives itself."""
         if tag in ROOTS or tag in MAIN and not self.main[parent] or not attributes.strip("/> "):
-            return False
+            return set()
+        called = set()
         for found in LABEL.finditer(attributes):
-            if self.main[parent] and tag in HEADED and found[1].lower() == "id":
+            is_place = self.main[parent] and found[1].lower() == "id"
+            if is_place and tag in HEADINGS:
                 continue
             for label in "".join(found.groups("")[1:]).lower().split():
-                for name in NAME.findall(label):
+                names = [JOINED.get(n, n) for n in NAME.findall(label)]
+                if is_place and tag == "section" and not BOILERPLATE.issuperset(names):
+                    continue  # a heading's anchor: ``related-work``
+                for name in names:
                     if name in ABOUT:
                         break
                     if name in BOILERPLATE:
-                        return True
-        return False
+                        called.add(name)
+        return called
 
     def _judge(self) -> None:
-        """Drop labelled elements but those around a main part or most of the page's text."""
+        """Drop labelled elements but those around a main part.
+
+        Where that leaves no text, the largest one stays whose label does not tell of foreign text.
+        """
         if not self.labelled:
             return
-        around = set()
-        for i, tag in enumerate(self.tag):
-            # An article inside another one is a comment on it.
-            if tag in MAIN and not self.main[self.parent[i]] and not self.boilerplate[i]:
-                up = self.parent[i]
-                while up > 0 and up not in around:
-                    around.add(up)
-                    up = self.parent[up]
-        dropped = {i for i in self.labelled if i not in around and 2 * self.size[i] <= self.size[0]}
+        marked, foreign = self.boilerplate, [False] * len(self.tag)
         for i in range(1, len(self.tag)):
-            if i in dropped or self.boilerplate[self.parent[i]]:
-                self.boilerplate[i] = True
+            foreign[i] = foreign[self.parent[i]] or self.labelled.get(i, False)
+        # An article inside another one is a comment on it, and so is one inside the comments.
+        mains = [i for i, t in enumerate(self.tag) if t in MAIN and not self.main[self.parent[i]] and not marked[i]]
+        around = set()
+        for i in [i for i in mains if not foreign[i]] or mains:
+            up = self.parent[i]
+            while up > 0 and up not in around:
+                around.add(up)
+                up = self.parent[up]
+
+        def without(dropped: set[int]) -> list[bool]:
+            gone = list(marked)
+            for i in range(1, len(self.tag)):
+                gone[i] = gone[i] or i in dropped or gone[self.parent[i]]
+            return gone
+
+        dropped = {i for i in self.labelled if i not in around}
+        self.boilerplate = without(dropped)
+        if not any(t and not t.isspace() and not self.boilerplate[i] for i, t in self.pieces):
+            able = [i for i in dropped if not foreign[i] and self.size[i]]
+            if able:
+                self.boilerplate = without(dropped - {max(able, key=lambda i: (self.size[i], -i))})
 
     def _close(self, node: int) -> None:
         self.digest[node] = xxhash.xxh64_intdigest(b"".join(self.parts[node])) - (1 << 63)
@@ -147,6 +182,7 @@ class Page:
         self.parts[up].append(b"<%d>" % self.digest[node])
         self.parts[node] = []
         self.size[up] += self.size[node]
+        self.prose[up] = self.prose[up] or self.prose[node]
 
     def _text(self, node: int, text: str) -> None:
         if "&" in text:
@@ -212,30 +248,34 @@ class Page:
             self._text(open_nodes[-1], source[place:])
         close_to(1)
 
+    def _can_recur(self, node: int) -> bool:
+        """Whether a subtree may be template: not the main part, nor text of it."""
+        if not self.size[node] or self.tag[node] in MAIN:
+            return False
+        return not (self.main[node] and (self.tag[node] in FLOW or self.prose[node]))
+
     def candidates(self) -> set[int]:
         """Digests of the subtrees that may be template."""
-        most = self.size[0] / 2
-        return {
-            self.digest[i]
-            for i in range(1, len(self.tag))
-            if 0 < self.size[i] <= most
-            and self.tag[i] not in MAIN
-            and not (self.main[i] and self.tag[i] in FLOW)
-        }
+        return {self.digest[i] for i in range(1, len(self.tag)) if self._can_recur(i)}
 
     def text(self, templates: set[int]) -> str:
-        """The words of the main part without boilerplate and ``templates``, joined by blanks."""
-        template = [False] * len(self.tag)
-        for i in range(1, len(self.tag)):
-            template[i] = template[self.parent[i]] or (
-                self.digest[i] in templates
-                and self.tag[i] not in MAIN
-                and not (self.main[i] and self.tag[i] in FLOW)
-            )
-        kept = [not b and not t for b, t in zip(self.boilerplate, template, strict=True)]
-        if any(k and m and s for k, m, s in zip(kept, self.main, self.size, strict=True)):
-            kept = [k and m for k, m in zip(kept, self.main, strict=True)]
-        return " ".join("".join(" " if t is None else t for i, t in self.pieces if kept[i]).split())
+        """The words of the main part without boilerplate and ``templates``, joined by blanks.
+
+        Where templates are all of a page, those that hold most of it are its text, or else all.
+        """
+        for share in (1.0, 0.5, 0.0):
+            template = [False] * len(self.tag)
+            for i in range(1, len(self.tag)):
+                template[i] = template[self.parent[i]] or (
+                    self.digest[i] in templates and self.size[i] <= share * self.size[0] and self._can_recur(i)
+                )
+            kept = [not b and not t for b, t in zip(self.boilerplate, template, strict=True)]
+            if any(k and m and s for k, m, s in zip(kept, self.main, self.size, strict=True)):
+                kept = [k and m for k, m in zip(kept, self.main, strict=True)]
+            words = " ".join("".join(" " if t is None else t for i, t in self.pieces if kept[i]).split())
+            if words or not templates:
+                break
+        return words
 
 
 def host_of(url: str) -> Column:
@@ -264,7 +304,7 @@ def site_templates(
     Equal pages of a host count once. A digest is counted where it occurs, map-side first, so a
     large host's common menu is no hot key; rows that join to a common digest can be split.
     """
-    found = pages.mapInArrow(_subtrees, "key long, host string, digests array<long>")
+    found = pages.mapInArrow(_subtrees, "key string, host string, digests array<long>")
     found = materialize(found.dropDuplicates(["key"]), "subtrees")
     each = found.select("key", "host", F.explode("digests").alias("digest"))
     sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
@@ -293,9 +333,8 @@ def extract_main_text(
     """``id_col, url_col, text, n_chars`` for every row of ``pages``.
 
     Character references are decoded; white space becomes one blank; blocks are joined by one
-    blank in page order. Inside the main part, flow text (paragraphs, headings, lists, tables) is
-    never taken for template, nor is a subtree that holds most of its page. Null html counts as
-    empty and gives the empty text; pages with a null URL form a host of their own. Repeated rows
+    blank in page order. Inside the main part, flow text (paragraphs, headings, lists, tables) and
+    what holds it is never taken for template. Null html counts as empty and gives the empty text; pages with a null URL form a host of their own. Repeated rows
     give a row each, an empty table none. Other columns are ignored.
     """
     # Keys of equal pages of a host are equal: what is template on one is on the other.
@@ -304,7 +343,7 @@ def extract_main_text(
         F.col(url_col).alias("url"),
         host_of(url_col).alias("host"),
         text_or_empty(html_col).alias("html"),
-    ).withColumn("key", F.xxhash64("host", "html"))
+    ).withColumn("key", F.md5(F.concat("host", F.lit("\n"), "html").cast("binary")))
     templates = site_templates(whole.select("key", "host", "html"), least_pages, least_share)
     # Written, so that rows of a page with very many copies can be split in the join.
     templates = materialize(templates, "page-templates")

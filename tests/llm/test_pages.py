@@ -66,7 +66,17 @@ LABELLED = {
     "<main class='with-sidebar'><p>m</p></main>": "m",
     "<article class='no-comments'>a</article>": "a",
     "<div id='sidebar'><article>a</article></div>": "a",
-    "<div class='widget'>most of the text</div><p>a</p>": "most of the text a",
+    "<div class='widget'>most of the text</div><p>a</p>": "a",
+    "<div class='widget'>the only text</div><div class='menu'>m</div>": "the only text",
+    "<div class='cookie-notice'>the only text</div>": "",
+    "<article><p>Short real story.</p><section class='comments'>" + "word " * 60 + "</section></article>":
+    "Short real story.",
+    "<main><p>s</p><section id='comments'>much longer than it</section></main>": "s",
+    "<p>s</p><ol class='commentlist'><li>much longer than it</ol><div id='replies'>and this too</div>": "s",
+    "<article>story</article><section class='comments'><article>a longer comment on it</article></section>":
+    "story",
+    "<section class='comments'><article>the only article</article></section>": "the only article",
+    "<div class='addressbook'>x</div><div class='siteFooter'>y</div><div id='adbox'>z</div>": "x",
     "<article><h2 id='search'>Search</h2><section id='related-work'>r</section><p>and more text</p></article>":
     "Search r and more text",
     "<article>the longer text<div class='comments'><article>c</article></div></article>": "the longer text",
@@ -98,6 +108,39 @@ def test_recurring_subtrees_are_template(spark):
         assert r["text"] == f"Own text number {r['page_id']} is long enough to be most of the page, as texts are."
 
 
+def test_deletion_alone_decides(spark):
+    """A site without marks, whose menus hold more text than its pages, against a plain count."""
+    menus = ["<div><ul>" + "".join(f"<li>Entry {k} of menu {m}</li>" for k in range(20)) + "</ul></div>" for m in range(3)]
+    rows, want = [], {}
+    for i in range(60):
+        # The third menu is on four pages only.
+        chosen = [menus[0], menus[1] if i % 2 else "", menus[2] if i < 4 else ""]
+        rows.append((i, "http://plain.example/", f"{chosen[0]}{chosen[1]}<div><p>Text {i}.</p></div>{chosen[2]}"))
+    count = {m: sum(m in r[2] for r in rows) for m in menus}
+    for i, _, source in rows:
+        for m in menus:
+            if count[m] >= max(5, 0.05 * len(rows)):
+                source = source.replace(m, "")
+        want[i] = " ".join(re.sub("<[^>]*>", " ", source).split())
+    assert sum("menu 2" in t for t in want.values()) == 4 and not [t for t in want.values() if "menu 0" in t]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_templates.extract_main_text(df).collect()}
+    assert got == want
+    # Without templates to delete, the menus stay.
+    alone = html_templates.extract_main_text(df.where("page_id = 9")).first()["text"]
+    assert "menu 0" in alone and "menu 1" in alone
+
+
+def test_text_of_many_copies_stays(spark):
+    rows = [
+        (i, "http://w.example/", f"<div>Page {i}</div><article><div><p>An article on many pages.</p></div></article>")
+        for i in range(30)
+    ] + [(100 + i, "http://e.example/", f"<title>{i}</title><div>Nothing was found.</div>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_templates.extract_main_text(df).collect()}
+    assert set(got.values()) == {"An article on many pages.", "Nothing was found."}
+
+
 def test_large_hosts_keep_no_template(spark):
     rows = [
         (i, f"http://big.example/{i}", ("<div>Our section menu</div>" if i < 110 else "")
