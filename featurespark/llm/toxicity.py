@@ -1,9 +1,9 @@
 """Toxicity classifier with counterfactual regularisation.
 
 A logistic model over the words present in a text and their beginnings and endings, so that forms
-of one stem share a weight. Beside an L1 penalty, training swaps identity terms in the labelled
-sentences for other terms of their kind and penalises the squared change of the score, so that
-naming a group neutrally does not make a text look toxic.
+of one stem share a weight. Beside an L1 penalty, training swaps each identity term of a labelled text
+for every other term of its kind, builds the features of the swapped text and penalises the squared
+change of the score, so that naming a group neutrally does not make a text look toxic.
 
 Statistics are counted in Spark. The fit itself runs on the driver over at most
 ``MAX_LABELLED`` labelled documents, chosen by a hash of their id, and ``MAX_FEATURES`` features.
@@ -178,73 +178,109 @@ def telling_features(sample: DataFrame, n: int, n_toxic: int, most: int, least:
     return [r["feature"] for r in top.limit(most).select("feature").collect()]
 
 
-def features_of(
-    sample: DataFrame, features: list[str]
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels, feature numbers of all rows in a line, and how many each row has.
-
-    Rows come in the order of their digests, so that sums do not depend on the partitions.
-    """
-    number = {f: i for i, f in enumerate(features)}
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Bounded(
-            lambda word: [number[f] for f in word_features(word) if f in number], WORDS_KEPT
-        )
-        for batch in slices(batches, ROWS_AT_ONCE):
-            found = [
-                sorted({f for w in words for f in known[w]})
-                for words in batch.column("words").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))],
-                ["digest", "toxic", "found"],
-            )
-
-    looked_up = sample.mapInArrow(look_up, "digest long, toxic int, found array<int>")
-    table = looked_up.toArrow().sort_by([("digest", "ascending"), ("toxic", "ascending")])
-    found = table.column("found").combine_chunks()
-    sizes = np.diff(found.offsets.to_numpy())
-    return table.column("toxic").to_numpy(), found.flatten().to_numpy(), sizes
+def swapped_words(words: set[str], kinds: dict[str, list[str]]) -> Iterator[tuple[set[str], float]]:
+    """The words after each swap of a term for another of its kind, and the swap's weight."""
+    for terms in kinds.values():
+        for a in terms:
+            if a in words:
+                for b in terms:
+                    if b != a:
+                        yield words - {a} | {b}, 1 / (len(terms) - 1)
 
 
 @dataclass(frozen=True)
 class Swaps:
-    """Exchanges of identity terms: what each changes, and how often it occurs."""
+    """Swaps in labelled texts: each one's row and weight, and the features that come and go."""
 
+    row: np.ndarray
+    often: np.ndarray
+    # One entry for each feature that a swap brings (+1) or takes (-1).
     pair: np.ndarray
     feature: np.ndarray
     sign: np.ndarray
-    often: np.ndarray
 
-    def changes(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.pair, self.sign * w[self.feature], minlength=len(self.often))
+    def margins(self, w: np.ndarray, margin: np.ndarray) -> np.ndarray:
+        """The margins of the swapped texts."""
+        change = np.bincount(self.pair, self.sign * w[self.feature], minlength=len(self.row))
+        return margin[self.row] + change
+
+    def penalty(self, w: np.ndarray, margin: np.ndarray) -> float:
+        """The weighted sum of squared changes of the score."""
+        return float(self.often @ (sigmoid(self.margins(w, margin)) - sigmoid(margin[self.row])) ** 2)
+
+    def gradient(self, w: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slope of the penalty along the margins of the texts, and along the weights of the
+        features that come and go."""
+        after, before = sigmoid(self.margins(w, margin)), sigmoid(margin[self.row])
+        pull = 2 * self.often * (after - before)
+        ahead = pull * after * (1 - after)
+        rows = np.bincount(self.row, ahead - pull * before * (1 - before), minlength=len(margin))
+        return rows, np.bincount(self.feature, self.sign * ahead[self.pair], minlength=len(w))
+
 
-    def gradient(self, w: np.ndarray) -> np.ndarray:
-        pull = 2 * (self.often * self.changes(w))[self.pair] * self.sign
-        return np.bincount(self.feature, pull, minlength=len(w))
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def term_swaps(features: list[str], kinds: dict[str, list[str]], found: np.ndarray) -> Swaps:
-    """A term that is present is swapped for every other term of its kind."""
+def features_of(
+    sample: DataFrame, features: list[str], kinds: dict[str, list[str]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, Swaps]:
+    """Labels, feature numbers of all rows in a line, how many each row has, and the swaps.
+
+    Rows come in the order of their digests, so that sums do not depend on the partitions.
+    """
     number = {f: i for i, f in enumerate(features)}
-    present = np.bincount(found, minlength=len(features))
-    pair, feature, sign, often = [], [], [], []
-    for terms in kinds.values():
-        for a in terms:
-            for b in terms:
-                if a == b or not present[number[f"={a}"]]:
-                    continue
-                for term, s in ((a, -1.0), (b, 1.0)):
-                    for f in word_features(term):
-                        if f in number:
-                            pair.append(len(often))
-                            feature.append(number[f])
-                            sign.append(s)
-                often.append(present[number[f"={a}"]] / (len(terms) - 1))
-    return Swaps(
-        np.array(pair, np.int64), np.array(feature, np.int64), np.array(sign), np.array(often)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Bounded(
+            lambda word: frozenset(number[f] for f in word_features(word) if f in number), WORDS_KEPT
+        )
+        terms = {term for group in kinds.values() for term in group}
+
+        def numbers(words: set[str]) -> set[int]:
+            return set().union(*map(known.__getitem__, words))
+
+        for batch in slices(batches, ROWS_AT_ONCE):
+            found, come, go, often = [], [], [], []
+            for words in map(set, batch.column("words").to_pylist()):
+                own = numbers(words)
+                swaps = list(swapped_words(words, kinds)) if not terms.isdisjoint(words) else []
+                others = [numbers(swapped) for swapped, _ in swaps]
+                found.append(sorted(own))
+                come.append([sorted(other - own) for other in others])
+                go.append([sorted(own - other) for other in others])
+                often.append([share for _, share in swaps])
+            lists = pa.list_(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("digest"),
+                    batch.column("toxic"),
+                    pa.array(found, pa.list_(pa.int32())),
+                    pa.array(come, lists),
+                    pa.array(go, lists),
+                    pa.array(often, pa.list_(pa.float64())),
+                ],
+                ["digest", "toxic", "found", "come", "go", "often"],
+            )
+
+    schema = (
+        "digest long, toxic int, found array<int>, come array<array<int>>, go array<array<int>>,"
+        " often array<double>"
     )
+    table = sample.mapInArrow(look_up, schema).toArrow()
+    table = table.sort_by([("digest", "ascending"), ("toxic", "ascending")])
+    found, come, go, often = (table.column(c).combine_chunks() for c in ("found", "come", "go", "often"))
+    row = np.repeat(np.arange(len(often)), np.diff(often.offsets.to_numpy()))
+    sides = []
+    for nested, sign in ((come, 1.0), (go, -1.0)):
+        inner = nested.flatten()
+        sizes = np.diff(inner.offsets.to_numpy()) if len(inner) else np.empty(0, np.int64)
+        feature = inner.flatten().to_numpy().astype(np.int64)
+        sides.append((np.repeat(np.arange(len(inner)), sizes), feature, np.full(len(feature), sign)))
+    pair, feature, sign = (np.concatenate(parts) for parts in zip(*sides, strict=True))
+    swaps = Swaps(row, often.flatten().to_numpy(), pair, feature, sign)
+    sizes = np.diff(found.offsets.to_numpy())
+    return table.column("toxic").to_numpy(), found.flatten().to_numpy(), sizes, swaps
 
 
 def fit_weights(
@@ -265,12 +301,13 @@ def fit_weights(
     def loss(w: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
         margin = bias + np.bincount(row, weights=w[found], minlength=n)
         fitting = np.mean(np.logaddexp(0, margin) - toxic * margin)
-        return fitting + swaps.often @ swaps.changes(w) ** 2, margin
+        return fitting + swaps.penalty(w, margin), margin
 
     def gradient(w: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, float]:
-        residual = (1 / (1 + np.exp(-margin)) - toxic) / n
+        rows, features = swaps.gradient(w, margin)
+        residual = (1 / (1 + np.exp(-margin)) - toxic) / n + rows
         g = np.bincount(found, weights=residual[row], minlength=n_features)
-        return g + swaps.gradient(w), residual.sum()
+        return g + features, residual.sum()
 
     rate = (toxic.sum() + PRIOR) / (n + 1)
     w, bias = np.zeros(n_features), float(np.log(rate / (1 - rate)))
@@ -324,8 +361,7 @@ def fit(
     terms = sorted({f"={t}" for group in kinds.values() for t in group})
     telling = telling_features(sample, n, n_toxic, max_features, least_documents)
     features = terms + [f for f in telling if f not in set(terms)]
-    toxic, found, sizes = features_of(sample, features)
-    swaps = term_swaps(features, kinds, found)
+    toxic, found, sizes, swaps = features_of(sample, features, kinds)
     w, bias = fit_weights(toxic, found, sizes, len(features), swaps)
     return Model({f: float(v) for f, v in zip(features, w, strict=True) if v}, bias)
 
@@ -365,5 +401,9 @@ def score_documents(
 def drop_toxic(
     docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with all columns."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with all columns.
+
+    Null and blank texts score the bias, very long ones count whole; repeated rows are judged alike,
+    an empty table gives an empty result, and ``docs`` may have columns of any name.
+    """
     return docs.where(scorer(model)(text_or_empty(text_col)) < threshold)

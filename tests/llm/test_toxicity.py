@@ -34,7 +34,7 @@ def test_scores(scored):
     assert wrong.count() == 0
 
 
-def sentences(n, seed):
+def sentences(n, seed, other=0.05):
     """Insults make a text toxic; one group is named in most toxic texts, and neutrally in few."""
     rng = random.Random(seed)
     filler = [f"w{a}{b}" for a in "abcdefgh" for b in "xyz"]
@@ -46,7 +46,7 @@ def sentences(n, seed):
             words.append(rng.choice(["vermin", "filth", "scoundrel"]))
         if rng.random() < (0.9 if toxic else 0.02):
             words.append("muslim")
-        if rng.random() < 0.05:
+        if rng.random() < (0.05 if toxic else other):
             words.append("christian")
         rng.shuffle(words)
         rows.append((i, " ".join(words), int(toxic)))
@@ -67,18 +67,65 @@ def test_swaps_make_groups_alike(spark, monkeypatch):
     assert gap[30.0] < 0.2
 
 
-def test_swap_gradient():
-    rng = np.random.default_rng(1)
-    features = [f for t in ("woman", "man") for f in toxicity.word_features(t)]
+KINDS = {"gender": ["woman", "man", "girl"], "faith": ["muslim", "christian"]}
+
+
+def test_swaps_are_made_in_each_text(spark):
+    """Penalty and slopes against scoring every swapped text anew."""
+    texts = ["woman womanly human", "a man and a woman", "muslim girl", "no term", "", "man man man", "christian muslim"]
+    rows = [(i % 2, i, sorted(toxicity.words_of(t))) for i, t in enumerate(texts)]
+    sample = spark.createDataFrame(rows, "toxic int, digest long, words array<string>").repartition(3)
+    features = sorted({f for t in texts for w in toxicity.words_of(t) for f in toxicity.word_features(w)})
+    features = features[::2] + ["=man", "=woman", "=girl"] + ["^mus"]
     features = list(dict.fromkeys(features))
-    found = np.array([features.index("=woman")] * 4)
-    swaps = toxicity.term_swaps(features, {"gender": ["woman", "man"]}, found)
-    w = rng.normal(size=len(features))
-    value = lambda w: swaps.often @ swaps.changes(w) ** 2
-    steps = [1e-6 * e for e in np.eye(len(w))]
-    slopes = [(value(w + s) - value(w - s)) / 2e-6 for s in steps]
-    assert np.allclose(slopes, swaps.gradient(w), atol=1e-6)
-    assert len(swaps.often) == 1 and swaps.often[0] == 4
+    _, found, sizes, swaps = toxicity.features_of(sample, features, KINDS)
+    rng = np.random.default_rng(1)
+    row = np.repeat(np.arange(len(texts)), sizes)
+
+    def penalty(w, bias):
+        margin = bias + np.bincount(row, w[found], minlength=len(texts))
+        return swaps.penalty(w, margin), margin
+
+    def plainly(w, bias):
+        score = toxicity.Model(dict(zip(features, w, strict=True)), bias).scores()
+        total = 0.0
+        for text in texts:
+            for terms in KINDS.values():
+                for a in terms:
+                    for b in terms:
+                        if a != b and a in text.split():
+                            other = " ".join(b if word == a else word for word in text.split())
+                            total += (score(text) - score(other)) ** 2 / (len(terms) - 1)
+        return total
+
+    for _ in range(5):
+        w, bias = rng.normal(size=len(features)), float(rng.normal())
+        value, margin = penalty(w, bias)
+        assert value == pytest.approx(plainly(w, bias))
+        rows, direct = swaps.gradient(w, margin)
+        slopes = np.bincount(found, rows[row], minlength=len(w)) + direct
+        steps = 1e-6 * np.eye(len(w))
+        wanted = [(penalty(w + s, bias)[0] - penalty(w - s, bias)[0]) / 2e-6 for s in steps]
+        assert np.allclose(slopes, wanted, atol=1e-6)
+        assert rows.sum() == pytest.approx((penalty(w, bias + 1e-6)[0] - penalty(w, bias - 1e-6)[0]) / 2e-6, abs=1e-6)
+    # Another word keeps the stem of a swapped term: its features stay.
+    assert "^wom" in toxicity.word_features("womanly") and "^wom" in toxicity.word_features("woman")
+
+
+def test_neutral_mentions_raise_fewer_alarms(spark, monkeypatch):
+    rows = sentences(1500, 4, other=0.5)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    neutral = [f"w{a}x the muslim family w{b}y lives w{a}z" for a in "abcdefgh" for b in "abcdefgh"]
+    toxic = [f"w{a}x {insult} w{b}y" for a in "abcdefgh" for b in "abcd" for insult in ("vermin", "filth", "scoundrel")]
+    alarms, recall = {}, {}
+    for penalty in (0.0, 30.0):
+        monkeypatch.setattr(toxicity, "SWAP_PENALTY", penalty)
+        score = toxicity.fit(docs, labels).scores()
+        alarms[penalty] = sum(score(t) >= toxicity.THRESHOLD for t in neutral)
+        recall[penalty] = sum(score(t) >= toxicity.THRESHOLD for t in toxic)
+    assert alarms[30.0] < alarms[0.0] / 2
+    assert recall[30.0] >= recall[0.0]
 
 
 def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
