@@ -52,8 +52,8 @@ def _local_or_written(df: DataFrame, max_rows: int) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """The path of ``name`` in the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session without the setting gets a temporary folder of its own.
     """
@@ -63,7 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="featurespark-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 _released: ContextVar[list[str] | None] = ContextVar("released", default=None)
