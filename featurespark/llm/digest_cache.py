@@ -4,11 +4,16 @@ The cache is a Parquet table in a shared folder with one sub-folder per tokenize
 is the SHA-256 of the normalised content; the version is the SHA-256 of the vocabulary file. A run
 joins the digests of its documents to the stored counts, encodes one copy of each text that is
 missing, appends those counts and joins again.
+
+Every run appends to a folder of its own, and a digest that several runs have stored is read once:
+runs may overlap, be repeated or break off. A count never changes, so what another run has stored
+meanwhile is as good.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,13 +41,14 @@ def version_folder(cache_path: str, version: str) -> str:
 
 
 def stored_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored counts of one version; empty where nothing is stored yet."""
+    """The stored counts of one version, each digest once; empty where nothing is stored yet."""
     try:
-        return spark.read.schema(CACHE_SCHEMA).parquet(folder)
+        stored = spark.read.schema(CACHE_SCHEMA).option("recursiveFileLookup", True).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], CACHE_SCHEMA)
+        stored = spark.createDataFrame([], CACHE_SCHEMA)
+    return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def count_batches(path: str):
@@ -85,7 +91,7 @@ def count_tokens(
     Counts are those of the tokenizers library for the whole text without added special tokens;
     null counts as the empty text, which has none. Repeated rows and null ids give a row each, an
     empty table none. Other columns are ignored. The cache is filled here, before the result is
-    read; runs that share a folder must not overlap.
+    read; runs that share a folder may overlap.
 
     Normalised content has runs of ASCII white space as one blank, as the tokenizer's own
     normaliser sees them.
@@ -108,7 +114,7 @@ def count_tokens(
     counted = misses.select("digest", "content").mapInArrow(
         count_batches(tokenizer_path), CACHE_SCHEMA
     )
-    counted.write.mode("append").parquet(folder)
+    counted.write.parquet(f"{folder}/run={uuid.uuid4().hex}")
     return (
         keyed.select("id", "digest", "n_bytes")
         .join(stored_counts(spark, folder), "digest")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -25,7 +26,7 @@ from featurespark.llm import (
     warc_fixity,
 )
 from featurespark.llm.common import table
-from featurespark.session import scratch_path
+from featurespark.session import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -66,8 +67,9 @@ def op3_toxicity(spark, sf_dir):
 
 @query
 def op4_digest_cache(spark, sf_dir):
+    """The cache lasts: another run over the same folder in this shared folder encodes nothing."""
     docs = table(spark, sf_dir, "documents")
-    cache = scratch_path(spark, "token-counts")
+    cache = shared_path(spark, f"token-counts-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
     return digest_cache.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), cache)
 
 

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from featurespark.llm import bfd_matrices, bpe_backtrack, digest_cache, residual_packing, words
+from featurespark.llm import bfd_matrices, bpe_backtrack, digest_cache, queries, residual_packing, words
 from featurespark.llm.byte_tokens import byte_encoder, piece_starts
 from tokenizers import Tokenizer
 
@@ -105,7 +105,7 @@ def test_counts_and_their_cache(spark, odd_docs, odd_rows, no_docs, word_library
         got = digest_cache.count_tokens(odd_docs, WORD, cache).collect()
         assert sorted(map(tuple, got), key=str) == want
     folder = digest_cache.version_folder(cache, digest_cache.tokenizer_version(WORD))
-    stored = spark.read.parquet(folder)
+    stored = spark.read.option("recursiveFileLookup", True).parquet(folder)
     distinct = {" ".join((t or "").split("\n")) for _, t in odd_rows}
     # Each content is encoded once, whatever its copies and runs.
     assert stored.count() == stored.dropDuplicates(["digest"]).count() <= len(distinct)
@@ -120,6 +120,33 @@ def test_only_misses_are_encoded(spark, tmp_path):
     assert digest_cache.count_tokens(docs, WORD, cache).first()["n_tokens"] == 777
 
 
+def test_digests_that_are_stored_twice_count_once(spark, tmp_path):
+    cache = str(tmp_path / "counts")
+    docs = spark.createDataFrame([(1, "some text"), (2, "some text"), (3, "other")], "doc_id long, text string")
+    want = sorted(map(tuple, digest_cache.count_tokens(docs, WORD, cache).collect()))
+    folder = digest_cache.version_folder(cache, digest_cache.tokenizer_version(WORD))
+    # Two runs that overlapped have stored the same digests.
+    digest_cache.stored_counts(spark, folder).write.parquet(f"{folder}/run=other")
+    assert sorted(map(tuple, digest_cache.count_tokens(docs, WORD, cache).collect())) == want
+    assert len(want) == 3
+
+
+def test_the_query_keeps_its_counts(spark, monkeypatch):
+    """A second run meets every count: it encodes nothing and gives equal rows."""
+    sf_dir = "/root/testdata/sf0.001"
+    once = sorted(map(tuple, queries.op4_digest_cache(spark, sf_dir).collect()))
+
+    def refuse(path):
+        def run(batches):
+            assert not sum(b.num_rows for b in batches), "a stored text was encoded again"
+            yield from ()
+
+        return run
+
+    monkeypatch.setattr(digest_cache, "count_batches", refuse)
+    assert sorted(map(tuple, queries.op4_digest_cache(spark, sf_dir).collect())) == once
+
+
 def test_pieces():
     assert piece_starts(1, 4, True) == piece_starts(4, 4, False) == [0]
     assert piece_starts(9, 4, True) == [0, 1, 5]
