@@ -12,6 +12,7 @@ from itertools import combinations_with_replacement, product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurespark.operators import gram
 from featurespark.session import bounded_side, unpivot_tuples
 
 # Output rows one pass makes out of an input row; more pairs are spread over several passes.
@@ -45,48 +46,19 @@ def category(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("0"))
 
 
-def finite(c: Column) -> Column:
-    """The value as double, NaN as null."""
-    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-
-
-def pearson(x: Column, y: Column) -> Column:
-    """Pearson r over the pairs without a missing side; NULL if a side is constant among them."""
-    x, y = finite(x), finite(y)
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def corr_pairs(
     df: DataFrame, columns: Sequence[str], simplify: bool = False, digits: int | None = 5
 ) -> DataFrame:
     """``predictor1, predictor2, score`` for all ordered pairs, or one triangle and the diagonal.
 
-    Every pair is one aggregate expression of a single pass.
+    One scan, however many columns; a score is NULL if a side is constant among the pair's rows.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    parts = []
-    for chunk in batches(pairs):
-        row = df.agg(
-            *(
-                pearson(F.col(a), F.col(b)).alias(f"p{i}")
-                for i, (a, b) in enumerate(chunk)
-            )
-        )
-        scores = F.array(
-            *(
-                F.struct(
-                    F.lit(a).alias("predictor1"),
-                    F.lit(b).alias("predictor2"),
-                    F.col(f"p{i}").alias("score"),
-                )
-                for i, (a, b) in enumerate(chunk)
-            )
-        )
-        parts.append(row.select(F.inline(scores)))
-    if not parts:
+    if not columns:
         return empty_scores(df)
-    upper = union_all(parts)
+    names = F.array(*map(F.lit, columns))
+    upper = gram.correlations(df, columns).select(
+        names[F.col("a")].alias("predictor1"), names[F.col("b")].alias("predictor2"), F.col("r").alias("score")
+    )
     if digits is not None:
         upper = upper.withColumn("score", F.round("score", digits))
     if simplify:

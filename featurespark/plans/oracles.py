@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations_with_replacement, product
 
 from featurespark.plans.registry import LABELLED, PREDICTORS, TARGET_GAME, YEAR_END
-from featurespark.plans.views import CATEGORICAL, CONTINUOUS
+from featurespark.plans.views import CATEGORICAL, CONTINUOUS, WIDE, wide_expression
 
 BC = """bc AS (
   SELECT l_orderkey AS game_id, l_suppkey AS batter,
@@ -451,6 +451,12 @@ FROM features GROUP BY p_type""",
 FROM gapped WHERE NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))"""
             for a, b in product([*CONTINUOUS, "is_returned"], repeat=2)
         ),
+        "corr_wide": f"""WITH wide AS (
+  SELECT {', '.join(f"{wide_expression(k)} AS {c}" for k, c in enumerate(WIDE))} FROM lineitem),
+scores AS (SELECT {', '.join(f'ROUND(CORR({a}, {b}), 5) AS "{a}|{b}"' for a, b in combinations_with_replacement(WIDE, 2))}
+  FROM wide)
+SELECT split_part(pair, '|', 1) AS predictor1, split_part(pair, '|', 2) AS predictor2, score
+FROM scores UNPIVOT INCLUDE NULLS (score FOR pair IN (COLUMNS(*)))""",
         "corr_table": f"WITH {FEATURES} {corr_upper}",
         "corr_matrix": f"""WITH {FEATURES}, scores AS ({corr})
 SELECT predictor2, {matrix} FROM scores GROUP BY predictor2""",

@@ -326,6 +326,12 @@ def corr_pairs_missing(spark, sf_dir):
     return assoc.corr_pairs(data, [*CONTINUOUS, "is_returned"])
 
 
+@query
+def corr_wide(spark, sf_dir):
+    """All pairs of many columns with gaps."""
+    return assoc.corr_pairs(views.wide(spark, sf_dir), views.WIDE, simplify=True)
+
+
 @query
 def corr_table(spark, sf_dir):
     return assoc.corr_pairs(views.features(spark, sf_dir), CONTINUOUS, simplify=True)

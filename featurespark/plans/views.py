@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 CONTINUOUS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice"]
 CATEGORICAL = ["l_returnflag", "l_linestatus", "p_type", "l_linenumber", "p_size"]
 
+# Derived columns, some alike, with gaps of their own: expressions that SQL engines read alike.
+WIDE = [f"w{k}" for k in range(64)]
+
+
+def wide_expression(k: int) -> str:
+    base = f"l_orderkey * {k % 32 + 3} + l_partkey * {k % 16 + 1} + l_linenumber"
+    value = f"CAST(({base}) % {101 + k % 32} AS DOUBLE) + l_quantity * {k % 5}"
+    return value if k % 4 == 0 else f"CASE WHEN (l_orderkey + l_linenumber) % {k % 9 + 3} <> 0 THEN {value} END"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -98,3 +107,9 @@ def parts_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 3 != 0, F.col("p_retailprice"))
         .alias("p_retailprice"),
     )
+
+
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns ``WIDE`` of all line items."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.selectExpr(*(f"{wide_expression(k)} AS {c}" for k, c in enumerate(WIDE)))

@@ -1,8 +1,9 @@
 import math
 import random
 
+import numpy as np
 import pytest
-from featurespark.operators import assoc
+from featurespark.operators import assoc, gram
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -29,6 +30,64 @@ def test_correlation_ratio(spark):
     assert scores(assoc.correlation_ratio(df, ["x"], ["g"])) == {("x", "g"): 0.0}
 
 
+def plain_r(x, y):
+    both = [(a, b) for a, b in zip(x, y, strict=True) if a is not None and b is not None and a == a and b == b]
+    if not both:
+        return None
+    a, b = np.array(both, float).T
+    if a.std() <= 1e-9 * abs(a.mean()) or b.std() <= 1e-9 * abs(b.mean()):
+        return None
+    return float(((a - a.mean()) * (b - b.mean())).mean() / (a.std() * b.std()))
+
+
+def test_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(3)
+    columns = []
+    for k in range(130):
+        values = (rng.normal(size=300) + (columns[k - 7] if k % 7 == 6 and k > 7 else 0)) * 10.0 ** (k % 9)
+        columns.append(values + (1e7 if k % 11 == 0 else 0))
+    table = [[None if rng.random() < 0.1 * (k % 3) else v for v in c.tolist()] for k, c in enumerate(columns)]
+    table[5] = [0.1] * 300
+    # Constant where its partner has a value.
+    table[6] = [3.7 if i % 2 else float(i) for i in range(300)]
+    table[7] = [float(i) if i % 2 else None for i in range(300)]
+    table[8] = [float("nan")] * 300
+    table[9] = [1.0, *[None] * 299]
+    names = [f"c.{k}" for k in range(130)]
+    df = spark.createDataFrame(list(zip(*table, strict=True)), ", ".join(f"`{n}` double" for n in names))
+    found = assoc.corr_pairs(df.repartition(7), names, simplify=True, digits=None)
+    got = scores(found)
+    assert len(got) == 130 * 131 // 2
+    for (a, b), r in got.items():
+        want = plain_r(table[names.index(a)], table[names.index(b)])
+        if want is None:
+            assert r is None, (a, b, r)
+        else:
+            assert r == pytest.approx(want, abs=1e-7), (a, b)
+
+
+def test_correlations_scan_once(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    many = lines.selectExpr(*(f"l_quantity * {k} + l_tax AS q{k}" for k in range(1, 151)))
+    plan = assoc.corr_pairs(many, many.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert len(scores(assoc.corr_pairs(many.limit(0), many.columns[:3]))) == 9
+
+
+def test_moments_merge_like_one_table():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 6)) * 10.0 ** np.arange(6) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    whole = gram.Moments(6)
+    whole.add(x)
+    held = None
+    for part in np.split(x, [0, 1, 40, 41, 300]):
+        moments = gram.Moments(6)
+        moments.add(part)
+        held = moments.central() if held is None else gram.merge(held, moments.central())
+    assert np.allclose(gram.pearson(held), gram.pearson(whole.central()), atol=1e-9)
+
+
 def test_chi_square_and_yates(two_by_two):
     plain = assoc.chi_square(two_by_two, [("x", "y")]).first()["chi2"]
     assert plain == pytest.approx(18.726190, abs=1e-6)
