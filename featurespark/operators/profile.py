@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from featurespark.operators.quantiles import SORT_ROWS, wide_quantiles
-from featurespark.session import LOCAL_ROWS, bounded_side
+from featurespark.operators.rows import with_row_index
+from featurespark.session import LOCAL_ROWS, bounded_side, materialize
 
 CATEGORICAL = "categorical"
 CONTINUOUS = "continuous"
@@ -24,23 +25,26 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
     )
 
 
-def column_kinds(df: DataFrame, max_ratio: float = 0.1) -> DataFrame:
-    """``column_name, kind``: strings are categorical and floating-point columns continuous.
-
-    All others are categorical iff distinct values / rows <= ``max_ratio``; NULL for no rows.
-    Only those others are read.
-    """
+def fixed_kinds(df: DataFrame) -> dict[str, str]:
+    """Kinds of the columns whose type decides."""
     fixed = {}
-    counted = []
     for f in df.schema:
         if isinstance(f.dataType, StringType):
             fixed[f.name] = CATEGORICAL
         elif isinstance(f.dataType, (DoubleType, FloatType)):
             fixed[f.name] = CONTINUOUS
-        else:
-            counted.append(f.name)
+    return fixed
+
+
+def column_kinds(df: DataFrame, max_ratio: float = 0.1) -> DataFrame:
+    """``column_name, kind``: strings are categorical and floating-point columns continuous.
+
+    All others are categorical iff distinct values / rows <= ``max_ratio``; NULL for no rows.
+    Only those others are read.
+    """
+    fixed = fixed_kinds(df)
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in counted:
+    for c in (c for c in df.columns if c not in fixed):
         distinct = F.count_distinct(c) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
         aggs.append(distinct.alias(c))
     row = df.agg(*aggs).select(
@@ -152,7 +156,7 @@ def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Values of ``y`` a crosstab may have: its rows or columns are listed on the driver.
+# Values of ``y`` that :func:`crosstab_wide` may have: its columns are listed on the driver.
 CROSSTAB_VALUES = 10_000
 
 
@@ -200,26 +204,36 @@ def crosstab_wide(df: DataFrame, x: str, y: str, max_values: int = CROSSTAB_VALU
     return counts.select(F.col(x), *(c.alias(n) for c, n in zip(cell, names)))
 
 
-def crosstab(df: DataFrame, x: str, y: str, max_values: int = CROSSTAB_VALUES) -> DataFrame:
-    """All cells ``x, y, n`` with zeros, and both margins, whatever the values are.
+def numbered_values(cells: DataFrame, y: str) -> DataFrame:
+    """``y_index, y, y_total`` of the values of ``y`` in order, numbered from 0 without a bound."""
+    totals = cells.groupBy(y).agg(F.sum("n").alias("y_total"))
+    numbered = with_row_index(totals, [F.col(y)]).withColumnRenamed("row_index", "y_index")
+    return materialize(numbered.select("y_index", y, "y_total"), "values")
 
-    Rows without ``x`` or ``y`` are left out. Bounded like :func:`crosstab_wide`.
-    """
-    cells = bounded_side(contingency(df.dropna(subset=[x, y]), x, y))
-    values, names = _numbered_values(cells, y, max_values)
-    counts = _counted(cells, values, x, y)
-    # One row per cell: as many as the table has, by definition.
-    places = F.explode(F.sequence(F.lit(0), F.lit(max(len(names) - 1, 0))))
-    every = counts.select(x, "_counts", "_x_total", places.alias("_place"))
-    return every.join(values, F.col("_place") == F.col("_index")).select(
-        x,
-        F.col("_y").alias(y),
-        F.coalesce(F.col("_counts")[F.col("_place")], F.lit(0)).alias("n"),
-        F.col("_x_total").alias("x_total"),
-        F.col("_total").alias("y_total"),
-    )
+
+def crosstab_sparse(df: DataFrame, x: str, y: str) -> tuple[DataFrame, DataFrame]:
+    """A table of any width: ``x, y_index, n, x_total`` of its non-empty cells, and the values of
+    ``y`` by number. Rows without ``x`` or ``y`` are left out; nothing reaches the driver."""
+    cells = materialize(contingency(df.dropna(subset=[x, y]), x, y), "cells")
+    values = numbered_values(cells, y)
+    x_totals = materialize(cells.groupBy(x).agg(F.sum("n").alias("x_total")), "x-totals")
+    numbered = cells.join(values.select(y, "y_index"), y).join(x_totals, x)
+    return numbered.select(x, "y_index", "n", "x_total"), values
 
 
+def crosstab(df: DataFrame, x: str, y: str) -> DataFrame:
+    """All cells ``x, y, n`` with zeros, and both margins, whatever and however many the values are.
+
+    Rows without ``x`` or ``y`` are left out.
+    """
+    cells, values = crosstab_sparse(df, x, y)
+    cells = materialize(cells, "numbered-cells")
+    # One row per cell: as many as the table has, by definition.
+    width = values.agg(F.coalesce(F.max("y_index"), F.lit(-1)).cast("long")).scalar()
+    places = F.explode(F.sequence(F.lit(0).cast("long"), width)).alias("y_index")
+    every = cells.select(x, "x_total").distinct().select(x, "x_total", places)
+    filled = every.join(cells.select(x, "y_index", "n"), [x, "y_index"], "left").join(values, "y_index")
+    return filled.select(x, y, F.coalesce("n", F.lit(0)).alias("n"), "x_total", "y_total")
 
 
 def nonzero_mean(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

@@ -207,20 +207,79 @@ def rolling_avg_instants(facts: DataFrame, days: int = 100, slot_seconds: int =
         F.sum(sign * (F.col("base_hits") + F.col("in_hits"))).alias("hits"),
         F.sum(sign * (F.col("base_bats") + F.col("in_bats"))).alias("bats"),
     )
-    out = (
-        facts.withColumn("owner", F.unix_micros("local_date"))
-        .join(sums, ["batter", "owner"], "left")
-        .select(
-            "game_id",
-            F.col("local_date").alias("game_date"),
-            "batter",
-            F.coalesce("hits", F.lit(0)).alias("last_100_days_hits"),
-            F.coalesce("bats", F.lit(0)).alias("last_100_days_atbats"),
-        )
+    dated = F.col("batter").isNotNull() & F.col("local_date").isNotNull()
+    known = facts.where(dated).withColumn("owner", F.unix_micros("local_date"))
+    joined = known.join(sums, ["batter", "owner"], "left")
+    # Rows without a key never meet in one task.
+    undated = facts.where(~dated).withColumns({"hits": F.lit(None), "bats": F.lit(None)})
+    columns = ["game_id", "local_date", "batter", "hits", "bats"]
+    out = joined.select(*columns).union(undated.select(*columns)).select(
+        "game_id",
+        F.col("local_date").alias("game_date"),
+        "batter",
+        F.coalesce("hits", F.lit(0)).alias("last_100_days_hits"),
+        F.coalesce("bats", F.lit(0)).alias("last_100_days_atbats"),
     )
     return _with_rolling_ratio(out)
 
 
+def band_join(left: DataFrame, right: DataFrame, key: str, day: str, days: int) -> DataFrame:
+    """Rows of ``left`` with the rows of ``right`` of one key and the trailing window
+    [day - days, day], both ends in; ``right`` has its day as ``right_day``.
+
+    Days are cut into spans as long as the window. A row of ``right`` can only be seen from its own
+    span and the next one, so it is copied to these two, and the rest is an equi-join by key and
+    span: work per task is bounded by what one key has in two windows.
+    """
+    span = days + 1
+    at = F.floor(F.unix_date(day) / F.lit(span))
+    copies = F.explode(F.array(F.lit(0), F.lit(1)))
+    seen = right.withColumn("_copy", copies).withColumn(
+        "_span", F.floor(F.unix_date("right_day") / F.lit(span)) + F.col("_copy")
+    )
+    met = left.withColumn("_span", at).join(seen.drop("_copy"), [key, "_span"])
+    inside = F.col("right_day").between(F.date_sub(F.col(day), days), F.col(day))
+    return met.where(inside).drop("_span")
+
+
+def rolling_window_stats(facts: DataFrame, days: int = 100) -> DataFrame:
+    """``batter, local_date, median_hits, n_games``: what running sums cannot give.
+
+    For every batter and day, the median of ``hit`` and the number of different games in the
+    closed trailing window. Facts are counted by (batter, day, hit) and (batter, day, game) before
+    they meet a window, and the median is read off the counts. Rows without batter or day are
+    left out; a window without any hit value has a null median.
+    """
+    known = facts.where(F.col("batter").isNotNull() & F.col("local_date").isNotNull())
+    ends = known.select("batter", "local_date").distinct()
+    window = ["batter", "local_date"]
+    right_day = F.col("local_date").alias("right_day")
+
+    values = known.where(F.col("hit").isNotNull()).groupBy("batter", right_day, "hit")
+    values = values.agg(F.count(F.lit(1)).alias("n"))
+    seen = band_join(ends, values, "batter", "local_date", days)
+    counts = seen.groupBy(*window, "hit").agg(F.sum("n").alias("n"))
+    up_to = Window.partitionBy(*window).orderBy("hit")
+    placed = counts.withColumn("up_to", F.sum("n").over(up_to)).withColumn(
+        "total", F.sum("n").over(Window.partitionBy(*window))
+    )
+
+    def at(place: Column) -> Column:
+        return F.min(F.when(F.col("up_to") > place, F.col("hit")))
+
+    middle = (at(F.floor((F.col("total") - 1) / 2)) + at(F.floor(F.col("total") / 2))) / 2
+    medians = placed.groupBy(*window).agg(middle.alias("median_hits"))
+
+    games = known.where(F.col("game_id").isNotNull()).select("batter", right_day, "game_id").distinct()
+    met = band_join(ends, games, "batter", "local_date", days)
+    n_games = met.groupBy(*window).agg(F.count_distinct("game_id").alias("n_games"))
+    return (
+        ends.join(medians, window, "left")
+        .join(n_games, window, "left")
+        .withColumn("n_games", F.coalesce("n_games", F.lit(0)))
+    )
+
+
 def rolling_pair_sums(facts: DataFrame, days: int = 100) -> DataFrame:
     """Per batter, the total of all closed trailing windows [day - days, day] of its rows.
 

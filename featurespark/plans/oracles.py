@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement, product
 
-from featurespark.plans.registry import LABELLED, PREDICTORS, TARGET_GAME, YEAR_END
+from featurespark.plans.registry import LABELLED, PREDICTORS, SKETCH_DAYS, TARGET_GAME, YEAR_END
 from featurespark.plans.views import CATEGORICAL, CONTINUOUS, WIDE, wide_expression
 
 BC = """bc AS (
@@ -378,7 +378,15 @@ def all_oracles() -> dict[str, str]:
         "rolling_avg_all": "WITH " + _ROLLED.format(source="facts") + _ROLLED_OUT,
         "rolling_avg_instants": _INSTANTS,
         "fact_join": f"WITH {FACTS} SELECT * REPLACE (CAST(local_date AS VARCHAR) AS local_date) FROM facts",
+        "rolling_window_median": f"""WITH {FACTS}
+SELECT a.batter, CAST(a.local_date AS VARCHAR) AS local_date, MEDIAN(b.hit) AS median_hits,
+  COUNT(DISTINCT b.game_id) AS n_games
+FROM (SELECT DISTINCT batter, local_date FROM facts) a JOIN facts b ON a.batter = b.batter
+  AND b.local_date BETWEEN a.local_date - 100 AND a.local_date
+GROUP BY a.batter, a.local_date""",
         "historic_avg": _HISTORIC,
+        "publish_replace": _HISTORIC,
+        "publish_if_absent": "SELECT * FROM supplier",
         "annual_avg": _ANNUAL,
         "rolling_pairs_window": _PAIRS,
         "rolling_pairs_sql": _PAIRS,
@@ -425,12 +433,29 @@ def all_oracles() -> dict[str, str]:
         "class_counts": class_counts,
         "class_counts_written": class_counts,
         "column_kinds": _kinds(),
+        "column_kinds_sketched": _kinds(),
+        "boolean_columns_sketched": f"WITH {FEATURES} "
+        + union(
+            f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) = 2 AS INT) AS is_boolean FROM features"
+            for c in ALL_FEATURES
+        ),
+        "quartiles_sketched": union(
+            f"""SELECT '{c}' AS feature, CAST({p} AS DOUBLE) AS p, COUNT({c}) AS n, 1 AS "within" FROM lineitem
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{SKETCH_DAYS[0]}' AND DATE '{SKETCH_DAYS[1]}'"""
+            for c in ("l_quantity", "l_extendedprice", "l_discount")
+            for p in (0.25, 0.5, 0.75)
+        ),
         "boolean_columns": f"WITH {FEATURES} "
         + union(
             f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) = 2 AS INT) AS is_boolean FROM features"
             for c in ALL_FEATURES
         ),
         "contingency": f"WITH {FEATURES} SELECT p_type, p_size, COUNT(*) AS n FROM features GROUP BY ALL",
+        "crosstab_sparse": """WITH cells AS (
+  SELECT l_returnflag, l_partkey, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, DENSE_RANK() OVER (ORDER BY l_partkey) - 1 AS y_index, l_partkey, n,
+  CAST(SUM(n) OVER (PARTITION BY l_returnflag) AS BIGINT) AS x_total,
+  CAST(SUM(n) OVER (PARTITION BY l_partkey) AS BIGINT) AS y_total FROM cells""",
         "crosstab": """SELECT source, lang, COUNT(d.doc_id) AS n, ANY_VALUE(x_total) AS x_total,
   ANY_VALUE(y_total) AS y_total
 FROM (SELECT source, COUNT(*) AS x_total FROM documents GROUP BY source)
@@ -550,6 +575,26 @@ FROM features HAVING COUNT(DISTINCT l_extendedprice) > 1""",
         + """SELECT id, other_label AS class,
   ROUND(w / SUM(w) OVER (PARTITION BY id), 6) AS probability FROM votes WHERE w > 0""",
         "metric_tokens": f"{_TOKENS} SELECT batter, CAST(pos AS INT) AS pos, token FROM tokens",
+        "vocabulary": f"""{_TOKENS}, counted AS (SELECT token, COUNT(*) AS n FROM tokens GROUP BY token)
+SELECT ROW_NUMBER() OVER (ORDER BY n DESC, token) - 1 AS "index", token, n FROM counted""",
+        "count_vectors": f"""{_TOKENS}, words AS (
+  SELECT token, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, token) - 1 AS "index" FROM tokens GROUP BY token)
+SELECT batter, "index", CAST(COUNT(*) AS DOUBLE) AS n FROM tokens JOIN words USING (token)
+GROUP BY ALL""",
+        "chart_violin_kde": f"""WITH {FEATURES},
+span AS (SELECT MIN(l_extendedprice) AS lo, (MAX(l_extendedprice) - MIN(l_extendedprice)) / 63 AS step FROM features),
+placed AS (SELECT l_returnflag, (l_extendedprice - lo) / step AS place,
+  LEAST(FLOOR((l_extendedprice - lo) / step), 62) AS l FROM features, span),
+binned AS (
+  SELECT l_returnflag, point, SUM(weight) AS weight FROM (
+    SELECT l_returnflag, l AS point, 1 - (place - l) AS weight FROM placed
+    UNION ALL SELECT l_returnflag, l + 1, place - l FROM placed) GROUP BY ALL),
+moments AS (SELECT l_returnflag, COUNT(*) AS n,
+  1.06 * STDDEV_SAMP(l_extendedprice) * POW(COUNT(*), -0.2) AS width FROM features GROUP BY ALL),
+places AS (SELECT UNNEST(RANGE(64)) AS p)
+SELECT l_returnflag, CAST(p AS INT) AS point, ROUND(ANY_VALUE(lo) + p * ANY_VALUE(step), 4) AS x,
+  ROUND(SUM(weight * EXP(-POW((p - point) * step / width, 2) / 2) / (n * width * SQRT(2 * PI()))) * 1e6, 6) AS density
+FROM binned JOIN moments USING (l_returnflag), places, span GROUP BY l_returnflag, p""",
         "count_vectorize": f"""{_TOKENS} SELECT batter, token, CAST(COUNT(*) AS DOUBLE) AS n
 FROM tokens GROUP BY batter, token""",
     }

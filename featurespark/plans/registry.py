@@ -15,16 +15,17 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from featurespark.functions.pvalues import scientific_column
 from featurespark.functions.ratio import ratio_3
-from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows
+from featurespark.operators import assoc, charts, knn, ml, msd, profile, regress, rolling, rows, sketches
 from featurespark.plans import views
 from featurespark.plans.views import CATEGORICAL, CONTINUOUS
-from featurespark.session import over_cached, scratch_path
+from featurespark.session import bounded_side, materialize, over_cached, scratch_path
 from featurespark.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEAR_END = "1998-12-31"
 TARGET_GAME = 7
+SKETCH_DAYS = ("1994-03-01", "1996-02-29")
 PREDICTORS = [c for c in CONTINUOUS if c != "l_extendedprice"]
 _REGISTRY: dict[str, Query] = {}
 
@@ -82,6 +83,12 @@ def rolling_avg_instants(spark, sf_dir):
     return as_double(out.drop("game_date"), "rolling_average")
 
 
+@query
+def rolling_window_median(spark, sf_dir):
+    """Median hits and different games in the closed window of 100 days."""
+    return as_text(rolling.rolling_window_stats(facts(spark, sf_dir)), "local_date")
+
+
 @query
 def fact_join(spark, sf_dir):
     return as_text(facts(spark, sf_dir), "local_date")
@@ -160,6 +167,22 @@ def ctas_if_absent(spark, sf_dir):
     )
 
 
+@query
+def publish_replace(spark, sf_dir):
+    path = scratch_path(spark, "publish_replace")
+    bc = views.batter_counts(spark, sf_dir)
+    tables.publish(bc, path)
+    return as_double(tables.publish(rolling.historic_avg(bc), path), "average")
+
+
+@query
+def publish_if_absent(spark, sf_dir):
+    path = scratch_path(spark, "publish_if_absent")
+    suppliers = views.table(spark, sf_dir, "supplier")
+    tables.publish(suppliers, path, replace=False)
+    return tables.publish(suppliers.where("s_acctbal < 0"), path, replace=False)
+
+
 @query
 def preview(spark, sf_dir):
     bc = views.batter_counts(spark, sf_dir)
@@ -286,6 +309,43 @@ def column_kinds(spark, sf_dir):
     return profile.column_kinds(views.features(spark, sf_dir))
 
 
+@query
+def column_kinds_sketched(spark, sf_dir):
+    return sketches.column_kinds(views.features(spark, sf_dir))
+
+
+@query
+def boolean_columns_sketched(spark, sf_dir):
+    out = sketches.boolean_columns(views.features(spark, sf_dir))
+    return out.withColumn("is_boolean", F.col("is_boolean").cast("int"))
+
+
+@query
+def quartiles_sketched(spark, sf_dir):
+    """Whether quartiles of two years, from sketches of days, lie within their rank error."""
+    lines = views.table(spark, sf_dir, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    stored = materialize(sketches.daily_quantile_sketches(lines, columns, "day"), "day-sketches")
+    first, last = (F.lit(d).cast("date") for d in SKETCH_DAYS)
+    found = sketches.quantiles_of_days(stored, [0.25, 0.5, 0.75], first, last)
+    values = profile.unpivot(lines.where(F.col("day").between(first, last)), columns)
+    below = _ranks(values, found)
+    near = (F.col("less") <= (F.col("p") + sketches.RANK_ERROR) * F.col("n")) & (
+        F.col("up_to") >= (F.col("p") - sketches.RANK_ERROR) * F.col("n")
+    )
+    return below.select("feature", "p", "n", near.cast("int").alias("within"))
+
+
+def _ranks(values: DataFrame, found: DataFrame) -> DataFrame:
+    """``feature, p, n, less, up_to``: how many values lie below each quantile, and up to it."""
+    quantiles = bounded_side(found).withColumnRenamed("value", "quantile")
+    return values.join(quantiles, "feature").groupBy("feature", "p").agg(
+        F.max("n").alias("n"),
+        F.count_if(F.col("value") < F.col("quantile")).alias("less"),
+        F.count_if(F.col("value") <= F.col("quantile")).alias("up_to"),
+    )
+
+
 @query
 def boolean_columns(spark, sf_dir):
     out = over_cached(views.features(spark, sf_dir), profile.boolean_columns)
@@ -307,6 +367,12 @@ def crosstab_values(spark, sf_dir):
     return profile.crosstab(views.documents_with_odd_values(spark, sf_dir), "source", "odd")
 
 
+@query
+def crosstab_sparse(spark, sf_dir):
+    cells, values = profile.crosstab_sparse(views.table(spark, sf_dir, "lineitem"), "l_returnflag", "l_partkey")
+    return cells.join(values, "y_index").select("l_returnflag", "y_index", "l_partkey", "n", "x_total", "y_total")
+
+
 @query
 def crosstab_wide(spark, sf_dir):
     return profile.crosstab_wide(views.features(spark, sf_dir), "p_type", "l_linestatus")
@@ -572,6 +638,13 @@ def chart_violin_quartiles(spark, sf_dir):
     )
 
 
+@query
+def chart_violin_kde(spark, sf_dir):
+    data = views.features(spark, sf_dir).select("l_returnflag", "l_extendedprice")
+    curve = over_cached(data, lambda d: charts.violin_curve(d, "l_returnflag", "l_extendedprice"))
+    return curve.withColumns({"x": F.round("x", 4), "density": F.round(F.col("density") * 1e6, 6)})
+
+
 @query
 def chart_box(spark, sf_dir):
     data = views.table(spark, sf_dir, "documents").select("lang", "n_chars")
@@ -729,6 +802,17 @@ def metric_tokens(spark, sf_dir):
     return tokens.select("batter", F.posexplode("tokens").alias("pos", "token"))
 
 
+@query
+def vocabulary(spark, sf_dir):
+    return ml.vocabulary(ml.metric_tokens(rolling.rolling_pair_sums(facts(spark, sf_dir))), "tokens")
+
+
+@query
+def count_vectors(spark, sf_dir):
+    tokens = ml.metric_tokens(rolling.rolling_pair_sums(facts(spark, sf_dir)))
+    return ml.count_vectors(tokens, "tokens", "batter", ml.vocabulary(tokens, "tokens"))
+
+
 @query
 def count_vectorize(spark, sf_dir):
     tokens = ml.metric_tokens(rolling.rolling_pair_sums(facts(spark, sf_dir)))

@@ -44,8 +44,9 @@ def rolling_report(
 def token_report(facts: DataFrame, days: int = 100) -> Report:
     """Rolling pair sums as tokens and term counts."""
     tokens = ml.metric_tokens(rolling.rolling_pair_sums(facts, days))
-    _, vectors = ml.count_vectorize(tokens, "tokens")
-    return {"vectors": vectors, "counts": ml.term_counts(tokens, "tokens", "batter")}
+    words = ml.vocabulary(tokens, "tokens")
+    vectors = ml.count_vectors(tokens, "tokens", "batter", words)
+    return {"vocabulary": words, "vectors": vectors, "counts": ml.term_counts(tokens, "tokens", "batter")}
 
 
 def pair_report(df: DataFrame, response: str, mode: str = msd.REFERENCE) -> Report:

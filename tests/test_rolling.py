@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import statistics
 
 import pytest
 from featurespark.operators import rolling
@@ -134,3 +135,28 @@ def test_target_game(spark):
     )
     got = [tuple(r) for r in rolling.target_game_avg(bc, games, 9).collect()]
     assert got == [(1, 0.5), (2, None)]
+
+
+def test_window_medians_and_games(spark):
+    rng = random.Random(8)
+    start = dt.date(2020, 1, 1)
+    rows = [(rng.randrange(30), rng.choice([1, 1, 1, 2, None]), rng.choice([None, 0, 1, 2, 5, 9]), 1,
+             rng.choice([None, *(start + dt.timedelta(days=rng.randrange(40)) for _ in range(9))])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "game_id int, batter int, hit int, atbat int, local_date date")
+    got = {(r["batter"], r["local_date"]): (r["median_hits"], r["n_games"]) for r in rolling.rolling_window_stats(df, 6).collect()}
+    want = {}
+    for _, b, _, _, d in rows:
+        if b is not None and d is not None:
+            seen = [r for r in rows if r[1] == b and r[4] and d - dt.timedelta(days=6) <= r[4] <= d]
+            hits = [r[2] for r in seen if r[2] is not None]
+            want[b, d] = (statistics.median(hits) if hits else None, len({r[0] for r in seen}))
+    assert got == want
+
+
+def test_band_join_is_an_equi_join(spark):
+    ends = spark.createDataFrame([(1, dt.date(2020, 1, 1))], "batter int, local_date date")
+    seen = spark.createDataFrame([(1, dt.date(2019, 12, 31), 3)], "batter int, right_day date, hit int")
+    joined = rolling.band_join(ends, seen, "batter", "local_date", 100)
+    plan = joined._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "_span" in plan and joined.count() == 1

@@ -82,3 +82,39 @@ def test_scratch_tables_are_removed(spark):
         assert table.count() == 3
     assert files and not any(os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in files)
     assert session.materialize(spark.range(3), "kept").count() == 3
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    path = str(tmp_path / "published")
+    with pytest.raises(ValueError, match="nothing is published"):
+        tables.published(spark, path)
+    assert tables.publish(spark.range(3), path).count() == 3
+    # A run that fails half way leaves the old version.
+    bad = spark.range(2000).repartition(4).selectExpr("IF(id = 1999, raise_error('lost'), id) AS id")
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(bad, path)
+    assert sorted(r[0] for r in tables.published(spark, path).collect()) == [0, 1, 2]
+    # A table may be made from its own old version.
+    grown = tables.published(spark, path).union(spark.range(10, 12))
+    assert tables.publish(grown, path).count() == 5
+    assert tables.publish(spark.range(1), path, replace=False).count() == 5
+    assert tables.published(spark, path).count() == 5
+
+
+def test_the_first_writer_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raced")
+    plain = tables._pointer
+    calls = []
+
+    def raced(spark_, path_):
+        # Another writer publishes after this one has looked.
+        calls.append(path_)
+        if len(calls) == 1:
+            found = plain(spark_, path_)
+            tables.publish(spark_.range(7), path_)
+            return found
+        return plain(spark_, path_)
+
+    monkeypatch.setattr(tables, "_pointer", raced)
+    assert tables.publish(spark.range(2), path, replace=False).count() == 7
+    assert len([p for p in (tmp_path / "raced").iterdir() if p.name.startswith("version-")]) == 1
