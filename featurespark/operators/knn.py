@@ -1,15 +1,19 @@
-"""Exact nearest neighbours and distance-weighted votes.
+"""Nearest neighbours, exact or by bucketed random projections, and distance-weighted votes.
 
 Equal vectors are merged first, keeping the few smallest ids that can ever be neighbours, so
 copies cost nothing. The distinct vectors are split into cells around pivots. A query visits
 only the cells that the triangle inequality cannot rule out, and (cell, query) blocks of bounded
 size are compared with NumPy; each block passes on k neighbours per query, never all pairs.
+
+With :class:`Projections` the cells are buckets of random projections instead: a query meets the
+vectors that share a bucket with it in one of several tables, and some neighbours may be missed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurespark.functions.vectors import l2_normalize
-from featurespark.session import materialize
+from featurespark.session import bounded_side, materialize
 
 DISTANCE_DIGITS = 9
 MAX_PIVOTS = 4096
@@ -39,6 +43,23 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Projections:
+    """Bucketed random projections: more tables find more, more projections compare less.
+
+    ``width`` is the length of a bucket; without one it is four times the median distance of the
+    k-th neighbour, measured between at most ``SAMPLE_QUERIES`` and ``SAMPLE_POINTS`` vectors.
+    """
+
+    tables: int = 12
+    projections: int = 3
+    width: float | None = None
+    seed: int = 54321
+
+
+SAMPLE_QUERIES, SAMPLE_POINTS = 256, 4096
+
+
 def _points(df: DataFrame, id_col: str, label: str, vector: Column, keep: int) -> DataFrame:
     """Distinct vectors: ``point`` (smallest id), ``vec`` and up to ``keep`` members."""
     rows = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), vector.alias("vec"))
@@ -127,8 +148,8 @@ def _compare_blocks(k: int):
 
 def _routed(
     points: DataFrame, wanted: int, need: int
-) -> tuple[DataFrame, DataFrame, pd.DataFrame]:
-    """Points by the cell of their nearest pivot, queries with the cells they visit, and sizes."""
+) -> tuple[DataFrame, DataFrame]:
+    """Points by the cell of their nearest pivot, and queries with the cells they visit."""
     chosen = points.orderBy(F.xxhash64("point"), "point").limit(wanted).select("vec")
     pivots = np.array([r["vec"] for r in chosen.collect()], dtype=np.float64)
     assigned = materialize(_assign_cells(points, pivots), "knn-cells")
@@ -140,7 +161,7 @@ def _routed(
         .groupBy("cell")
         .agg(F.max(F.when(F.col("_rank") == need, F.col("to_pivot"))).alias("kth"))
     )
-    # One row per pivot.
+    # One row per pivot, at most MAX_PIVOTS.
     cells = (
         assigned.groupBy("cell")
         .agg(
@@ -153,9 +174,47 @@ def _routed(
         .sort_values("cell", ignore_index=True)
     )
     # Routed once: written, then counted and compared.
-    visits = materialize(_visits(assigned, pivots, cells), "knn-visits")
-    demand = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries")).toPandas()
-    return assigned, visits, cells.merge(demand, on="cell")
+    return assigned, materialize(_visits(assigned, pivots, cells), "knn-visits")
+
+
+def _bucket_width(points: DataFrame, need: int) -> float:
+    """Four times the median distance of the k-th neighbour, estimated on a bounded sample."""
+    sample = points.orderBy(F.xxhash64("point"), "point").limit(SAMPLE_POINTS).select("vec").toPandas()
+    vectors = _stack(sample["vec"])
+    d = np.sort(_distances(vectors[:SAMPLE_QUERIES], vectors), axis=1)[:, 1:]
+    # Among fewer vectors neighbours are farther; the nearest one stands for the k-th of all.
+    kth = d[:, min(need, d.shape[1]) - 1] if d.shape[1] else np.ones(1)
+    return float(4 * np.median(kth)) or 1.0
+
+
+def _projected(points: DataFrame, how: Projections, need: int) -> DataFrame:
+    """``cell, point, vec``: every vector in one bucket of each table."""
+    dimensions = points.select(F.size("vec")).first()[0]
+    width = how.width or _bucket_width(points, need)
+    chance = np.random.default_rng(how.seed)
+    shape = (dimensions, how.tables * how.projections)
+    directions = chance.normal(size=shape) / width
+    shifts = chance.random(shape[1])
+    factors = chance.integers(-(2**62), 2**62, shape[1], dtype=np.int64) | 1
+    names = chance.integers(-(2**62), 2**62, how.tables, dtype=np.int64)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            at = np.floor(_stack(batch["vec"]) @ directions + shifts).astype(np.int64)
+            cells = (at * factors).reshape(len(batch), how.tables, -1).sum(axis=2) + names
+            rows = np.repeat(np.arange(len(batch)), how.tables)
+            yield pd.DataFrame(
+                {
+                    "cell": cells.ravel(),
+                    "point": batch["point"].to_numpy()[rows],
+                    "vec": batch["vec"].to_numpy()[rows],
+                }
+            )
+
+    schema = f"cell long, point {dict(points.dtypes)['point']}, vec array<double>"
+    return points.select("point", "vec").mapInPandas(place, schema)
 
 
 def nearest_neighbours(
@@ -168,14 +227,15 @@ def nearest_neighbours(
     normalize: bool = True,
     block_rows: int = 16_384,
     n_pivots: int | None = None,
+    approximate: Projections | None = None,
 ) -> DataFrame:
     """``id, label, neighbours``: the k nearest rows of every row, ordered by distance, then id.
 
     ``neighbours`` is array<struct<distance, id, label>>; distances are rounded to 9 digits
     before comparing. ``id_col`` must be unique. Rows without a vector are left out; rows whose
     vector has a null, NaN or infinite component are nobody's neighbours and have none.
+    With ``approximate`` neighbours are sought in shared buckets only, and may be fewer or farther.
     """
-    spark = df.sparkSession
     vector = F.col(vector_col).cast("array<double>")
     if normalize:
         vector = l2_normalize(vector)
@@ -194,23 +254,24 @@ def nearest_neighbours(
     if not n:
         return lonely
     wanted = n_pivots or min(MAX_PIVOTS, math.ceil(n / block_rows))
-    if wanted > 1:
-        assigned, visits, plan = _routed(points, wanted, need)
+    if approximate:
+        assigned = materialize(_projected(points, approximate, need), "knn-buckets")
+        visits = assigned.select(*(F.col(c).alias(n) for c, n in (("cell", "cell"), ("point", "query"), ("vec", "q_vec"))))
+    elif wanted > 1:
+        assigned, visits = _routed(points, wanted, need)
     else:
         # One cell: every query meets every point, and nothing has to be routed.
         assigned = points.select("point", "vec", F.lit(0).alias("cell"))
         visits = points.select(
             F.lit(0).alias("cell"), F.col("point").alias("query"), F.col("vec").alias("q_vec")
         )
-        plan = pd.DataFrame({"cell": [0], "n_refs": [n], "n_queries": [n]})
-    plan["ref_blocks"] = np.ceil(plan["n_refs"] / block_rows).astype(int)
-    plan["query_blocks"] = np.ceil(plan["n_queries"] / block_rows).astype(int)
-    blocks = F.broadcast(
-        spark.createDataFrame(
-            plan[["cell", "ref_blocks", "query_blocks"]].astype(int).values.tolist(),
-            "cell int, ref_blocks int, query_blocks int",
-        )
-    )
+
+    def blocks_of(rows: DataFrame, name: str) -> DataFrame:
+        count = F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int")
+        return rows.groupBy("cell").agg(count.alias(name))
+
+    blocks = blocks_of(assigned, "ref_blocks").join(blocks_of(visits, "query_blocks"), "cell")
+    blocks = bounded_side(blocks)
 
     def every(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -238,6 +299,8 @@ def nearest_neighbours(
             _compare_blocks(need), f"query {id_type}, point {id_type}, distance double"
         )
     )
+    if approximate:
+        found = found.dropDuplicates(["query", "point"])
     order = F.row_number().over(Window.partitionBy("query").orderBy("distance", "point"))
     best = found.withColumn("_rank", order).where(F.col("_rank") <= need).drop("_rank")
     # At most k + 1 points of k + 1 members each per query.
@@ -247,16 +310,22 @@ def nearest_neighbours(
         .groupBy("query")
         .agg(F.sort_array(F.collect_list(F.struct("distance", "id", "label"))).alias("near"))
     )
-    by_vector = points.select(F.col("point").alias("query"), "vec").join(members, "query")
+    # Rows meet their point by a short key, written on one side, so that copies can be split.
+    by_point = points.select(F.col("point").alias("query"), F.sha2(_text("vec"), 256).alias("key"))
+    near_by_key = materialize(by_point.join(members, "query").select("key", "near"), "knn-near")
     near = F.col("near")
     if exclude_self:
         near = F.filter(near, lambda x: x["id"] != F.col("id"))
-    found = rows.join(by_vector, "vec").select(
-        "id", "label", F.slice(near, 1, k).alias("neighbours")
-    )
+    keyed = rows.select("id", "label", F.sha2(_text("vec"), 256).alias("key"))
+    found = keyed.join(near_by_key, "key").select("id", "label", F.slice(near, 1, k).alias("neighbours"))
     return found.unionByName(lonely)
 
 
+def _text(vector: str) -> Column:
+    """A vector as text that is equal where its values are; negative zeros are zeros."""
+    return F.array_join(F.transform(vector, lambda x: (x + 0.0).cast("string")), ",").cast("binary")
+
+
 def class_weights(neighbours: DataFrame) -> DataFrame:
     """Add ``votes``, array<struct<label, weight>>: 1 / distance, or only exact matches if any."""
     near = F.col("neighbours")

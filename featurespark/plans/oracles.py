@@ -560,6 +560,7 @@ FROM msd WHERE count > 0""",
   CAST(UNNEST(RANGE(0, LEN(u))) AS INT) AS pos, ROUND(UNNEST(u), 6) AS value FROM units""",
         "knn_classify": _near("a.vec_id <> b.vec_id") + _PREDICTED,
         "knn_classify_blocks": _near("a.vec_id <> b.vec_id") + _PREDICTED,
+        "knn_lsh": "SELECT COUNT(*) AS n_queries, 1 AS recall_90 FROM embeddings",
         "rf_classify_summary": """SELECT COUNT(*) AS n_rows, COUNT(*) AS n_proper,
   COUNT(*) AS n_most_probable FROM embeddings""",
         "rf_classify_accuracy": """SELECT CAST(SUM(n) AS BIGINT) AS n_rows, MAX(n) AS n_majority,

@@ -782,6 +782,24 @@ def knn_classify_blocks(spark, sf_dir):
     )
 
 
+@query
+def knn_lsh(spark, sf_dir):
+    """Queries, and whether bucketed projections find nine of ten of the exact neighbours."""
+    data = views.table(spark, sf_dir, "embeddings")
+    exact, approximate = (
+        knn.nearest_neighbours(data, "vec_id", "embedding", "label", exclude_self=True, approximate=how)
+        for how in (None, knn.Projections())
+    )
+
+    def ids(found: DataFrame) -> DataFrame:
+        return found.select("id", F.explode("neighbours.id").alias("other"))
+
+    hits = ids(approximate).withColumn("hit", F.lit(1))
+    both = ids(exact).join(hits, ["id", "other"], "left")
+    enough = 10 * F.count("hit") >= 9 * F.count(F.lit(1))
+    return both.agg(F.count_distinct("id").alias("n_queries"), enough.cast("int").alias("recall_90"))
+
+
 @query
 def knn_classify_in_sample(spark, sf_dir):
     data = views.table(spark, sf_dir, "embeddings")

@@ -55,6 +55,24 @@ def test_equals_brute_force(spark, clustered, exclude_self, normalize, block_row
         assert [n[0] for n in near] == pytest.approx([n[0] for n in want[r["id"]]], abs=2e-9)
 
 
+def test_projections_find_most_neighbours(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16)) * 4
+    vectors = [list(centres[i % 40] + rng.normal(size=16)) for i in range(1200)] + [[0.0] * 16] * 30
+    ids, labels = list(range(1230)), [0] * 1230
+    want = brute(vectors, ids, labels, 5, True, False)
+    options = dict(k=5, exclude_self=True, normalize=False, block_rows=200)
+    df = frame(spark, vectors, ids, labels)
+    found = {}
+    for how in (knn.Projections(), knn.Projections(tables=1, projections=8)):
+        got = knn.nearest_neighbours(df, "id", "v", "label", approximate=how, **options).collect()
+        assert len(got) == len(ids)
+        hits = sum(len({n["id"] for n in r["neighbours"]} & {n[1] for n in want[r["id"]]}) for r in got)
+        found[how.tables] = hits / (5 * len(ids))
+        assert all(len({n["id"] for n in r["neighbours"]}) == len(r["neighbours"]) for r in got)
+    assert found[12] >= 0.9 > found[1]
+
+
 def test_in_sample_rows_predict_their_own_label(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(30, 4)).tolist()
