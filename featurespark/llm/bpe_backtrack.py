@@ -182,9 +182,12 @@ class Encoder:
         """Ids of a text with other scripts or special strings, word by word."""
         tokenizer, place = load_tokenizer(self.path), 0
         special = self.vocabulary.special
+        # Where each special string comes next; it is sought again only once that is passed.
+        coming = {s: text.find(s) for s in special}
         while place < len(text):
-            found = [(text.find(s, place), s) for s in special if text.find(s, place) >= 0]
-            at, string = min(found, default=(len(text), ""))
+            for s in [s for s, at in coming.items() if 0 <= at < place]:
+                coming[s] = text.find(s, place)
+            at, string = min(((at, s) for s, at in coming.items() if at >= 0), default=(len(text), ""))
             plain = tokenizer.normalizer.normalize_str(text[place:at])
             for mapped, _ in tokenizer.pre_tokenizer.pre_tokenize_str(plain) if plain else []:
                 yield self.mapped_ids(mapped)

@@ -90,6 +90,10 @@ def content_groups(
 def drop_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
-    """The kept row of every group of equal texts, with all columns of ``docs``."""
+    """The kept row of every group of equal texts, with all columns of ``docs``.
+
+    Null, empty and very long texts, null ids, ties, repeated rows and an empty table are treated
+    as in :func:`content_groups`; ``docs`` may have columns of any name.
+    """
     groups = content_groups(docs, id_col, text_col, keep, carry=True)
     return groups.where("kept").select("row.*")

@@ -22,6 +22,8 @@ FILE_RECORDS = 1_000
 CAPTURED = "1970-01-01T00:00:00Z"
 
 LEAF = ("file", "offset", "digest")
+# Digits that the digests in one list share where many records have one place; all of them last.
+SHARED_DIGITS = (6, 3, 0)
 
 
 def record_digest(content: Column) -> Column:
@@ -46,10 +48,26 @@ def digest_records(
 
 
 def merge_offsets(leaves: DataFrame) -> DataFrame:
-    """One leaf per file and offset."""
-    several = F.sha2(F.concat_ws(",", F.lit("2"), F.sort_array(F.collect_list("digest"))), 256)
-    digest = F.when(F.count(F.lit(1)) == 1, F.first("digest")).otherwise(several)
-    return leaves.groupBy("file", "offset").agg(digest.alias("digest"))
+    """One leaf per file and offset.
+
+    Several records at one place are hashed in a tree of their own, by the first digits of their
+    digests, after equal ones have been counted: however many records lack an offset, no list
+    holds more than those that share so many digits.
+    """
+    place = ["file", "offset"]
+    sizes = leaves.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest"))
+    sizes = materialize(sizes, "warc-places")
+    crowded = sizes.where("n > 1").select(*place)
+    counted = leaves.join(crowded, place, "left_semi").groupBy(*place, "digest").agg(F.count(F.lit(1)).alias("n"))
+    parts = counted.select(*place, F.col("digest").alias("at"), F.concat_ws("*", "digest", "n").alias("part"))
+    for digits in SHARED_DIGITS:
+        listed = F.array_sort(F.collect_list(F.struct("at", "part")))
+        joined = F.array_join(F.transform(listed, lambda x: x["part"]), ",")
+        parts = parts.groupBy(*place, F.left("at", F.lit(digits)).alias("at")).agg(
+            F.sha2(F.concat(F.lit("2"), joined), 256).alias("part")
+        )
+    single = sizes.where("n = 1").select(*place, "digest")
+    return single.union(parts.select(*place, F.col("part").alias("digest")))
 
 
 def nodes_above(children: DataFrame, key: str, node: Column) -> DataFrame:
@@ -160,22 +178,23 @@ def page_replicas(
 ) -> DataFrame:
     """``id, file, offset, digest, copy_digest``: pages as WARC files, and a second replica.
 
-    A file holds the pages of ``file_records`` consecutive ids in order of id; pages without an id
-    share files by a hash. The replica's record of a page has ``copy_html``, or is lost. Records
+    A file holds the pages of ``file_records`` consecutive ids in order of id; pages whose id is null
+    or no whole number share files by a hash. The replica's record of a page has ``copy_html``, or is lost. Records
     are hashed where pages are read: only digests and sizes move.
     """
     content = warc_record(id_col, url_col, text_or_empty(html_col))
     rows = pages.select(
-        F.col(id_col).cast("long").alias("id"),
+        F.col(id_col).alias("id"),
+        F.col(id_col).try_cast("long").alias("number"),
         F.octet_length(content).cast("long").alias("size"),
         record_digest(content).alias("digest"),
         F.when(~copy_lost, record_digest(warc_record(id_col, url_col, copy_html))).alias("copy_digest"),
     )
-    number = F.coalesce("id", F.xxhash64("digest"))
-    rows = rows.withColumn("file", F.floor(number / file_records).cast("string"))
+    rows = rows.withColumn("number", F.coalesce("number", F.xxhash64("digest")))
+    rows = rows.withColumn("file", F.floor(F.col("number") / file_records).cast("string"))
     before = (
         Window.partitionBy("file")
-        .orderBy("id", "digest", "copy_digest")
+        .orderBy("number", "digest", "copy_digest")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offset = F.coalesce(F.sum("size").over(before), F.lit(0))
@@ -183,7 +202,12 @@ def page_replicas(
 
 
 def audit_pages(pages: DataFrame, copy_html: Column, copy_lost: Column, **names) -> DataFrame:
-    """``page_id, file, offset, status, primary_sha256, replica_sha256`` of the records at fault."""
+    """``page_id, file, offset, status, primary_sha256, replica_sha256`` of the records at fault.
+
+    Null urls and html count as empty, ids may be null or text, repeated rows are records of their
+    own, very long pages are hashed whole; equal replicas and an empty table give no rows. Other
+    columns are ignored.
+    """
     both = materialize(page_replicas(pages, copy_html, copy_lost, **names), "warc-replicas")
     copy = both.where("copy_digest IS NOT NULL").select("file", "offset", F.col("copy_digest").alias("digest"))
     found = audit(both.select(*LEAF), copy)

@@ -238,6 +238,26 @@ def test_records(spark):
     assert {(r["file"], r["offset"]) for r in one.collect()} == {("f", 0), ("", -1), ("f", 20)}
 
 
+def test_many_records_without_a_place(spark):
+    one = [(None, None, f"record {i % 900}".encode()) for i in range(1000)] + [("f", 3, b"x")]
+    two = [r for r in one if r[2] != b"record 77"] + [(None, None, b"record 1")]
+    sides = [
+        warc_fixity.digest_records(spark.createDataFrame(rows, "file string, offset long, content binary").repartition(n))
+        for n, rows in enumerate((one, one[::-1], two), 2)
+    ]
+    assert warc_fixity.audit(sides[0], sides[1]).count() == 0
+    assert [(r["file"], r["offset"], r["status"]) for r in warc_fixity.audit(sides[0], sides[2]).collect()] == [
+        ("", -1, "altered")
+    ]
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [("7", "u", "a"), ("seven", "u", "b"), (None, "u", "c"), ("seven", "u", "b")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    lost = warc_fixity.audit_pages(pages, F.coalesce("html", F.lit("")), F.coalesce(F.col("page_id") == "seven", F.lit(False)))
+    assert {(r["page_id"], r["status"]) for r in lost.collect()} == {("seven", "missing")}
+
+
 def test_pages_as_records(spark):
     rows = [(1, "http://a/", "<p>é</p>"), (None, None, None), (2, "u", ""), (2, "u", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

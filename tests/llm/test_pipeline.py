@@ -6,7 +6,13 @@ import __spark_entry__ as contract
 import corpus_pipeline
 import pytest
 from featurespark.llm import oracles, queries
+from featurespark.llm import toxicity
+from featurespark.session import materialize
 from oracle_check import connect, difference
+from tokenizers import Tokenizer
+
+from . import test_duplicates, test_tokens
+from .conftest import BYTE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,6 +58,52 @@ def test_pipeline_keeps_what_each_stage_kept(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == before
 
 
+def plain_bins(lengths, capacity):
+    """Sequences that best fit decreasing needs, overlong documents cut into full pieces first."""
+    full = sum(n // capacity for n in lengths)
+    rooms = []
+    for size in sorted((n % capacity for n in lengths if n % capacity), reverse=True):
+        fitting = [i for i, room in enumerate(rooms) if room >= size]
+        if fitting:
+            rooms[min(fitting, key=lambda i: rooms[i])] -= size
+        else:
+            rooms.append(capacity - size)
+    return full + len(rooms)
+
+
+def test_each_stage_equals_plain_code(spark):
+    """Every stage on its own input against plain Python over the same rows."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def rows_of(df):
+        return {r["doc_id"]: r["text"] or "" for r in df.select("doc_id", "text").collect()}
+
+    before = rows_of(docs)
+    clean = materialize(stages["toxicity"](spark, docs, SF_DIR), "clean")
+    score = toxicity.fit(docs, labels).scores()
+    assert set(rows_of(clean)) == {i for i, t in before.items() if score(t) < 0.3}
+
+    before = rows_of(clean)
+    least = {}
+    for i in sorted(before):
+        least.setdefault(test_duplicates.lower(before[i]), i)
+    single = materialize(stages["exact_dedup"](spark, clean, SF_DIR), "single")
+    assert set(rows_of(single)) == set(least.values())
+
+    before = rows_of(single)
+    apart = materialize(stages["simhash_near_dedup"](spark, single, SF_DIR), "apart")
+    assert set(rows_of(apart)) == test_duplicates.brute_kept(list(before.items()))
+
+    library = Tokenizer.from_file(BYTE)
+    texts = list(rows_of(apart).items())
+    packed = stages["best_fit_packing"](spark, apart, SF_DIR).collect()
+    n = test_tokens.check_packing(packed, texts, library, 2048)
+    lengths = [len(test_tokens.ids_of(library, t)) + 1 for _, t in texts]
+    assert -(-sum(lengths) // 2048) <= n <= plain_bins(lengths, 2048) + 1
+
+
 def test_stages_on_odd_documents(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -120,6 +120,12 @@ def test_only_misses_are_encoded(spark, tmp_path):
     assert digest_cache.count_tokens(docs, WORD, cache).first()["n_tokens"] == 777
 
 
+def test_many_special_strings_of_one_kind(word_library):
+    encoder = bpe_backtrack.Encoder(WORD)
+    text = "a <|startoftext|>" * 3000 + "b <|endoftext|> c<|startoftext|>"
+    assert encoder.encode(text).tolist() == ids_of(word_library, text)
+
+
 def test_digests_that_are_stored_twice_count_once(spark, tmp_path):
     cache = str(tmp_path / "counts")
     docs = spark.createDataFrame([(1, "some text"), (2, "some text"), (3, "other")], "doc_id long, text string")
