@@ -40,6 +40,12 @@ HEADLINE = [
     "stride_sample",
     "rolling_avg_instants",
     "rf_classify",
+    "rf_importance",
+    "rf_importance_regression",
+    "corr_wide",
+    "rolling_window_median",
+    "count_vectors",
+    "knn_lsh",
 ]
 
 

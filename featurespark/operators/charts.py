@@ -89,11 +89,10 @@ def violin_curve(df: DataFrame, by: str, value: str, n_points: int = 64) -> Data
     return curve.select(by, F.col("at").alias("point"), (lo + F.col("at") * step).alias("x"), "density")
 
 
-def histogram_margins(
-    df: DataFrame, response: str, color: str, n_bins: int = 20
-) -> tuple[DataFrame, DataFrame]:
-    """:func:`histogram` and the boxes that stand beside it, one for each colour."""
-    return histogram(df, response, color, n_bins), box(df, color, response)
+def histogram_margins(df: DataFrame, response: str, color: str, n_bins: int = 20) -> DataFrame:
+    """:func:`histogram` with the box of its colour beside each bar."""
+    boxes = bounded_side(box(df, color, response))
+    return join_null_safe(histogram(df, response, color, n_bins), boxes, [color])
 
 
 def box(df: DataFrame, by: str, value: str) -> DataFrame:

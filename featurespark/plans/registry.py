@@ -669,6 +669,14 @@ def chart_histogram(spark, sf_dir):
     )
 
 
+@query
+def chart_histogram_margins(spark, sf_dir):
+    data = views.features(spark, sf_dir).select("l_returnflag", "l_extendedprice")
+    return rounded(
+        over_cached(data, lambda d: charts.histogram_margins(d, "l_extendedprice", "l_returnflag")), 2
+    )
+
+
 @query
 def chart_msd(spark, sf_dir):
     return rounded(charts.msd_series(_msd_1d(spark, sf_dir)), 3)
