@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from featurespark.llm import bbit_minhash
+from featurespark.llm import bbit_minhash, queries
 
 
 def plain_set(text, width=3):
@@ -129,3 +129,9 @@ def test_the_packed_count_is_the_counted_one(spark):
     row = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
     want = int((least[0] % 16 == least[1] % 16).sum())
     assert row.select(bbit_minhash.equal_fields("a", "b")).first()[0] == want
+
+
+def test_whole_table_equals_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert rows_of(queries.op11_bbit_minhash(spark, "/root/testdata/sf0.001")) == brute(rows)

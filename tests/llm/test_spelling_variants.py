@@ -7,7 +7,7 @@ import re
 import zlib
 
 import pytest
-from featurespark.llm import spelling_variants
+from featurespark.llm import queries, spelling_variants
 from featurespark.llm.spelling_variants import Acceptor, one_edit_pairs
 
 
@@ -20,6 +20,21 @@ def one_edit(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
+def edits(word, letters):
+    """All strings one edit from a word, each once."""
+    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+    found = {a + b[1:] for a, b in cuts if b}
+    found |= {a + c + b[1:] for a, b in cuts if b for c in letters}
+    found |= {a + c + b for a, b in cuts for c in letters}
+    return found - {word}
+
+
+def test_plain_edits():
+    words = ["".join(w) for n in range(4) for w in itertools.product("ab", repeat=n)]
+    for w in words:
+        assert {v for v in edits(w, "ab") if len(v) < 4} == {v for v in words if one_edit(w, v)}
+
+
 def plain_words(rows):
     counts = collections.Counter()
     for doc_id, text in rows:
@@ -34,7 +49,8 @@ def plain_words(rows):
 
 def brute(rows):
     words = plain_words(rows)
-    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    letters = sorted({c for w in words for c in w})
+    near = {w: [v for v in edits(w, letters) if v in words] for w in words}
     form = {}
     for w in words:
         best = min(near[w], key=lambda v: (-words[v], v), default=None)
@@ -82,8 +98,8 @@ def test_equals_all_pairs(spark, letters, part_words):
 def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert rows_of(spelling_variants.spelling_variants(odd_docs)) == brute(odd_rows)
     assert spelling_variants.spelling_variants(no_docs).count() == 0
-    # Runs far longer than words, and a table in which every row is the same.
-    long = [(1, f"{'x' * 6000} {'x' * 6001} {'ab' * 3000}y"), (1, None), (1, "same words")]
+    # Runs longer than words, and a table in which every row is the same.
+    long = [(1, f"{'x' * 600} {'x' * 601} {'ab' * 300}y"), (1, None), (1, "same words")]
     assert rows_of(
         spelling_variants.spelling_variants(spark.createDataFrame(long * 3, "doc_id long, text string"))
     ) == brute(long * 3)
@@ -109,3 +125,20 @@ def test_the_acceptor_is_minimal():
     assert after_t["a"] == after_t["o"]
     assert len(acceptor.arcs) == 5
     assert sorted(acceptor.common(start, start)) == ["tap", "taps", "top", "tops"]
+
+
+def test_whole_table_equals_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert rows_of(queries.op12_spelling_variants(spark, "/root/testdata/sf0.001")) == brute(rows)
+
+
+def test_very_long_words_are_compared_whole(spark):
+    rows = [(i, f"{'x' * 20_000} {'ab' * 9000}c") for i in range(9)]
+    rows += [(100 + i, f"{'x' * 20_001} {'ab' * 4000}b{'ab' * 5000}c") for i in range(4)]
+    found = spelling_variants.spelling_variants(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = plain_words(rows)
+    assert {r["word"]: r["n"] for r in found} == want
+    for r in found:
+        near = [w for w in want if abs(len(w) - len(r["word"])) < 2 and w != r["word"] and one_edit(w, r["word"])]
+        assert r["n_near"] == len(near) > 0
