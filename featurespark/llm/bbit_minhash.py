@@ -337,7 +337,8 @@ def near_components(
     ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = _rooted(classes.join(ends, "node", "left_semi"), candidates)
     wanted = materialize(wanted.select("node", "key", "digest", "comp", "n", "sig"), "wanted")
-    sources = keyed.select("key", "text").join(wanted.select("node", "key", "digest"), "key")
+    # The candidates grow with the texts, so they meet by a shuffle at every size.
+    sources = keyed.select("key", "text").join(wanted.select("node", "key", "digest").hint("merge"), "key")
     built = sources.dropDuplicates(["key", "node", "text"]).select("node", "digest", "text")
     sets = built.mapInArrow(full_sets(shingle_words), "node long, shingles array<long>")
     sets = materialize(wanted.select("comp", "node", "n", "sig").join(sets, "node"), "sets")
