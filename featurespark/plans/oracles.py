@@ -555,9 +555,9 @@ SELECT p_type AS x_cell, l_returnflag AS y_cell, COUNT(*) AS n FROM features GRO
 FROM binned WHERE bin IS NOT NULL GROUP BY l_returnflag, bin""",
         "chart_histogram_margins": f"""WITH {FEATURES}, {_violin()},
 q AS (SELECT l_returnflag, {_five("l_extendedprice")} FROM features GROUP BY l_returnflag),
-boxes AS (SELECT l_returnflag, {", ".join(f"ROUND(ANY_VALUE(q{i}), 2) AS q{i}" for i in range(5))},
-  ROUND(ANY_VALUE(q3 - q1), 2) AS iqr, ROUND(MIN(l_extendedprice) FILTER (ok), 2) AS lower_whisker,
-  ROUND(MAX(l_extendedprice) FILTER (ok), 2) AS upper_whisker, COUNT(*) FILTER (NOT ok) AS n_outliers
+boxes AS (SELECT l_returnflag, {", ".join(f"ROUND(ANY_VALUE(q{i}), 4) AS q{i}" for i in range(5))},
+  ROUND(ANY_VALUE(q3 - q1), 4) AS iqr, ROUND(MIN(l_extendedprice) FILTER (ok), 4) AS lower_whisker,
+  ROUND(MAX(l_extendedprice) FILTER (ok), 4) AS upper_whisker, COUNT(*) FILTER (NOT ok) AS n_outliers
   FROM (SELECT *, l_extendedprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS ok
     FROM features JOIN q USING (l_returnflag)) GROUP BY l_returnflag),
 bars AS (SELECT l_returnflag, bin, ROUND(SUM(l_extendedprice), 2) AS height, COUNT(*) AS n

@@ -672,9 +672,8 @@ def chart_histogram(spark, sf_dir):
 @query
 def chart_histogram_margins(spark, sf_dir):
     data = views.features(spark, sf_dir).select("l_returnflag", "l_extendedprice")
-    return rounded(
-        over_cached(data, lambda d: charts.histogram_margins(d, "l_extendedprice", "l_returnflag")), 2
-    )
+    out = over_cached(data, lambda d: charts.histogram_margins(d, "l_extendedprice", "l_returnflag"))
+    return rounded(out.withColumn("height", F.round("height", 2)), 4)
 
 
 @query
