@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from featurespark.llm.common import slices, text_or_empty
 from featurespark.llm.components import component_roots
 from featurespark.llm.gray_simhash import shingle_hashes
-from featurespark.session import materialize
+from featurespark.session import bounded_side, materialize
 
 MINIMA = 192
 BAND_ROWS = 6
@@ -260,10 +260,11 @@ def _links_within(rows: DataFrame, key: str, size: Column, chunk: int, percent:
     ``rows`` is ``key, node, n, sig[, shingles]``, ``size`` what a row adds to a chunk.
     """
     names = [c for c in rows.columns if c != key]
-    sizes = rows.groupBy(key).agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("rows"))
-    chunks = F.ceil(F.col("size") / F.lit(chunk)).cast("int").alias("chunks")
-    sizes = materialize(sizes.where("rows > 1").select(key, chunks), "group-sizes")
-    dealt = rows.join(sizes, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    sizes = rows.groupBy(key).agg(F.sum(size).alias("size")).where(F.col("size") > chunk)
+    # Groups of several chunks are few: at most the whole size over ``chunk``.
+    large = bounded_side(sizes.select(key, F.ceil(F.col("size") / F.lit(chunk)).cast("int").alias("chunks")))
+    dealt = rows.join(large, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     # Each chunk meets itself and every other one, each pair of chunks in one place.
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     part = F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
@@ -321,14 +322,16 @@ def near_components(
     classes = marked.where("n > 0").groupBy("digest").agg(F.min("id").alias("first_id"), *first)
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    members = classes.select("node", F.explode("bands").alias("bucket"))
+    # Dealt once by bucket, for the sizes and for the rows that meet them.
+    members = classes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     buckets = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b")
     )
-    buckets = materialize(buckets.where("size > 1"), "buckets")
-    pairs = _estimated(buckets.where("size = 2").select("a", "b").distinct(), classes, percent)
-    crowded = members.join(buckets.where("size > 2").select("bucket"), "bucket")
-    signed = crowded.join(classes.select("node", "n", "sig"), "node")
+    shared = materialize(members.join(buckets.where("size > 1"), "bucket"), "shared-buckets")
+    couples = shared.where("size = 2 AND node = a").select("a", "b").distinct()
+    pairs = _estimated(couples, classes, percent)
+    crowded = shared.where("size > 2").select("bucket", "node")
+    signed = materialize(crowded.join(classes.select("node", "n", "sig"), "node"), "crowded")
     within = _links_within(signed, "bucket", F.lit(1), chunk_rows, percent)
     candidates = materialize(pairs.select("a", "b").union(within).distinct(), "candidates")
 
