@@ -7,6 +7,9 @@ size are compared with NumPy; each block passes on k neighbours per query, never
 
 With :class:`Projections` the cells are buckets of random projections instead: a query meets the
 vectors that share a bucket with it in one of several tables, and some neighbours may be missed.
+
+Inside a block a matrix product in single precision rules out the vectors that its rounding error
+cannot bring among the k nearest; the few that are left are measured by direct differences.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +29,13 @@ from featurespark.session import bounded_side, materialize
 
 DISTANCE_DIGITS = 9
 MAX_PIVOTS = 4096
+# Blocks a side into which rows fall before blocks grow, and rows that a block may grow to.
+MANY_BLOCKS = 8
+HELD_ROWS = 65_536
 _SLACK = 1e-8
 _TILE_VALUES = 4_000_000
+# Queries and references that meet in one matrix product.
+_QUERIES, _REFS = 256, 2048
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -90,22 +99,28 @@ def _assign_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.select("point", "vec").mapInPandas(nearest, schema)
 
 
-def _visits(assigned: DataFrame, pivots: np.ndarray, cells: pd.DataFrame) -> DataFrame:
-    """Each query with every cell that may hold one of its neighbours."""
+def _visits(assigned: DataFrame, pivots: np.ndarray, cells: pd.DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each query with every cell that may hold one of its neighbours, and ``cell, n``, their number.
+
+    Both are routed when they are read: a vector is copied only on its way to its blocks.
+    """
     ids = cells["cell"].to_numpy()
     at = pivots[ids]
     near, far = cells["near"].to_numpy(), cells["far"].to_numpy()
     kth = cells["kth"].to_numpy(dtype=float)
 
+    def visited(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(_stack(batch["vec"]), at)
+        # k known points of one cell bound the distance of the k-th neighbour.
+        reach = np.nanmin(np.where(np.isnan(kth), np.inf, d + kth), axis=1)
+        lowest = np.maximum(d - far, near - d)
+        return np.nonzero(lowest <= reach[:, None] + _SLACK)
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            d = _distances(_stack(batch["vec"]), at)
-            # k known points of one cell bound the distance of the k-th neighbour.
-            reach = np.nanmin(np.where(np.isnan(kth), np.inf, d + kth), axis=1)
-            lowest = np.maximum(d - far, near - d)
-            q, c = np.nonzero(lowest <= reach[:, None] + _SLACK)
+            q, c = visited(batch)
             yield pd.DataFrame(
                 {
                     "cell": ids[c].astype(np.int32),
@@ -114,42 +129,141 @@ def _visits(assigned: DataFrame, pivots: np.ndarray, cells: pd.DataFrame) -> Dat
                 }
             )
 
-    schema = f"cell int, query {dict(assigned.dtypes)['point']}, q_vec array<double>"
-    return assigned.select("point", "vec").mapInPandas(route, schema)
-
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(len(ids), np.int64)
+        for batch in batches:
+            if len(batch):
+                n += np.bincount(visited(batch)[1], minlength=len(ids))
+        yield pd.DataFrame({"cell": ids[n > 0].astype(np.int32), "n": n[n > 0]})
 
-def _compare_blocks(k: int):
-    def compare(refs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(refs) or not len(queries):
-            return pd.DataFrame({"query": [], "point": [], "distance": []})
-        refs = refs.sort_values("point", ignore_index=True)
-        ref_ids, ref_vecs = refs["point"].to_numpy(), _stack(refs["vec"])
-        query_ids, query_vecs = queries["query"].to_numpy(), _stack(queries["q_vec"])
-        take = min(k, len(refs))
+    points = assigned.select("point", "vec")
+    schema = f"cell int, query {dict(assigned.dtypes)['point']}, q_vec array<double>"
+    counts = points.mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return points.mapInPandas(route, schema), counts
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    lists = column.combine_chunks()
+    widths = np.diff(lists.offsets.to_numpy())
+    if len(widths) and (widths != widths[0]).any():
+        raise ValueError("vectors differ in length")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _measured(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Rounded distances of the rows ``i`` of a to the rows ``j`` of b, by direct differences."""
+    out = np.empty(len(i))
+    step = max(1, _TILE_VALUES // max(1, a.shape[1]))
+    for start in range(0, len(i), step):
+        gap = a[i[start : start + step]] - b[j[start : start + step]]
+        out[start : start + step] = np.sqrt(np.square(gap).sum(axis=1))
+    return np.round(out, DISTANCE_DIGITS)
+
+
+def _nearest(k: int, q: np.ndarray, r: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The k nearest of each query; equal distances keep the smallest numbers."""
+    order = np.lexsort((r, d, q))
+    q, r, d = q[order], r[order], d[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], r[keep], d[keep]
+
+
+class _References:
+    """The vectors of a block, centred and scaled, and dealt into tiles that each span the block."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        n = len(vectors)
+        tiles = math.ceil(n / _REFS)
+        self.tiles = [np.arange(t, n, tiles) for t in range(tiles)]
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.centre = vectors.mean(axis=0)
+            shifted = vectors - self.centre
+            self.scale = float(np.sqrt(np.square(shifted).sum(axis=1).max()))
+        # Neither alike nor beyond all numbers: otherwise every pair is measured.
+        self.can_rule_out = 0 < self.scale < 1e150
+        if self.can_rule_out:
+            self.shifted = shifted / self.scale
+            self.sides = {}
+
+    def side(self, kind) -> list[np.ndarray]:
+        """By tile, what times (-query, 1) is half of: squared distance less the query's square."""
+        if kind not in self.sides:
+            half = np.square(self.shifted).sum(axis=1) / 2
+            side = np.column_stack([self.shifted, half]).astype(kind)
+            self.sides[kind] = [np.ascontiguousarray(side[t].T) for t in self.tiles]
+        return self.sides[kind]
+
+    def nearest(self, k: int, queries: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Query, reference and distance of the k nearest references of each query."""
+        if self.can_rule_out:
+            with np.errstate(over="ignore", invalid="ignore"):
+                shifted = (queries - self.centre) / self.scale
+                squares = np.square(shifted).sum(axis=1)
+            if squares.max() < 1e30:
+                for kind in (np.float32, np.float64):
+                    found = self.ruled_out(k, queries, shifted, squares, kind)
+                    if found is not None:
+                        return found
+        found = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+        for tile in self.tiles:
+            q = np.repeat(np.arange(len(queries)), len(tile))
+            found = self.merged(k, found, queries, q, np.tile(tile, len(queries)))
+        return found
+
+    def merged(self, k: int, found, queries: np.ndarray, q: np.ndarray, r: np.ndarray):
+        new = q, r, _measured(queries, self.vectors, q, r)
+        return _nearest(k, *(np.concatenate(pair) for pair in zip(found, new, strict=True)))
+
+    def ruled_out(self, k: int, queries, shifted, squares, kind):
+        """As :meth:`nearest`; None if single precision is too coarse for these distances."""
+        side = np.column_stack([-shifted, np.ones(len(shifted))]).astype(kind)
+        # Rounding of a product of this width, and of its sides; scaled references have length 1 at most.
+        slack = 4 * (shifted.shape[1] + 8) * np.finfo(kind).eps * (np.sqrt(squares) + 1)
+        # Distances that round alike are equal.
+        alike = 2 * 10.0**-DISTANCE_DIGITS / self.scale
+        found = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+        kth = np.full(len(queries), np.inf)
+        for tile, refs in zip(self.tiles, self.side(kind), strict=True):
+            score = side @ refs
+            bound = kth
+            if np.isinf(kth).any() and len(tile) >= k:
+                least = np.partition(score, k - 1, axis=1)[:, k - 1].astype(np.float64)
+                bound = np.minimum(kth, np.sqrt(np.maximum(2 * (least + slack) + squares, 0)))
+            if kind is np.float32 and np.mean(slack > 0.01 * bound**2) > 0.1:
+                return None
+            limit = ((bound + alike) ** 2 - squares) / 2 + slack
+            at = np.flatnonzero(score <= limit.astype(kind)[:, None])
+            if len(at):
+                q, r = np.divmod(at, len(tile))
+                found = self.merged(k, found, queries, q, tile[r])
+                full = np.searchsorted(found[0], np.arange(len(queries)), side="right")
+                held = np.diff(np.append(0, full))
+                kth[held == k] = found[2][full[held == k] - 1] / self.scale
+        return found
+
+
+def _compare_blocks(k: int, schema: pa.Schema):
+    def compare(refs: pa.Table, queries: pa.Table) -> pa.Table:
+        if not refs.num_rows or not queries.num_rows:
+            return schema.empty_table()
+        # In the order of ids: equal distances keep the smallest.
+        refs = refs.sort_by("point")
+        known, asked = _References(_matrix(refs["vec"])), _matrix(queries["q_vec"])
         parts = []
-        step = max(1, _TILE_VALUES // len(refs))
-        for i in range(0, len(queries), step):
-            d = np.round(_distances(query_vecs[i : i + step], ref_vecs), DISTANCE_DIGITS)
-            # Stable sort on ids in ascending order: equal distances keep the smallest ids.
-            best = np.argsort(d, axis=1, kind="stable")[:, :take]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "query": np.repeat(query_ids[i : i + step], take),
-                        "point": ref_ids[best].ravel(),
-                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(parts, ignore_index=True)
+        for start in range(0, len(asked), _QUERIES):
+            q, r, d = known.nearest(min(k, refs.num_rows), asked[start : start + _QUERIES])
+            ids = queries["query"].take(pa.array(q + start)), refs["point"].take(pa.array(r))
+            parts.append(pa.table([*ids, pa.array(d)], names=["query", "point", "distance"]))
+        return pa.concat_tables(parts).cast(schema)
 
     return compare
 
 
 def _routed(
     points: DataFrame, wanted: int, need: int
-) -> tuple[DataFrame, DataFrame]:
-    """Points by the cell of their nearest pivot, and queries with the cells they visit."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Points by the cell of their nearest pivot, queries with the cells they visit, and visits per cell."""
     chosen = points.orderBy(F.xxhash64("point"), "point").limit(wanted).select("vec")
     pivots = np.array([r["vec"] for r in chosen.collect()], dtype=np.float64)
     assigned = materialize(_assign_cells(points, pivots), "knn-cells")
@@ -173,8 +287,7 @@ def _routed(
         .toPandas()
         .sort_values("cell", ignore_index=True)
     )
-    # Routed once: written, then counted and compared.
-    return assigned, materialize(_visits(assigned, pivots, cells), "knn-visits")
+    return assigned, *_visits(assigned, pivots, cells)
 
 
 def _bucket_width(points: DataFrame, need: int) -> float:
@@ -235,6 +348,8 @@ def nearest_neighbours(
     before comparing. ``id_col`` must be unique. Rows without a vector are left out; rows whose
     vector has a null, NaN or infinite component are nobody's neighbours and have none.
     With ``approximate`` neighbours are sought in shared buckets only, and may be fewer or farther.
+    A block has ``block_rows`` rows; above ``MANY_BLOCKS`` of these blocks grow, up to ``HELD_ROWS``,
+    so that a row is not copied to ever more blocks.
     """
     vector = F.col(vector_col).cast("array<double>")
     if normalize:
@@ -253,12 +368,13 @@ def nearest_neighbours(
     )).select("id", "label", none.alias("neighbours"))
     if not n:
         return lonely
+    size = max(block_rows, min(HELD_ROWS, math.ceil(n / MANY_BLOCKS)))
     wanted = n_pivots or min(MAX_PIVOTS, math.ceil(n / block_rows))
     if approximate:
         assigned = materialize(_projected(points, approximate, need), "knn-buckets")
         visits = assigned.select(*(F.col(c).alias(n) for c, n in (("cell", "cell"), ("point", "query"), ("vec", "q_vec"))))
     elif wanted > 1:
-        assigned, visits = _routed(points, wanted, need)
+        assigned, visits, n_visits = _routed(points, wanted, need)
     else:
         # One cell: every query meets every point, and nothing has to be routed.
         assigned = points.select("point", "vec", F.lit(0).alias("cell"))
@@ -266,11 +382,13 @@ def nearest_neighbours(
             F.lit(0).alias("cell"), F.col("point").alias("query"), F.col("vec").alias("q_vec")
         )
 
-    def blocks_of(rows: DataFrame, name: str) -> DataFrame:
-        count = F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int")
-        return rows.groupBy("cell").agg(count.alias(name))
+    def blocks_of(counts: DataFrame, name: str) -> DataFrame:
+        return counts.select("cell", F.ceil(F.col("n") / F.lit(size)).cast("int").alias(name))
 
-    blocks = blocks_of(assigned, "ref_blocks").join(blocks_of(visits, "query_blocks"), "cell")
+    n_points = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    if approximate or wanted <= 1:
+        n_visits = n_points
+    blocks = blocks_of(n_points, "ref_blocks").join(blocks_of(n_visits, "query_blocks"), "cell")
     blocks = bounded_side(blocks)
 
     def every(count: str) -> Column:
@@ -292,17 +410,17 @@ def nearest_neighbours(
     )
     keys = ["cell", "ref_block", "query_block"]
     id_type = dict(points.dtypes)["point"]
+    none_found = points.select(F.col("point").alias("query"), "point", F.lit(0.0).alias("distance")).limit(0)
     found = (
         refs.groupBy(*keys)
         .cogroup(queries.groupBy(*keys))
-        .applyInPandas(
-            _compare_blocks(need), f"query {id_type}, point {id_type}, distance double"
-        )
+        .applyInArrow(_compare_blocks(need, none_found.toArrow().schema), none_found.schema)
     )
-    if approximate:
-        found = found.dropDuplicates(["query", "point"])
-    order = F.row_number().over(Window.partitionBy("query").orderBy("distance", "point"))
+    # Two blocks or tables may find the same pair, at the same distance: one place in the order.
+    order = F.dense_rank().over(Window.partitionBy("query").orderBy("distance", "point"))
     best = found.withColumn("_rank", order).where(F.col("_rank") <= need).drop("_rank")
+    if approximate:
+        best = best.dropDuplicates(["query", "point"])
     # At most k + 1 points of k + 1 members each per query.
     members = (
         best.join(points.select("point", "members"), "point")

@@ -193,3 +193,47 @@ def test_rows_with_missing_values_stay(spark):
     df = spark.createDataFrame([(3.0, 4.0), (None, 1.0), (0.0, 0.0)], "x double, y double")
     got = [r["unit"] for r in ml.normalize_rows(df, ["x", "y"]).collect()]
     assert sorted(got, key=str) == [None, [0.0, 0.0], [0.6, 0.8]] or None in got and len(got) == 3
+
+
+def test_small_blocks_copy_no_row_ever_more_often(spark, monkeypatch):
+    """A hundred blocks a side would copy every vector a hundred times; routed vectors are not written."""
+    sides, written = [], []
+    bounded, materialize = knn.bounded_side, knn.materialize
+    monkeypatch.setattr(knn, "bounded_side", lambda df: sides.append(bounded(df)) or sides[-1])
+    monkeypatch.setattr(knn, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(400, 3)).tolist()
+    df = frame(spark, vectors, list(range(400)), [0] * 400)
+    found = knn.nearest_neighbours(df, "id", "v", "label", 3, normalize=False, block_rows=4, n_pivots=2)
+    pairs = sides[0].selectExpr("SUM(ref_blocks * query_blocks)").first()[0]
+    assert pairs <= 2 * (knn.MANY_BLOCKS + 1) ** 2
+    assert "knn-visits" not in written
+    want = brute(vectors, list(range(400)), [0] * 400, 3, False, False)
+    got = {r["id"]: [(n["id"], n["label"]) for n in r["neighbours"]] for r in found.collect()}
+    assert got == {i: [n[1:] for n in near] for i, near in want.items()}
+
+
+@pytest.mark.parametrize("kind", ["plain", "far", "grid", "huge", "tiny", "alike", "ordered"])
+def test_block_neighbours_are_exact(kind):
+    rng = np.random.default_rng(3)
+    refs = rng.normal(size=(2500, 5))
+    if kind == "far":
+        refs = refs + 1e7
+    elif kind == "grid":
+        refs = rng.integers(0, 3, size=(2500, 5)).astype(float)
+    elif kind == "huge":
+        refs = refs * 1e180
+    elif kind == "tiny":
+        refs = refs * 1e-7
+    elif kind == "alike":
+        refs = np.ones((2500, 5))
+    elif kind == "ordered":
+        refs = refs * 0.01 + np.arange(2500)[:, None] // 100
+    queries = refs[::40]
+    with np.errstate(over="ignore"):
+        d = np.round(np.sqrt(np.square(queries[:, None] - refs[None]).sum(2)), 9)
+    order = np.argsort(d, axis=1, kind="stable")[:, :6]
+    q, r, got = knn._References(refs).nearest(6, queries)
+    assert q.tolist() == np.repeat(np.arange(len(queries)), 6).tolist()
+    assert r.tolist() == order.ravel().tolist()
+    assert got.tolist() == np.take_along_axis(d, order, 1).ravel().tolist()
