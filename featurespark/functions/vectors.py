@@ -13,5 +13,9 @@ def l2_norm(v: Column) -> Column:
 def l2_normalize(v: Column) -> Column:
     """Unit vector as array<double>; a zero vector stays zero."""
     v = v.cast("array<double>")
-    norm = l2_norm(v)
-    return F.when(norm == 0.0, v).otherwise(F.transform(v, lambda x: x / norm))
+
+    def scaled(norm: Column) -> Column:
+        return F.when(norm == 0.0, v).otherwise(F.transform(v, lambda x: x / norm))
+
+    # As the element of an array the norm is computed once a row, not once a component.
+    return F.transform(F.array(l2_norm(v)), scaled)[0]
