@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from featurespark.functions.ratio import plain_ratio, ratio_3
 from featurespark.session import LOCAL_ROWS
@@ -223,6 +224,16 @@ def rolling_avg_instants(facts: DataFrame, days: int = 100, slot_seconds: int =
     return _with_rolling_ratio(out)
 
 
+def _span(day: str, days: int) -> Column:
+    return F.floor(F.unix_date(day) / F.lit(days + 1))
+
+
+def _seen_spans(right: DataFrame, days: int) -> DataFrame:
+    """Rows of ``right`` with each ``_span`` from which their day may be seen: their own and the next."""
+    copies = F.explode(F.array(F.lit(0), F.lit(1)))
+    return right.withColumn("_copy", copies).withColumn("_span", _span("right_day", days) + F.col("_copy")).drop("_copy")
+
+
 def band_join(left: DataFrame, right: DataFrame, key: str, day: str, days: int) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` of one key and the trailing window
     [day - days, day], both ends in; ``right`` has its day as ``right_day``.
@@ -231,13 +242,7 @@ def band_join(left: DataFrame, right: DataFrame, key: str, day: str, days: int)
     span and the next one, so it is copied to these two, and the rest is an equi-join by key and
     span: work per task is bounded by what one key has in two windows.
     """
-    span = days + 1
-    at = F.floor(F.unix_date(day) / F.lit(span))
-    copies = F.explode(F.array(F.lit(0), F.lit(1)))
-    seen = right.withColumn("_copy", copies).withColumn(
-        "_span", F.floor(F.unix_date("right_day") / F.lit(span)) + F.col("_copy")
-    )
-    met = left.withColumn("_span", at).join(seen.drop("_copy"), [key, "_span"])
+    met = left.withColumn("_span", _span(day, days)).join(_seen_spans(right, days), [key, "_span"])
     inside = F.col("right_day").between(F.date_sub(F.col(day), days), F.col(day))
     return met.where(inside).drop("_span")
 
@@ -246,38 +251,63 @@ def rolling_window_stats(facts: DataFrame, days: int = 100) -> DataFrame:
     """``batter, local_date, median_hits, n_games``: what running sums cannot give.
 
     For every batter and day, the median of ``hit`` and the number of different games in the
-    closed trailing window. Facts are counted by (batter, day, hit) and (batter, day, game) before
-    they meet a window, and the median is read off the counts. Rows without batter or day are
-    left out; a window without any hit value has a null median.
+    closed trailing window. Rows without batter or day are left out; a window without any hit value
+    has a null median.
+
+    Hits are counted by (batter, day, hit) and gathered in their order, one array for a batter and
+    span of days (see :func:`band_join`), bounded by the days and different hits of two windows. A
+    day reads its median off the array of its span, so nothing moves for each pair of a day and a
+    hit. A game counts from a day it is seen until it is seen again or leaves the window: changes by
+    day, summed up.
     """
     known = facts.where(F.col("batter").isNotNull() & F.col("local_date").isNotNull())
     ends = known.select("batter", "local_date").distinct()
-    window = ["batter", "local_date"]
     right_day = F.col("local_date").alias("right_day")
 
     values = known.where(F.col("hit").isNotNull()).groupBy("batter", right_day, "hit")
-    values = values.agg(F.count(F.lit(1)).alias("n"))
-    seen = band_join(ends, values, "batter", "local_date", days)
-    counts = seen.groupBy(*window, "hit").agg(F.sum("n").alias("n"))
-    up_to = Window.partitionBy(*window).orderBy("hit")
-    placed = counts.withColumn("up_to", F.sum("n").over(up_to)).withColumn(
-        "total", F.sum("n").over(Window.partitionBy(*window))
-    )
-
-    def at(place: Column) -> Column:
-        return F.min(F.when(F.col("up_to") > place, F.col("hit")))
-
-    middle = (at(F.floor((F.col("total") - 1) / 2)) + at(F.floor(F.col("total") / 2))) / 2
-    medians = placed.groupBy(*window).agg(middle.alias("median_hits"))
-
-    games = known.where(F.col("game_id").isNotNull()).select("batter", right_day, "game_id").distinct()
-    met = band_join(ends, games, "batter", "local_date", days)
-    n_games = met.groupBy(*window).agg(F.count_distinct("game_id").alias("n_games"))
-    return (
-        ends.join(medians, window, "left")
-        .join(n_games, window, "left")
-        .withColumn("n_games", F.coalesce("n_games", F.lit(0)))
+    values = _seen_spans(values.agg(F.count(F.lit(1)).alias("n")), days)
+    in_order = F.sort_array(F.collect_list(F.struct("hit", "right_day", "n"))).alias("hits")
+    by_span = values.groupBy("batter", "_span").agg(in_order)
+    inside = F.filter(
+        "hits", lambda x: x["right_day"].between(F.date_sub(F.col("local_date"), days), F.col("local_date"))
     )
+    medians = ends.withColumn("_span", _span("local_date", days)).join(by_span, ["batter", "_span"], "left")
+    medians = medians.select("batter", "local_date", _median(inside, facts.schema["hit"].dataType).alias("median_hits"))
+
+    games = known.where(F.col("game_id").isNotNull()).select("batter", "game_id", "local_date").distinct()
+    again = F.lead("local_date").over(Window.partitionBy("batter", "game_id").orderBy("local_date"))
+    games = games.withColumn("gone", F.least(F.date_add(F.col("local_date"), days + 1), again))
+    change = F.struct("local_date", F.lit(1).alias("change")), F.struct(F.col("gone").alias("local_date"), F.lit(-1).alias("change"))
+    changes = games.select("batter", F.inline(F.array(*change)))
+    changes = changes.groupBy("batter", "local_date").agg(F.sum("change").alias("change"))
+    up_to = Window.partitionBy("batter").orderBy("local_date").rowsBetween(Window.unboundedPreceding, 0)
+    # Days of facts and days of changes, one row each.
+    days_of = medians.withColumn("is_end", F.lit(True)).join(changes, ["batter", "local_date"], "full")
+    counted = days_of.withColumn("n_games", F.coalesce(F.sum("change").over(up_to), F.lit(0)))
+    return counted.where("is_end").select("batter", "local_date", "median_hits", "n_games")
+
+
+def _median(counted: Column, kind: DataType) -> Column:
+    """The median of structs ``hit, n`` in the order of hits; null of none."""
+    total = F.aggregate(counted, F.lit(0).cast("long"), lambda up_to, x: up_to + x["n"])
+    none = F.lit(None).cast(kind)
+
+    def walked(ends: Column) -> Column:
+        low, high = F.floor((ends - 1) / 2), F.floor(ends / 2)
+
+        def step(acc: Column, x: Column) -> Column:
+            up_to = acc["up_to"] + x["n"]
+            return F.struct(
+                up_to.alias("up_to"),
+                F.coalesce(acc["low"], F.when(up_to > low, x["hit"])).alias("low"),
+                F.coalesce(acc["high"], F.when(up_to > high, x["hit"])).alias("high"),
+            )
+
+        start = F.struct(F.lit(0).cast("long").alias("up_to"), none.alias("low"), none.alias("high"))
+        return F.aggregate(counted, start, step, lambda acc: (acc["low"] + acc["high"]) / 2)
+
+    # As the element of an array the total is summed once.
+    return F.transform(F.array(total), walked)[0]
 
 
 def rolling_pair_sums(facts: DataFrame, days: int = 100) -> DataFrame:

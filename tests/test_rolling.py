@@ -160,3 +160,23 @@ def test_band_join_is_an_equi_join(spark):
     plan = joined._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "_span" in plan and joined.count() == 1
+
+
+def test_window_stats_move_no_pairs(spark, monkeypatch):
+    """A hundred days that each see a hundred others: no row is made for each pair."""
+
+    def refused(*_):
+        raise AssertionError("days and facts meet pair by pair")
+
+    monkeypatch.setattr(rolling, "band_join", refused)
+    start = dt.date(2020, 1, 1)
+    rows = [(i, i % 3, i % 7, 1, start + dt.timedelta(days=i // 3)) for i in range(300)]
+    # Seen again inside its window, and after it.
+    rows += [(0, 0, None, 1, start + dt.timedelta(days=d)) for d in (50, 98)] + [(0, 9, 4, 1, d) for d in (start, start + dt.timedelta(days=400))]
+    df = spark.createDataFrame(rows, "game_id int, batter int, hit int, atbat int, local_date date")
+    got = {(r["batter"], r["local_date"]): (r["median_hits"], r["n_games"]) for r in rolling.rolling_window_stats(df, 60).collect()}
+    assert len(got) == 302
+    for (b, d), found in got.items():
+        seen = [r for r in rows if r[1] == b and d - dt.timedelta(days=60) <= r[4] <= d]
+        hits = [r[2] for r in seen if r[2] is not None]
+        assert found == (statistics.median(hits) if hits else None, len({r[0] for r in seen}))
