@@ -173,3 +173,18 @@ def test_bounds_and_relabelling(spark, rows):
                 assert score >= 0 and (corrected or score <= 1 + 1e-9)
     for score in scores(assoc.correlation_ratio(df, ["z"], ["x", "y"], digits=None)).values():
         assert -1e-9 <= score <= 1 + 1e-9
+
+
+def test_wide_columns_share_their_remainders(spark, tmp_path):
+    """Two projections that Java compiles, and the same columns as one long one."""
+    from featurespark.plans import views
+
+    rows = [(i, i * 7 % 31, i % 5, float(i % 11)) for i in range(60)]
+    rows += [(None, 1, 1, 1.0), (1, None, 1, 1.0), (1, 1, None, 1.0), (1, 1, 1, None), (2, 3, 4, float("inf"))]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    wide = views.wide(spark, str(tmp_path))
+    want = lines.selectExpr(*(f"{views.wide_expression(k)} AS {c}" for k, c in enumerate(views.WIDE)))
+    assert sorted(map(str, wide.collect())) == sorted(map(str, want.collect()))
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") == 2
